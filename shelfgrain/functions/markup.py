@@ -5,7 +5,7 @@ that (finding elements, cutting blocks, reading text and attributes) is Spark SQ
 
 A node is (pos, stop, up, tag, cls, attrs, text). `pos` counts nodes of the page,
 descendants are the nodes with pos < p < stop, `up` is the parent's pos. Text sits in
-nodes of its own with the tag '#text'.
+nodes of its own with the tag '#text', script and style content in '#raw'.
 """
 
 from __future__ import annotations
@@ -86,7 +86,13 @@ class _NodeReader(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_data(self, data):
-        self._add("#text", [], [], data)
+        parent = self.open[-1] if self.open else None
+        last = self.nodes[-1] if self.nodes else None
+        if last is not None and last["tag"] == "#text" and last["up"] == (parent["pos"] if parent else -1):
+            last["text"] += data
+        else:
+            # script and style content is kept, but does not count as text
+            self._add("#raw" if parent and parent["tag"] in ("script", "style") else "#text", [], [], data)
 
     def _add(self, tag, cls, attrs, text):
         pos = len(self.nodes)
@@ -127,7 +133,7 @@ def element(tag: str | None = None, cls: str | None = None, cls_like: str | None
     """Test for a node: tag, one class, part of the class attribute, presence of an attribute."""
 
     def test(node: Column) -> Column:
-        out = node["tag"] == tag if tag else node["tag"] != "#text"
+        out = node["tag"] == tag if tag else ~node["tag"].startswith("#")
         if cls:
             out = out & F.array_contains(node["cls"], cls)
         if cls_like:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BOM = "﻿"
+BOM = "\ufeff"
 # a quoted line break keeps a CSV file from being split, so files stay small
 ROWS_PER_FILE = 200_000
 LAYOUT = ["source", "kind", "category", "yyyy", "mm", "dd"]
