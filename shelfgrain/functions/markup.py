@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .text import strip
+
 NODE_TYPE = T.ArrayType(
     T.StructType()
     .add("pos", T.IntegerType())
@@ -153,21 +155,35 @@ def first(nodes: Column, match: Match) -> Column:
     return F.get(F.filter(nodes, match), F.lit(0))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with the value computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def under(nodes: Column, node: Column) -> Column:
     """Descendants of a node. `nodes` may be a page or a block cut out of one."""
     start = F.get(nodes, F.lit(0))["pos"]
-    return F.slice(nodes, node["pos"] - start + 2, F.greatest(node["stop"] - node["pos"] - 1, F.lit(0)))
+    return let(node, lambda n: F.slice(nodes, n["pos"] - start + 2, F.greatest(n["stop"] - n["pos"] - 1, F.lit(0))))
 
 
 def block(nodes: Column, node: Column) -> Column:
     """A node together with its descendants, in the same form as a page."""
     start = F.get(nodes, F.lit(0))["pos"]
-    return F.slice(nodes, node["pos"] - start + 1, F.greatest(node["stop"] - node["pos"], F.lit(0)))
+    return let(node, lambda n: F.slice(nodes, n["pos"] - start + 1, F.greatest(n["stop"] - n["pos"], F.lit(0))))
+
+
+def children(nodes: Column, node: Column, tag: str | None = None) -> Column:
+    """Direct children of a node, of one tag on request."""
+
+    def pick(n: Column) -> Column:
+        return F.filter(under(nodes, n), lambda c: (c["up"] == n["pos"]) & ((c["tag"] == tag) if tag else F.lit(True)))
+
+    return let(node, pick)
 
 
 def child(nodes: Column, node: Column, tag: str, nth: int) -> Column:
     """The nth direct child with that tag, as in a positional path step tag[n]."""
-    return F.get(F.filter(under(nodes, node), lambda n: (n["up"] == node["pos"]) & (n["tag"] == tag)), F.lit(nth - 1))
+    return F.get(children(nodes, node, tag), F.lit(nth - 1))
 
 
 def walk(nodes: Column, node: Column, *steps: tuple[str, int]) -> Column:
@@ -180,18 +196,22 @@ def attribute(node: Column, name: str) -> Column:
     return F.try_element_at(node["attrs"], F.lit(name))
 
 
+def _joined(nodes: Column, node: Column, shown: Match) -> Column:
+    def join(n: Column) -> Column:
+        texts = F.filter(under(nodes, n), lambda t: t["tag"] == "#text")
+        return F.when(n.isNotNull(), F.array_join(F.transform(texts, shown), ""))
+
+    return let(node, join)
+
+
 def text_of(nodes: Column, node: Column) -> Column:
     """Text of a node: its text nodes joined, then outer blanks removed."""
-    texts = F.filter(under(nodes, node), lambda n: n["tag"] == "#text")
-    joined = F.array_join(F.transform(texts, lambda n: n["text"]), "")
-    return F.when(node.isNotNull(), F.regexp_replace(joined, r"^\s+|\s+$", ""))
+    return strip(_joined(nodes, node, lambda t: t["text"]))
 
 
 def tight_text_of(nodes: Column, node: Column) -> Column:
     """Text of a node with every text node stripped before joining."""
-    texts = F.filter(under(nodes, node), lambda n: n["tag"] == "#text")
-    joined = F.array_join(F.transform(texts, lambda n: F.regexp_replace(n["text"], r"^\s+|\s+$", "")), "")
-    return F.when(node.isNotNull(), joined)
+    return _joined(nodes, node, lambda t: strip(t["text"]))
 
 
 def with_nodes(pages: DataFrame, html: str = "html", out: str = "nodes") -> DataFrame:

@@ -34,7 +34,7 @@ def _digits(text: Column) -> Column:
 def rating_from_width(style: Column) -> Column:
     """CSS width percentage on a five-point scale, one decimal; '' where there is none."""
     width = F.regexp_extract(style, fv.WIDTH_PERCENT, 1).try_cast("double")
-    return F.when(width.isNotNull(), F.format_number(width / 20, "0.0")).otherwise("")
+    return F.when(width.isNotNull(), F.call_function("format_number", width / 20, F.lit("0.0"))).otherwise("")
 
 
 def parens_count_text(text: Column) -> Column:

@@ -87,14 +87,9 @@ def extract_grid(pages: DataFrame, html: str = "html") -> DataFrame:
     df = mk.with_nodes(pages, html)
     nodes = F.col("nodes")
     main = mk.first(nodes, mk.element("main"))
-    grid = mk.child(nodes, main, "article", 1)
-    lines = F.filter(mk.under(nodes, grid), lambda n: (n["up"] == grid["pos"]) & (n["tag"] == "div"))
-    cells = F.flatten(
-        F.transform(
-            F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))),
-            lambda line: F.filter(mk.under(nodes, line), lambda n: (n["up"] == line["pos"]) & (n["tag"] == "div")),
-        )
-    )
+    lines = mk.children(nodes, mk.child(nodes, main, "article", 1), "div")
+    behind_menu = mk.let(lines, lambda found: F.slice(found, 2, F.greatest(F.size(found) - 1, F.lit(0))))
+    cells = F.flatten(F.transform(behind_menu, lambda line: mk.children(nodes, line, "div")))
     rows = mk.explode_blocks(df, cells)
     blk = F.col("block")
     cell = F.get(blk, F.lit(0))
@@ -163,7 +158,7 @@ def extract_reviews(pages: DataFrame, html: str = "html", page: str = "page") ->
     tab_count = mk.text_of(nodes, mk.first(mk.under(nodes, tab), mk.element("span")))
     name = mk.text_of(nodes, mk.first(nodes, mk.element("p", "prd_name")))
     listing = mk.first(nodes, lambda n: (n["tag"] == "ul") & (mk.attribute(n, "id") == "gdasList"))
-    items = F.filter(mk.under(nodes, listing), lambda n: (n["tag"] == "li") & (n["up"] == listing["pos"]))
+    items = mk.children(nodes, listing, "li")
     df = df.withColumns({"product_name": name, "total_review_count": numbers.parens_count_text(tab_count)})
     rows = mk.explode_blocks(df, items)
     blk = F.col("block")
@@ -203,8 +198,8 @@ def extract_review_spans(pages: DataFrame, html: str = "html", image: bool = Fal
     rows = mk.extract_rows(mk.with_nodes(pages, html), [s["item"]])
     blk = F.col("block")
     span_texts = F.transform(mk.every(blk, s["spans"]), lambda n: mk.text_of(blk, n))
-    box = mk.first(blk, lambda n: s["content_box"](n) & mk.first(_children(blk, n), s["spans"]).isNotNull())
-    content = mk.text_of(blk, mk.first(_children(blk, box), s["spans"]))
+    in_box = F.flatten(F.transform(mk.every(blk, s["content_box"]), lambda box: mk.children(blk, box)))
+    content = mk.text_of(blk, mk.first(in_box, s["spans"]))
     cols = {
         "review_id": mk.attribute(F.get(blk, F.lit(0)), fv.SPAN_REVIEW["id_attr"]),
         "username": mk.text_of(blk, mk.first(blk, s["user"])),
@@ -218,10 +213,6 @@ def extract_review_spans(pages: DataFrame, html: str = "html", image: bool = Fal
     return rows.withColumns(cols).drop("block")
 
 
-def _children(nodes: Column, node: Column) -> Column:
-    return F.filter(mk.under(nodes, node), lambda n: n["up"] == node["pos"])
-
-
 def candidate_blocks(pages: DataFrame, html: str = "html", longer_than: int = 30) -> DataFrame:
     """Blocks that look like reviews: items of the first container that holds any,
     else every list item with a longer text. `via` tells which way found the block."""
@@ -238,10 +229,11 @@ def candidate_blocks(pages: DataFrame, html: str = "html", longer_than: int = 30
         return n["tag"].isin("div", "li") & reduce(lambda a, b: a | b, words)
 
     found = [F.coalesce(F.filter(mk.under(nodes, mk.first(nodes, c)), is_item), F.array().cast(mk.NODE_TYPE)) for c in containers]
-    in_container = mk.first_non_empty(found)
     long_items = F.filter(nodes, lambda n: (n["tag"] == "li") & (F.length(mk.tight_text_of(nodes, n)) > longer_than))
-    df = df.withColumn("via", F.when(F.size(in_container) > 0, "container").otherwise("long_item"))
-    return mk.explode_blocks(df, mk.first_non_empty([in_container, long_items]))
+    df = df.withColumn("_found", mk.first_non_empty(found))
+    df = df.withColumn("via", F.when(F.size("_found") > 0, "container").otherwise("long_item"))
+    blocks = F.when(F.col("via") == "container", F.col("_found")).otherwise(long_items)
+    return mk.explode_blocks(df, blocks).drop("_found")
 
 
 def generic_review(rows: DataFrame, block: str = "block") -> DataFrame:

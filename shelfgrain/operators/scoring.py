@@ -65,15 +65,18 @@ def lexicon_prob(content: Column, positive: list[str], negative: list[str]) -> C
     return (p + 1) / (p + n + 2)
 
 
-def fit_text_model(labelled: DataFrame, content: str, label: str, features: int = 1 << 14) -> PipelineModel:
-    """Hashed word counts and a logistic regression, trained on labelled rows."""
-    return Pipeline(
-        stages=[
-            RegexTokenizer(inputCol=content, outputCol="_words", pattern=r"\s+"),
-            HashingTF(inputCol="_words", outputCol="_counts", numFeatures=features),
-            LogisticRegression(featuresCol="_counts", labelCol=label, probabilityCol="_probability", maxIter=20, regParam=0.1),
-        ]
-    ).fit(labelled)
+def fit_text_model(labelled: DataFrame, content: str, label: str, path: str, features: int = 1 << 14) -> PipelineModel:
+    """Hashed word counts and a logistic regression, trained on labelled rows.
+
+    The model is kept at `path` and read back, as a job that only scores would do.
+    """
+    stages = [
+        RegexTokenizer(inputCol=content, outputCol="_words", pattern=r"\s+"),
+        HashingTF(inputCol="_words", outputCol="_counts", numFeatures=features),
+        LogisticRegression(featuresCol="_counts", labelCol=label, probabilityCol="_probability", maxIter=20, regParam=0.1),
+    ]
+    Pipeline(stages=stages).fit(labelled).write().save(path)
+    return PipelineModel.load(path)
 
 
 def score_with_model(df: DataFrame, model: PipelineModel, out: str = "prob") -> DataFrame:

@@ -46,7 +46,7 @@ SELECT review_uid, content, star, source FROM v_reviews
 """)
 def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_dir(spark, "csv")
-    schema = T.StructType().add("review_uid", "string").add("content", "string").add("star", "int").add("source", "string")
+    schema = T.StructType().add("review_uid", "string").add("content", "string").add("star", "integer").add("source", "string")
     landing.write_csv(v.reviews(spark, folder).select(*schema.names), path, bom=True)
     return landing.read_landed_csv(spark, path, schema)
 

@@ -57,7 +57,7 @@ def prob_label(spark: SparkSession, folder: str) -> DataFrame:
 def score_ml(spark: SparkSession, folder: str) -> DataFrame:
     labels = v.table(spark, folder, "labels").select("doc_id", F.col("quality").cast("double").alias("quality"))
     reviews = v.reviews(spark, folder).filter(F.col("content").isNotNull()).select("doc_id", "review_uid", "content")
-    model = scoring.fit_text_model(reviews.join(labels, "doc_id"), "content", "quality")
+    model = scoring.fit_text_model(reviews.join(labels, "doc_id"), "content", "quality", scratch_dir(spark, "text-model"))
     return scoring.with_pred_label(scoring.score_with_model(reviews, model)).select("review_uid", F.round("prob", 6).alias("prob"), "pred_label")
 
 

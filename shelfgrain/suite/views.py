@@ -334,7 +334,7 @@ def review_payloads(spark: SparkSession, folder: str) -> DataFrame:
 def shaped_payloads(spark: SparkSession, folder: str) -> DataFrame:
     """One payload per product, in one of several shapes."""
     key = F.col("p_partkey")
-    items = F.to_json(F.array(F.struct(key.alias("id")), F.struct(F.col("p_size").alias("size"))))
+    items = F.to_json(F.array(F.struct(key.alias("id")), F.struct(F.col("p_size").cast("bigint").alias("id"))))
     payload = (
         F.when(key % 5 == 0, text_of('{"data":{"products":', items, "}}"))
         .when(key % 5 == 1, text_of('{"data":{"window":{"cards":', items, '},"items":[]}}'))

@@ -9,7 +9,7 @@ import pytest
 
 import __spark_entry__ as entry
 
-FOLDER = os.environ.get("SF_DIR", "/root/testdata/sf0.001")
+FOLDER = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 NUMBERS = ("int", "long", "bigint", "integer", "double", "decimal", "float", "short")
 
