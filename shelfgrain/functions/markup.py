@@ -10,8 +10,9 @@ nodes of its own with the tag '#text', script and style content in '#raw'.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
-from html.parser import HTMLParser
+from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -50,82 +51,107 @@ _CLOSED_BY = {
 _SCOPE = frozenset("ul ol table tbody dl select div section article body".split())
 
 
-class _NodeReader(HTMLParser):
-    """Collects nodes; tolerates unclosed and stray tags."""
+_TOKEN = re.compile(
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S
+)
+_ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
+_RAW_END = {"script": re.compile("</script", re.I), "style": re.compile("</style", re.I)}
+
+
+class _Nodes:
+    """Nodes of a batch of pages, column by column; tolerates unclosed and stray tags."""
 
     def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.nodes = []
-        self.open = []
-
-    def handle_starttag(self, tag, attrs):
-        closes = _CLOSED_BY.get(tag)
-        if closes:
-            for depth in range(len(self.open) - 1, -1, -1):
-                name = self.open[depth]["tag"]
-                if name in closes:
-                    self._close_from(depth)
-                    break
-                if name in _SCOPE:
-                    break
+        self.offsets = [0]
+        self.missing = []
+        self.pos, self.stop, self.up, self.tag, self.cls, self.attrs, self.text = ([] for _ in range(7))
+
+    def add_page(self, html: str | None) -> None:
+        self.missing.append(html is None)
+        if html:
+            self._read(html)
+        self.offsets.append(len(self.pos))
+
+    def _read(self, html: str) -> None:
+        base = len(self.pos)
+        open_nodes: list[tuple[int, str]] = []
+        at = 0
+        while at < len(html):
+            token = _TOKEN.search(html, at)
+            end = token.start() if token else len(html)
+            if end > at:
+                self._add(base, open_nodes, "#text", None, unescape(html[at:end]))
+            if not token:
+                break
+            at = token.end()
+            name = token[2]
+            if name is None:
+                continue
+            name = name.lower()
+            if token[1]:
+                self._close(base, open_nodes, self._nearest(open_nodes, (name,), ()))
+                continue
+            if name in _CLOSED_BY:
+                self._close(base, open_nodes, self._nearest(open_nodes, _CLOSED_BY[name], _SCOPE))
+            place = self._add(base, open_nodes, name, token[3], None)
+            if name in _RAW_END:
+                close = _RAW_END[name].search(html, at)
+                stop = close.start() if close else len(html)
+                open_nodes.append((place, name))
+                if stop > at:
+                    self._add(base, open_nodes, "#raw", None, html[at:stop])
+                at = stop
+            elif name not in _VOID and not token[3].endswith("/"):
+                open_nodes.append((place, name))
+        self._close(base, open_nodes, 0)
+
+    @staticmethod
+    def _nearest(open_nodes, names, barriers) -> int:
+        """Depth of the innermost open node with one of the names, not looking past a barrier."""
+        for depth in range(len(open_nodes) - 1, -1, -1):
+            if open_nodes[depth][1] in names:
+                return depth
+            if open_nodes[depth][1] in barriers:
+                break
+        return len(open_nodes)
+
+    def _close(self, base, open_nodes, depth) -> None:
+        here = len(self.pos) - base
+        for place, _ in open_nodes[depth:]:
+            self.stop[place] = here
+        del open_nodes[depth:]
+
+    def _add(self, base, open_nodes, tag, attributes, text) -> int:
+        place = len(self.pos)
         names = {}
-        for key, value in attrs:
-            names.setdefault(key, value or "")
-        node = self._add(tag, names.get("class", "").split(), list(names.items()), None)
-        if tag not in _VOID:
-            node["stop"] = None
-            self.open.append(node)
-
-    def handle_endtag(self, tag):
-        for depth in range(len(self.open) - 1, -1, -1):
-            if self.open[depth]["tag"] == tag:
-                self._close_from(depth)
-                return
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in _VOID:
-            self.handle_endtag(tag)
-
-    def handle_data(self, data):
-        parent = self.open[-1] if self.open else None
-        last = self.nodes[-1] if self.nodes else None
-        if last is not None and last["tag"] == "#text" and last["up"] == (parent["pos"] if parent else -1):
-            last["text"] += data
-        else:
-            # script and style content is kept, but does not count as text
-            self._add("#raw" if parent and parent["tag"] in ("script", "style") else "#text", [], [], data)
-
-    def _add(self, tag, cls, attrs, text):
-        pos = len(self.nodes)
-        node = {"pos": pos, "stop": pos + 1, "up": self.open[-1]["pos"] if self.open else -1,
-                "tag": tag, "cls": cls, "attrs": attrs, "text": text}
-        self.nodes.append(node)
-        return node
-
-    def _close_from(self, depth):
-        for node in self.open[depth:]:
-            node["stop"] = len(self.nodes)
-        del self.open[depth:]
-
-    def finish(self):
-        self.close()
-        self._close_from(0)
-        return self.nodes
-
-
-def _read(html):
-    if html is None:
-        return None
-    reader = _NodeReader()
-    reader.feed(html)
-    return reader.finish()
+        if attributes and not attributes.isspace():
+            for key, double, single, bare in _ATTRIBUTE.findall(attributes):
+                value = double or single or bare
+                names.setdefault(key.lower(), unescape(value) if "&" in value else value)
+        self.pos.append(place - base)
+        self.stop.append(place - base + 1)
+        self.up.append(open_nodes[-1][0] - base if open_nodes else -1)
+        self.tag.append(tag)
+        self.cls.append(names["class"].split() if "class" in names else [])
+        self.attrs.append(list(names.items()))
+        self.text.append(text)
+        return place
+
+    def to_arrow(self) -> pa.Array:
+        columns = [self.pos, self.stop, self.up, self.tag, self.cls, self.attrs, self.text]
+        nodes = pa.StructArray.from_arrays(
+            [pa.array(c, type=f.type) for c, f in zip(columns, _NODE)], fields=list(_NODE)
+        )
+        return pa.ListArray.from_arrays(pa.array(self.offsets, type=pa.int32()), nodes, mask=pa.array(self.missing))
 
 
 @F.arrow_udf(NODE_TYPE)
 def html_nodes(pages: pa.Array) -> pa.Array:
     """Nodes of each page, in Arrow batches."""
-    return pa.array([_read(page) for page in pages.to_pylist()], type=pa.list_(_NODE))
+    found = _Nodes()
+    for page in pages:
+        found.add_page(page.as_py())
+    return found.to_arrow()
 
 
 Match = Callable[[Column], Column]

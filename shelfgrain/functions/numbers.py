@@ -51,27 +51,33 @@ def parens_count_capped(text: Column) -> Column:
     return F.regexp_extract(text, fv.COUNT_IN_PARENS, 2) == "+"
 
 
-def _viewer_texts(texts: Column) -> Column:
-    return F.filter(texts, lambda t: F.contains(t, F.lit(fv.VIEWING_PHRASE)))
+# label texts are searched as one text; the separator keeps a match inside one label
+_SEP = "\u0001"
+_TO_LAST = rf"(?s)^(?:.*{_SEP})?"
+
+
+def _as_one(texts: Column) -> Column:
+    return F.array_join(texts, _SEP)
 
 
 def viewers(texts: Column, compat: bool = False) -> Column:
     """Viewer count of the last text that states one, else 0."""
-    pattern = fv.VIEWERS_PLAIN if compat else fv.VIEWERS_COMMA
-    stated = F.filter(texts, lambda t: t.rlike(pattern))
-    return F.coalesce(_digits(F.regexp_extract(F.try_element_at(stated, F.lit(-1)), pattern, 1)), F.lit(0).cast("bigint"))
+    stated = fv.VIEWERS_PLAIN if compat else fv.VIEWERS_COMMA
+    found = F.regexp_extract(_as_one(texts), f"{_TO_LAST}[^{_SEP}]*?{stated}", 1)
+    return F.coalesce(_digits(found), F.lit(0).cast("bigint"))
 
 
 def likes(texts: Column, compat: bool = False, last: bool = False) -> Column:
     """First number of the first (or `last`) viewer text that holds a number."""
-    stated = F.filter(_viewer_texts(texts), lambda t: t.rlike("[0-9]"))
-    return first_count(F.try_element_at(stated, F.lit(-1 if last else 1)), compat)
+    number = "[0-9]+" if compat else "[0-9][0-9,]*"
+    start = _TO_LAST if last else f"(?:^|{_SEP})"
+    viewer_text = f"(?=[^{_SEP}]*{fv.VIEWING_PHRASE})"
+    return _digits(F.regexp_extract(_as_one(texts), f"{start}{viewer_text}[^{_SEP}]*?({number})", 1))
 
 
 def sales(labels: Column) -> Column:
     """Sold units of the first label in the thousands form, else 0."""
-    stated = F.filter(labels, lambda t: t.rlike(fv.SALES_THOUSANDS))
-    thousands = F.regexp_extract(F.try_element_at(stated, F.lit(1)), fv.SALES_THOUSANDS, 1)
+    thousands = F.regexp_extract(_as_one(labels), fv.SALES_THOUSANDS, 1)
     return F.coalesce((thousands.try_cast("double") * 1000).cast("int"), F.lit(0))
 
 

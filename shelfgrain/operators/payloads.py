@@ -284,7 +284,9 @@ def json_profile(df: DataFrame, payload: str) -> DataFrame:
     """Per path and kind: how often it occurs, and the shortest and longest list or object."""
     node = df.select(F.explode(nv.json_nodes(F.col(payload))).alias("n")).select("n.*")
     return node.groupBy("path", "kind").agg(
-        F.count(F.lit(1)).alias("n_nodes"), F.min("items").alias("min_items"), F.max("items").alias("max_items")
+        F.count(F.lit(1)).alias("n_nodes"),
+        F.min("items").cast("bigint").alias("min_items"),
+        F.max("items").cast("bigint").alias("max_items"),
     )
 
 

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # page and payload parsing is heavy per byte: do not merge small shuffle blocks into one task
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     # split a hot key even where that costs one more exchange downstream
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # keep the map-side row limit for per-key samples larger than the default 1000
