@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 ID_SPAN = 1 << 16
 SLICES = 256
-SMALL_LIMIT = 16
+SMALL_LIMIT = 4
 
 
 def numbered(df: DataFrame, keys: list[str], order_id: str, out: str = "position", span: int = ID_SPAN) -> DataFrame:
@@ -21,7 +21,8 @@ def numbered(df: DataFrame, keys: list[str], order_id: str, out: str = "position
     A key is cut into id ranges of `span`, so a window partition holds at most `span` rows;
     only the row counts of the ranges, 1/span of the data, are summed per key.
     """
-    at = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], F.floor(F.col(order_id) / F.lit(span)).alias("range"))
+    start = F.col(order_id) - F.pmod(F.col(order_id), F.lit(span).cast("bigint"))
+    at = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], start.alias("range"))
     cut = df.withColumn("_at", at)
     sizes = cut.groupBy("_at").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*[f"_at.k{i}" for i in range(len(keys))]).orderBy("_at.range").rowsBetween(Window.unboundedPreceding, -1)
@@ -48,23 +49,26 @@ def top_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int, ran
     Larger limits are taken in two steps: each input slice keeps its own first n rows of
     the key, then those meet. One hot key thus never sends more than n x slices rows to
     one task. Both filters are plain row limits, which Spark applies before the shuffle.
+    Where no key can be hot, slices=1 saves the first step.
     """
     name = rank or "_rank"
-    if n > SMALL_LIMIT:
-        sliced = df.withColumn("_slice", F.spark_partition_id() % slices)
-        within = Window.partitionBy(*keys, "_slice").orderBy(*order)
-        df = sliced.withColumn("_first", F.row_number().over(within)).filter(F.col("_first") <= n).drop("_first", "_slice")
+    if n > SMALL_LIMIT and slices > 1:
+        df = _first_of_slices(df, keys, order, n, slices)
     ranked = df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     kept = ranked.filter(F.col(name) <= n)
     return kept if rank else kept.drop(name)
 
 
+def _first_of_slices(df: DataFrame, keys: list[str], order: list[Column], n: int, slices: int) -> DataFrame:
+    sliced = df.withColumn("_slice", F.spark_partition_id() % slices)
+    within = Window.partitionBy(*keys, "_slice").orderBy(*order)
+    return sliced.withColumn("_first", F.row_number().over(within)).filter(F.col("_first") <= n).drop("_first", "_slice")
+
+
 def top_rows(df: DataFrame, order: list[Column], n: int, slices: int = SLICES) -> DataFrame:
     """The first n rows of the whole input, ordered; taken per input slice first."""
-    if n > SMALL_LIMIT:
-        sliced = df.withColumn("_slice", F.spark_partition_id() % slices)
-        within = Window.partitionBy("_slice").orderBy(*order)
-        df = sliced.withColumn("_first", F.row_number().over(within)).filter(F.col("_first") <= n).drop("_first", "_slice")
+    if n > SMALL_LIMIT and slices > 1:
+        df = _first_of_slices(df, [], order, n, slices)
     return df.orderBy(*order).limit(n)
 
 

@@ -106,5 +106,12 @@ def ordered_distinct(df: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def reviews_of(products: DataFrame, reviews: DataFrame, key: str = "product_id", keep_without: bool = True) -> DataFrame:
-    """Products with their reviews as flat rows; products without reviews stay unless told otherwise."""
-    return products.join(reviews, key, "left" if keep_without else "inner")
+    """Products with their reviews as flat rows; products without reviews stay unless told otherwise.
+
+    Spark can split a hot product of an inner join on either side, but not the optional
+    side of an outer join. So the rows without reviews are added by an anti-join.
+    """
+    matched = products.join(reviews, key)
+    if not keep_without:
+        return matched
+    return matched.unionByName(exclude(products, reviews, key), allowMissingColumns=True)

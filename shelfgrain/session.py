@@ -39,6 +39,9 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder under the cluster's shared checkpoint folder.
 
@@ -48,6 +51,8 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = tempfile.mkdtemp(prefix="shelfgrain-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        app = spark.sparkContext.applicationId
+        if app not in _LOCAL_FOLDERS:
+            _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="shelfgrain-")
+        shared = _LOCAL_FOLDERS[app]
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
