@@ -23,16 +23,16 @@ def numbered(df: DataFrame, keys: list[str], order_id: str, out: str = "position
     """
     start = F.col(order_id) - F.pmod(F.col(order_id), F.lit(span).cast("bigint"))
     at = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], start.alias("range"))
-    cut = df.withColumn("_at", at)
-    sizes = cut.groupBy("_at").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*[f"_at.k{i}" for i in range(len(keys))]).orderBy("_at.range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_at", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    local = cut.withColumn("_local", F.row_number().over(Window.partitionBy("_at").orderBy(order_id)))
+    cut = df.withColumn("_cut", at)
+    sizes = cut.groupBy("_cut").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*[f"_cut.k{i}" for i in range(len(keys))]).orderBy("_cut.range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_cut", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    local = cut.withColumn("_local", F.row_number().over(Window.partitionBy("_cut").orderBy(order_id)))
     # the struct pairs null keys too, and both window and join use its one partitioning
     return (
-        local.join(offsets, "_at")
+        local.join(offsets, "_cut")
         .withColumn(out, F.col("_local") + F.col("_before"))
-        .drop("_at", "_local", "_before")
+        .drop("_cut", "_local", "_before")
     )
 
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BOM = "\ufeff"
+NO_VALUE = "\u0000"
 # a quoted line break keeps a CSV file from being split, so files stay small
 ROWS_PER_FILE = 200_000
 LAYOUT = ["source", "kind", "category", "yyyy", "mm", "dd"]
@@ -33,9 +34,20 @@ def write_csv(df: DataFrame, path: str, header: bool = True, bom: bool = False,
     (writer.partitionBy(*by) if by else writer).csv(path)
 
 
+def csv_reader(spark: SparkSession) -> DataFrameReader:
+    """Reader for landed CSV. An empty field is null, a quoted empty one stays an empty text."""
+    return (
+        spark.read.option("header", True)
+        .option("multiLine", True)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("nullValue", NO_VALUE)
+    )
+
+
 def read_landed_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, n: int | None = None) -> DataFrame:
     """Landed CSV with line breaks inside quotes. Header names are trimmed; the first n rows on request."""
-    reader = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
+    reader = csv_reader(spark)
     df = reader.schema(schema).csv(path) if schema else reader.csv(path)
     df = df.toDF(*[c.strip().lstrip(BOM) for c in df.columns])
     return df if n is None else df.limit(n)

@@ -87,7 +87,7 @@ def landing_path_fields(spark: SparkSession, folder: str) -> DataFrame:
     root = _land_products(spark, folder)
     schema = T.StructType().add("product_id", "string").add("name", "string").add("price", "double").add("category_code", "string")
     # the files alone, without Spark's own reading of the folder names
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("recursiveFileLookup", True)
+    reader = landing.csv_reader(spark).option("recursiveFileLookup", True)
     rows = landing.with_path_fields(reader.schema(schema).csv(root), ["kind", "category", "landed_on"])
     return rows.select("product_id", "kind", "category", "landed_on")
 
@@ -121,7 +121,7 @@ FROM v_products GROUP BY 1
 def load_audit(spark: SparkSession, folder: str) -> DataFrame:
     root = _land_products(spark, folder)
     schema = T.StructType().add("product_id", "string").add("name", "string").add("price", "double").add("category_code", "string")
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("recursiveFileLookup", True)
+    reader = landing.csv_reader(spark).option("recursiveFileLookup", True)
     per_file = landing.load_audit(reader.schema(schema).csv(root), v.SCRAPED_AT)
     placed = per_file.withColumn("category", landing.landing_path_cols(F.col("file_path"))["category"])
     # how many files a category has depends on the cluster, its records do not
