@@ -37,7 +37,7 @@ def test_limits_apply_before_the_shuffle_and_per_slice(spark):
 
 
 def test_balanced_sample_limits_rows_before_the_shuffle(spark):
-    df = spark.range(100).select(F.col("id").cast("string").alias("review_uid"), F.element_at(F.array(F.lit("positive"), F.lit("neutral"), F.lit("negative")), (F.col("id") % 3 + 1).cast("int")).alias("true_label"))
+    df = spark.range(100000).select(F.col("id").cast("string").alias("review_uid"), F.element_at(F.array(F.lit("positive"), F.lit("neutral"), F.lit("negative")), (F.col("id") % 3 + 1).cast("int")).alias("true_label"))
     assert "WindowGroupLimit" in plan(sampling.sample(df, 3000, "balanced"))
 
 
