@@ -2,7 +2,8 @@
 
 A window over a key puts the whole key into one task. These helpers never do that:
 numbering cuts each key into bounded ranges of an id, limits are taken per slice of the
-input before they are taken per key, and stop positions come from a partial aggregate.
+input before they are taken per key, and stop positions come from a partial aggregate
+that is joined back, where Spark may split the rows of a hot key.
 """
 
 from __future__ import annotations
@@ -15,18 +16,19 @@ SLICES = 256
 SMALL_LIMIT = 4
 
 
-def numbered(df: DataFrame, keys: list[str], order_id: str, out: str = "position", span: int = ID_SPAN) -> DataFrame:
+def numbered(df: DataFrame, keys: list[str], order_id: str, out: str = "position", span: int = ID_SPAN, id_limit: int = 1 << 48) -> DataFrame:
     """1-based position of each row within its key, ordered by a unique integer `order_id`.
 
-    A key is cut into id ranges of `span`, so a window partition holds at most `span` rows;
-    only the row counts of the ranges, 1/span of the data, are summed per key.
+    A key is cut into id ranges of `span`, these into ranges of span x span, and so on up
+    to `id_limit`; each level adds the sizes of what comes before. So no window partition
+    holds more than `span` rows, however many rows a key has and however sparse its ids
+    are. Ids known to stay below a smaller limit need fewer levels.
     """
+    names = [f"k{i}" for i in range(len(keys))]
     start = F.col(order_id) - F.pmod(F.col(order_id), F.lit(span).cast("bigint"))
-    at = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], start.alias("range"))
-    cut = df.withColumn("_cut", at)
+    cut = df.withColumn("_cut", F.struct(*[F.col(k).alias(n) for n, k in zip(names, keys)], start.alias("range")))
     sizes = cut.groupBy("_cut").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*[f"_cut.k{i}" for i in range(len(keys))]).orderBy("_cut.range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_cut", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    offsets = _sizes_before(sizes, names, span, span * span, id_limit)
     local = cut.withColumn("_local", F.row_number().over(Window.partitionBy("_cut").orderBy(order_id)))
     # the struct pairs null keys too, and both window and join use its one partitioning
     return (
@@ -36,6 +38,20 @@ def numbered(df: DataFrame, keys: list[str], order_id: str, out: str = "position
     )
 
 
+def _sizes_before(sizes: DataFrame, names: list[str], span: int, width: int, id_limit: int) -> DataFrame:
+    """Rows of the same key in earlier ranges: (_cut, _n) -> (_cut, _before)."""
+    earlier = lambda keys: Window.partitionBy(*keys).orderBy("_cut.range").rowsBetween(Window.unboundedPreceding, -1)
+    total = lambda keys: F.coalesce(F.sum("_n").over(earlier(keys)), F.lit(0))
+    if width >= id_limit:
+        return sizes.select("_cut", total([f"_cut.{n}" for n in names]).alias("_before"))
+    start = F.col("_cut.range") - F.pmod(F.col("_cut.range"), F.lit(width).cast("bigint"))
+    placed = sizes.withColumn("_wide", F.struct(*[F.col(f"_cut.{n}").alias(n) for n in names], start.alias("range")))
+    wide_sizes = placed.groupBy(F.col("_wide").alias("_cut")).agg(F.sum("_n").alias("_n"))
+    wide = _sizes_before(wide_sizes, names, span, width * span, id_limit).select(F.col("_cut").alias("_wide"), F.col("_before").alias("_wider"))
+    within = placed.select("_cut", "_wide", total(["_wide"]).alias("_inside"))
+    return within.join(wide, "_wide").select("_cut", (F.col("_inside") + F.col("_wider")).alias("_before"))
+
+
 def _match(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Equi-join that also pairs null keys, keeping the left columns and the right's new ones."""
     renamed = right.select(*[F.col(c).alias("_r_" + c) if c in keys else F.col(c) for c in right.columns])

@@ -184,7 +184,8 @@ def crawl_pages(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("event_type") == "error", 0).otherwise(20).alias("n_items"),
         (F.col("value") > 50).alias("has_more"),
     )
-    return numbered(events, ["job"], "event_id", out="page")
+    # ids are dense, so one level of ranges is enough
+    return numbered(events, ["job"], "event_id", out="page", id_limit=1 << 32)
 
 
 CRAWL_PAGES = """
