@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
@@ -36,6 +36,11 @@ def name_of_code(code: Column, names: dict[str, str] = fv.RANKING_CATEGORIES, de
     return F.coalesce(F.try_element_at(F.create_map(*pairs), code), fallback)
 
 
+def category_dim(spark: SparkSession, names: dict[str, str] = fv.RANKING_CATEGORIES) -> DataFrame:
+    """A fixed category table as a dimension: (category_code, category_name)."""
+    return spark.createDataFrame(list(names.items()), "category_code string, category_name string")
+
+
 def categories_by_prefix(dim: DataFrame, prefix: str, name: str = "category_name") -> DataFrame:
     return dim.filter(F.col(name).startswith(prefix))
 

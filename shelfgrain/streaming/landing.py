@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -16,7 +17,7 @@ def stream_landing(
     fmt: str = "parquet",
     files_per_trigger: int = 1000,
 ) -> DataFrame:
-    """Rows of new files; a key seen again within the delay is dropped.
+    """Rows of new files; a key seen again within the delay is dropped, as are rows without a key.
 
     State holds keys only, and only for the delay, so it does not grow with history.
     """
@@ -24,6 +25,8 @@ def stream_landing(
     if fmt == "csv":
         reader = reader.option("header", True).option("multiLine", True).option("escape", '"')
     rows = reader.format(fmt).load(path)
+    for key in keys:
+        rows = rows.filter(F.col(key).isNotNull() & (F.col(key).cast("string") != ""))
     return rows.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
 
 

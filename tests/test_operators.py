@@ -302,6 +302,11 @@ def test_fixed_category_names(spark):
     assert rows(df.select(text.safe_name(shaping.name_of_code(F.col("code"))).alias("n")))[1] == ("클렌징&필링",)
 
 
+def test_fixed_dimension_and_prefix(spark):
+    dim = shaping.category_dim(spark)
+    assert dim.count() == 16 and rows(shaping.categories_by_prefix(dim, "헬스"), "category_code") == [("104012",)]
+
+
 def test_written_stars(spark):
     df = spark.createDataFrame([("5점",), ("5점만점에 3점",), ("4",), ("4.0",), ("N/A",), (None,)], "s string")
     assert [r[0] for r in df.select(shaping._stars(F.col("s"))).collect()] == [5, 3, 4, 4, None, None]

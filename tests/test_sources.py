@@ -115,7 +115,7 @@ def test_stream_picks_up_new_files_once(spark, folder):
         drain(stream_landing(spark, f"{folder}/in", schema, ["id"], "scraped_at"), out, state)
         return rows(spark.read.parquet(out).select("id"))
 
-    assert land(["a", "b", "a"]) == [("a",), ("b",)]
+    assert land(["a", "b", "a", "", None]) == [("a",), ("b",)]
     assert land(["b", "c"]) == [("a",), ("b",), ("c",)]
     assert land([]) == [("a",), ("b",), ("c",)]
 
