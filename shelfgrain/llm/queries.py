@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, kd_shards, line_dedup
+from . import byte_bpe, kd_shards, line_dedup, line_rules
 from .common import LOWER, UPPER
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,3 +73,59 @@ def byte_vocabulary() -> tuple[dict[bytes, int], str]:
 @query("op5_byte_bpe")
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digest_texts(documents(spark, sf_dir), *byte_vocabulary())
+
+
+WORD_SQL = r"[^\x20\x09-\x0D]+"
+
+
+def _percent(counted: str, limit: int) -> str:
+    return f"100 * {counted} > {limit} * nw"
+
+
+SEPARATORS_SQL = ", ".join(f"'{s}'" for s in line_rules.SEPARATORS)
+PHRASES_SQL = " OR ".join(f"contains(translate(line, '{UPPER}', '{LOWER}'), '{p}')" for p in line_rules.PHRASES)
+SENTENCE_END_SQL = line_rules.SENTENCE_END.replace("'", "''")
+
+
+@query("op7_line_rules", f"""
+    WITH texts AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{WORD_SQL}') AS w FROM documents),
+    words AS (SELECT doc_id, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM texts)),
+    windows AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, a, b, c) AS times FROM words WHERE c IS NOT NULL),
+    covered AS (
+      SELECT doc_id, count(DISTINCT i + step) AS n_repeat_words
+      FROM windows, (SELECT unnest(range(0, 3)) AS step) WHERE times > 1 GROUP BY doc_id
+    ),
+    split AS (SELECT doc_id, string_split(t, chr(10)) AS ls FROM texts),
+    lines AS (
+      SELECT doc_id, i, line, len(regexp_extract_all(line, '{WORD_SQL}')) AS nw, regexp_extract_all(line, '{WORD_SQL}') AS lw
+      FROM (SELECT doc_id, i, ls[i] AS line FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM split))
+    ),
+    judged AS (
+      SELECT doc_id, nw, nw > 0 AND row_number() OVER (PARTITION BY doc_id, line ORDER BY i) > 1 AS again,
+        nw > 0 AND (NOT regexp_matches(line, '{SENTENCE_END_SQL}')
+          OR {_percent("len(regexp_extract_all(line, '[" + line_rules.SYMBOLS + "]'))", line_rules.MAX_SYMBOLS)}
+          OR {_percent("len(regexp_extract_all(line, '" + line_rules.SHOUT + "'))", line_rules.MAX_SHOUTS)}) AS punctuation,
+        nw > 0 AND {_percent(f"len(list_filter(lw, lambda x: x IN ({SEPARATORS_SQL})))", line_rules.MAX_SEPARATORS)} AS navigation,
+        nw > 0 AND nw <= {line_rules.BOILERPLATE_WORDS} AND ({PHRASES_SQL}) AS boilerplate
+      FROM lines
+    ),
+    by_doc AS (
+      SELECT doc_id, count(*) FILTER (again) AS n_dup_lines, count(*) FILTER (punctuation) AS n_bad_punctuation,
+        count(*) FILTER (navigation) AS n_navigation, count(*) FILTER (boilerplate) AS n_boilerplate,
+        CAST(coalesce(sum(nw) FILTER (punctuation OR navigation OR boilerplate), 0) AS BIGINT) AS lost_words
+      FROM judged GROUP BY doc_id
+    ),
+    base AS (
+      SELECT doc_id, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+        len(regexp_extract_all(t, '[{line_rules.SYMBOLS}]')) AS n_symbols, coalesce(n_repeat_words, 0) AS n_repeat_words
+      FROM texts LEFT JOIN covered USING (doc_id)
+    )
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+      n_words < {line_rules.MIN_WORDS} OR 100 * n_repeat_words > {line_rules.MAX_REPEATED} * n_words AS base_failed,
+      n_bad_punctuation, n_navigation, n_boilerplate, lost_words,
+      NOT (n_words < {line_rules.MIN_WORDS} OR 100 * n_repeat_words > {line_rules.MAX_REPEATED} * n_words)
+        AND 100 * lost_words <= {line_rules.MAX_LOST} * n_words AS kept
+    FROM base JOIN by_doc USING (doc_id)
+""")
+def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.clean_by_lines(documents(spark, sf_dir), with_text=False)
