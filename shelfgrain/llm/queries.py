@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, kd_shards, line_dedup, line_rules
+from . import byte_bpe, fingerprints, kd_shards, line_dedup, line_rules
 from .common import LOWER, UPPER
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -129,3 +129,8 @@ SENTENCE_END_SQL = line_rules.SENTENCE_END.replace("'", "''")
 """)
 def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.clean_by_lines(documents(spark, sf_dir), with_text=False)
+
+
+@query("op9_fingerprints")
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_edited(documents(spark, sf_dir))
