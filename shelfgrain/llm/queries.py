@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, fingerprints, kd_shards, line_dedup, line_rules
-from .common import LOWER, UPPER
+from . import byte_bpe, fingerprints, kd_shards, line_dedup, line_rules, toxicity
+from .common import LOWER, UPPER, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -134,3 +134,17 @@ def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_fingerprints")
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_edited(documents(spark, sf_dir))
+
+
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+@query("op3_toxicity")
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = remainder(F.col("doc_id"), 4) == 2
+    weights = toxicity.fit(docs, labels(spark, sf_dir), ~held_out)
+    return toxicity.score(docs, weights).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
