@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, fingerprints, kd_shards, line_dedup, line_rules, quality, toxicity
+from . import byte_bpe, fingerprints, kd_shards, line_dedup, line_rules, mixing, quality, toxicity
 from .common import LOWER, UPPER, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -155,3 +155,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = remainder(F.col("doc_id"), 5) == 0
     scores = quality.quality_scores(documents(spark, sf_dir), labels(spark, sf_dir), ~held_out)
     return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op2_mixing")
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir)).select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies"
+    )
