@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, fingerprints, kd_shards, line_dedup, line_rules, mixing, quality, toxicity
+from . import byte_bpe, fingerprints, kd_shards, line_dedup, line_rules, mixing, quality, similarity_join, toxicity
 from .common import LOWER, UPPER, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -162,3 +162,27 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies"
     )
+
+
+@query("op8_ngram_jaccard", r"""
+    WITH RECURSIVE texts AS (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+    ),
+    sets AS (
+      SELECT DISTINCT doc_id, s FROM (
+        SELECT doc_id, unnest(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: hash(array_to_string(w[i:i + 3], ' ')))
+          WHEN len(w) > 0 THEN [hash(array_to_string(w, ' '))] ELSE [] END) AS s FROM texts)
+    ),
+    sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+    links AS (
+      SELECT a.doc_id AS a, b.doc_id AS b FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id < b.doc_id
+      JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+      GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))
+    ),
+    edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    reached AS (SELECT doc_id, doc_id AS r FROM texts UNION SELECT reached.doc_id, edges.b FROM reached JOIN edges ON reached.r = edges.a)
+    SELECT t.doc_id, coalesce(n, 0) AS n_shingles, c.component_id
+    FROM texts t LEFT JOIN sizes USING (doc_id) JOIN (SELECT doc_id, min(r) AS component_id FROM reached GROUP BY doc_id) c ON c.doc_id = t.doc_id
+""")
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity_join.similar_documents(documents(spark, sf_dir))
