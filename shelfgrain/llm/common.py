@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -105,3 +106,27 @@ def per_process(name: str, key: str, make: Callable):
     if kept.get(name, ("", None))[0] != key:
         kept[name] = (key, make())
     return kept[name][1]
+
+
+def id_borders(rows: DataFrame, id: str, parts: int) -> list[int]:
+    """At most parts - 1 ids that cut the rows into ranges of about equal counts, from approximate quantiles of the ids alone."""
+    if parts <= 1:
+        return []
+    found = rows.approxQuantile(id, [i / parts for i in range(1, parts)], 0.25 / parts)
+    return sorted(set(map(int, found)))
+
+
+def range_of(id: Column, borders: list[int]) -> Column:
+    """The number of borders up to an id; a null id is behind all."""
+    if not borders:
+        return F.lit(0)
+    if len(borders) <= 64:
+        inside = F.array_size(F.filter(F.array(*[F.lit(b) for b in borders]), lambda b: b <= id))
+        return F.coalesce(inside, F.lit(len(borders)))
+
+    @F.pandas_udf("int")
+    def found(ids: pd.Series) -> pd.Series:
+        at = np.searchsorted(np.asarray(borders), ids.fillna(borders[-1]).to_numpy(), side="right")
+        return pd.Series(at.astype(np.int32))
+
+    return found(id)

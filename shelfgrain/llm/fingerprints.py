@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hashed, mixed, slices, stored, texts_of, words
+from .common import hashed, id_borders, mixed, range_of, slices, stored, texts_of, words
 
 SHINGLE_WORDS = 5
 PERMUTATIONS = 128
@@ -124,10 +124,9 @@ def in_order(docs: DataFrame, id: str, text: str) -> DataFrame:
     rows = docs.select(docs[id].cast("bigint").alias("id"), F.coalesce(docs[text], F.lit("")).alias("text"))
     size, known = rows.agg(F.sum(F.octet_length("text")), F.count("id")).first()
     runs = int(min(max(1, -(-(size or 0) // RUN_BYTES), rows.sparkSession.sparkContext.defaultParallelism), MAX_RUNS, max(1, known)))
-    borders = sorted(set(map(int, rows.approxQuantile("id", [i / runs for i in range(1, runs)], 0.25 / runs)))) if runs > 1 and known else []
+    borders = id_borders(rows, "id", runs) if known else []
     # a run holds the ids from one border up to the next; the first row of each run is known from the ids alone
-    run = F.array_size(F.filter(F.array(*[F.lit(b) for b in borders]), lambda b: b <= F.col("id"))) if len(borders) <= 64 else _run_of(borders)
-    placed = rows.withColumn("run", F.when(F.col("id").isNull(), len(borders)).otherwise(run) if borders else F.lit(0))
+    placed = rows.withColumn("run", range_of(F.col("id"), borders))
     heads = [(r["run"], r["head"]) for r in placed.groupBy("run").agg(F.min("id").alias("head")).collect()]
     order = sorted(r for r, _ in heads)
     before = {r: order[i - 1] for i, r in enumerate(order)}
@@ -144,16 +143,6 @@ def in_order(docs: DataFrame, id: str, text: str) -> DataFrame:
     return every.repartitionById(len(borders) + 1, F.col("run")).sortWithinPartitions("run", "guest", F.col("id").asc_nulls_last(), "text")
 
 
-def _run_of(borders: list[int]):
-    @F.pandas_udf("int")
-    def run(ids: "pd.Series") -> "pd.Series":  # noqa: F821
-        import pandas as pd
-
-        return pd.Series(np.searchsorted(np.asarray(borders), ids.fillna(0).to_numpy(), side="right").astype(np.int32))
-
-    return run(F.col("id"))
-
-
 def compare_edited(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """For every row its fingerprint, that of its edited text, and how alike both are, and it and the next row's.
 

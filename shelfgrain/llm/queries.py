@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, fingerprints, kd_shards, line_dedup, line_rules, mixing, quality, similarity_join, toxicity
+from . import byte_bpe, fingerprints, kd_shards, line_dedup, line_rules, mixing, ngram_lm, quality, similarity_join, toxicity
 from .common import LOWER, UPPER, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -186,3 +186,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity_join.similar_documents(documents(spark, sf_dir))
+
+
+@query("op1_bloom_lm")
+def op1_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = remainder(F.col("doc_id"), 7) == 2
+    scores = ngram_lm.score_texts(documents(spark, sf_dir), ~held_out)
+    return scores.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
