@@ -3,27 +3,49 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfgrain.llm import byte_bpe, line_dedup
-from shelfgrain.llm.common import stored
+from shelfgrain.llm import byte_bpe, line_dedup, mixing, quality, similarity_join
+from shelfgrain.llm.common import remainder, stored
 from shelfgrain.llm.queries import byte_vocabulary
 
 
-def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows, without lines that repeat across documents; n_chars follows the text."""
-    from pyspark.sql import functions as F
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.keep_good(docs, labels, remainder(F.col("doc_id"), 5) != 0)
+
 
-    kept = line_dedup.dedup_lines(docs.drop("n_chars")) if "n_chars" in docs.columns else line_dedup.dedup_lines(docs)
-    kept = kept.withColumn("n_chars", F.char_length("text").cast("bigint"))
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that repeat across documents; n_chars follows the text."""
+    kept = line_dedup.dedup_lines(docs)
+    if "n_chars" in docs.columns:
+        kept = kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return kept.select(*docs.columns)
 
 
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each class of near copies."""
+    return similarity_join.one_of_each(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: documents as often as they are taken, so a document may be there twice or not at all."""
+    return mixing.take(docs)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token count and digests of every row."""
     return byte_bpe.digest_texts(docs, *byte_vocabulary())
 
 
-STAGES = [("line dedup", dedup_lines), ("byte-level BPE", encode)]
+STAGES = [
+    ("quality classifier", keep_good),
+    ("line dedup", dedup_lines),
+    ("n-gram Jaccard join", one_of_each),
+    ("mixing sources", mix_sources),
+    ("byte-level BPE", encode),
+]
 
 # the classifier, the mix and the encoder are beyond SQL
 ORACLE_SQL = None

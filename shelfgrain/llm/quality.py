@@ -28,6 +28,7 @@ SLOTS = 8
 BINS = 2000
 RANGE = (-0.5, 1.5)
 SEED = 7
+THRESHOLD = 0.3
 # one training row in so many calibrates and has no part in the regression
 CALIBRATE = 4
 
@@ -226,3 +227,14 @@ def quality_scores(docs: DataFrame, labels: DataFrame, train: Column, id: str =
     """
     stats = stored(with_statistics(docs, id, text), "quality-stats")
     return score(stats, fit(stats, labels, train, id, label)).withColumnRenamed("id", id)
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, train: Column, threshold: float = THRESHOLD, id: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
+    """The input rows whose texts score at least `threshold`, with all their columns and without a shuffle."""
+    model = fit(stored(with_statistics(docs, id, text), "quality-stats"), labels, train, id, label)
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, text):
+            yield batch.filter(pa.array(model.score(statistics(texts_of(batch, text))) >= threshold))
+
+    return docs.mapInArrow(kept, docs.schema)

@@ -20,10 +20,10 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import hashed, mixed, slices, stored, texts_of, words
+from .common import fresh, hashed, mixed, slices, stored, texts_of, words
 
 SHINGLE_WORDS = 4
 THRESHOLD = Fraction(85, 100)
@@ -379,6 +379,19 @@ def similar_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", t
     return known.unionByName(others).select(F.col("id").alias(id), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
+def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", threshold: Fraction = THRESHOLD, width: int = SHINGLE_WORDS) -> DataFrame:
+    """The input rows without those whose class has a smaller id.
+
+    Of rows that share an id and class one stays; rows with a null id all stay.
+    """
+    gone, rank = fresh(docs, "join_gone", "join_rank")
+    found = similar_documents(docs.select(F.col(id).alias("id"), F.col(text).alias("text")), "id", "text", threshold, width)
+    copies = found.filter(F.col("id").isNotNull() & (F.col("component_id") < F.col("id"))).select(F.col("id").alias(gone)).distinct()
+    first = F.row_number().over(Window.partitionBy(id).orderBy(F.xxhash64(text)))
+    known = docs.filter(F.col(id).isNotNull()).join(copies, F.col(id) == F.col(gone), "left_anti").withColumn(rank, first).filter(F.col(rank) == 1).drop(rank)
+    return known.unionByName(docs.filter(F.col(id).isNull()))
+
+
 def _meet(packed: DataFrame) -> DataFrame:
     """Tiles of several nodes as rows (key, node, low), stored.
 
