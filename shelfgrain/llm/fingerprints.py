@@ -52,7 +52,7 @@ def shingles(texts: pa.Array, width: int = SHINGLE_WORDS, pad: bool = False) ->
     with np.errstate(over="ignore"):
         for back in range(width):
             part = np.zeros(len(code), np.uint64)
-            part[back:] = word[: len(code) - back]
+            part[back:] = word[: max(len(code) - back, 0)]
             part[at < back] = 0
             value = mixed(value * np.uint64(0x9E3779B97F4A7C15) + part + np.uint64(back))
     if pad:
