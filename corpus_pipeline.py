@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfgrain.llm import byte_bpe, line_dedup, mixing, quality, similarity_join
-from shelfgrain.llm.common import remainder, stored
+from shelfgrain.llm.common import fresh, remainder, stored
 from shelfgrain.llm.queries import byte_vocabulary
 
 
@@ -18,7 +18,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that repeat across documents; n_chars follows the text."""
-    kept = line_dedup.dedup_lines(docs)
+    n_lines, n_dropped = fresh(docs, "n_lines", "n_dropped")
+    kept = line_dedup.dedup_lines(docs, n_lines=n_lines, n_dropped=n_dropped)
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return kept.select(*docs.columns)
