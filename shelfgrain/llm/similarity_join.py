@@ -33,6 +33,7 @@ RANGE_BYTES = 32 << 20
 RANGE_KEYS = 4_000_000
 # nodes of a tile that are compared in one task; larger tiles are cut in blocks
 BLOCK_NODES = 1024
+BUFFER_ROWS = 50_000
 # up to so many rows of two numbers a side may be sent to all tasks
 BROADCAST_ROWS = 1_000_000
 LARGEST_BITMAP = 1 << 16
@@ -273,46 +274,54 @@ def _paired(threshold: Fraction):
 
     def compare(rows: pa.Table) -> pa.RecordBatch:
         get = lambda c: rows[c].to_numpy()
-        key, p, q, block, node, group, n = (get(c) for c in ("key", "p", "q", "block", "node", "class", "n"))
+        p, q, block, node, group, n = (get(c) for c in ("p", "q", "block", "node", "class", "n"))
+        starts = np.concatenate([[0], _changes(rows)])
+        tile = np.repeat(np.arange(len(starts)), np.diff(np.concatenate([starts, [rows.num_rows]])))
         raw = rows["bitmap"].to_pylist()
-        widths = {len(r) for r in raw}
-        narrow = min(widths) // 8
-        bits = np.stack([folded(np.frombuffer(r, np.uint64), narrow) for r in raw])
-        found: list[tuple[np.ndarray, np.ndarray]] = []
-        for step in range(1, rows.num_rows):
-            i = np.flatnonzero((key[:-step] == key[step:]) & (p[:-step] == p[step:]) & (q[:-step] == q[step:]))
-            if not len(i):
-                break
-            j = i + step
-            ok = (group[i] != group[j]) & ((p[i] == q[i]) | (block[i] != block[j]))
-            ok &= reach(threshold, np.minimum(n[i], n[j]), n[i] + n[j])
-            i, j = i[ok], j[ok]
-            differ = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1).astype(np.int64)
-            ok = reach(threshold, (n[i] + n[j] - differ) // 2, n[i] + n[j])
-            found.append((np.minimum(node[i[ok]], node[j[ok]]), np.maximum(node[i[ok]], node[j[ok]])))
-        a = np.concatenate([f[0] for f in found]) if found else np.zeros(0, np.int64)
-        b = np.concatenate([f[1] for f in found]) if found else np.zeros(0, np.int64)
-        pairs = np.unique(np.stack([a, b], axis=1), axis=0)
+        # bitmaps of a tile are brought to the width of its narrowest
+        width = np.minimum.reduceat(np.array([len(r) // 8 for r in raw]), starts)[tile]
+        found = [np.zeros((0, 2), np.int64)]
+        for narrow in np.unique(width):
+            of = np.flatnonzero(width == narrow)
+            bits = np.stack([folded(np.frombuffer(raw[k], np.uint64), narrow) for k in of])
+            for step in range(1, len(of)):
+                at = np.flatnonzero(tile[of[:-step]] == tile[of[step:]])
+                if not len(at):
+                    break
+                i, j = of[at], of[at + step]
+                ok = (group[i] != group[j]) & ((p[i] == q[i]) | (block[i] != block[j])) & reach(threshold, np.minimum(n[i], n[j]), n[i] + n[j])
+                at, i, j = at[ok], i[ok], j[ok]
+                differ = np.bitwise_count(bits[at] ^ bits[at + step]).sum(axis=1).astype(np.int64)
+                ok = reach(threshold, (n[i] + n[j] - differ) // 2, n[i] + n[j])
+                found.append(np.stack([np.minimum(node[i[ok]], node[j[ok]]), np.maximum(node[i[ok]], node[j[ok]])], axis=1))
+        pairs = np.unique(np.concatenate(found), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        held: list[pa.Table] = []
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            held = pa.concat_tables([held, table]) if held is not None else table
-            tile = [held[c].to_numpy() for c in ("key", "p", "q")]
-            changes = np.flatnonzero((tile[0][1:] != tile[0][:-1]) | (tile[1][1:] != tile[1][:-1]) | (tile[2][1:] != tile[2][:-1]))
+            held.append(pa.Table.from_batches([batch]))
+            if sum(t.num_rows for t in held) < BUFFER_ROWS:
+                continue
+            table = pa.concat_tables(held)
+            changes = _changes(table)
             if len(changes):
                 # the last tile may go on in the next batch
-                cut = int(changes[-1]) + 1
-                yield compare(held.slice(0, cut))
-                held = held.slice(cut).combine_chunks()
-        if held is not None and held.num_rows:
-            yield compare(held)
+                yield compare(table.slice(0, changes[-1]))
+                table = table.slice(changes[-1])
+            held = [table.combine_chunks()]
+        if held and sum(t.num_rows for t in held):
+            yield compare(pa.concat_tables(held))
 
     return pair
 
 
+def _changes(rows: pa.Table) -> np.ndarray:
+    """Where a new tile or pair of blocks begins, but for the first."""
+    columns = [rows[c].to_numpy() for c in ("key", "p", "q")]
+    return np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in columns])) + 1
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame:
     """The pairs (a, b) that reach the threshold, stored: bitmaps first, then the shingles of what is left."""
     light = lambda s: sets.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("bitmap").alias(f"bitmap_{s}"))
@@ -412,15 +421,19 @@ def _meet(packed: DataFrame) -> DataFrame:
 
 def _residual(tiles: DataFrame, named: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame:
     """Pairs of nodes that share a tile, are of different classes so far and pass the bitmap bound."""
-    labelled = tiles.select("key", "node").distinct().join(named, "node", "left").select("key", "node", F.coalesce("class", "node").alias("class"))
-    mixed_tiles = labelled.groupBy("key").agg(F.min("class").alias("one"), F.max("class").alias("other"), F.count(F.lit(1)).alias("held")).filter("one <> other")
-    blocks = mixed_tiles.select("key", F.ceil(F.col("held") / BLOCK_NODES).cast("int").alias("blocks"))
+    labelled = tiles.join(named, "node", "left").select("key", "node", "low", F.coalesce("class", "node").alias("class"))
+    mixed_tiles = (
+        labelled.groupBy("key").agg(F.min("class").alias("one"), F.max("class").alias("other"), F.count(F.lit(1)).alias("held"), F.min("low").alias("low"))
+        .filter("one <> other")
+    )
+    blocks = mixed_tiles.select("key", "low", F.ceil(F.col("held") / BLOCK_NODES).cast("int").alias("blocks"))
     rows = (
-        labelled.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks").cast("bigint")).cast("int"))
+        labelled.drop("low").join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks").cast("bigint")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("key", "node", "class", "block", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"))
+        .select("low", "key", "node", "class", "block", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"))
         .join(sets.select("node", "n", "bitmap"), "node")
     )
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartition(parts, "key", "p", "q").sortWithinPartitions("key", "p", "q")
+    # two nodes meet in many tiles, mostly with one low node: there their pair is found once
+    dealt = rows.repartition(parts, "low", "p", "q").sortWithinPartitions("low", "key", "p", "q")
     return dealt.mapInArrow(_paired(threshold), "a long, b long").distinct()
