@@ -51,10 +51,11 @@ _CLOSED_BY = {
 _SCOPE = frozenset("ul ol table tbody dl select div section article body".split())
 
 
+# a quote opens a value only behind =; elsewhere it is a character like others, as it is if it never closes
 _TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*+(?:"[^"]*"|'[^']*'|(?!["'])[^\s>]*|))*+)>""", re.S
 )
-_ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
+_ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|["']?([^\s>]+)))?""")
 _RAW_END = {"script": re.compile("</script", re.I), "style": re.compile("</style", re.I)}
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -65,29 +66,93 @@ _NODE = pa.struct(
 )
 
 
-def _walk(value, path, out):
-    if isinstance(value, dict):
-        node_type, node_id = value.get("type"), value.get("id")
-        out.append((path, "object", len(value), node_type if isinstance(node_type, str) else None,
-                    None if node_id is None else str(node_id)))
-        for key, inner in value.items():
-            _walk(inner, f"{path}.{key}", out)
-    elif isinstance(value, list):
-        out.append((path, "array", len(value), None, None))
-        for inner in value:
-            _walk(inner, path + "[]", out)
-    else:
-        kind = {str: "string", bool: "boolean", type(None): "null"}.get(type(value), "number")
-        out.append((path, kind, None, None, None))
+_JSON_TOKEN = re.compile(r'\s*(?:([{}\[\],:])|("(?:[^"\\]|\\.)*"|[^\s{}\[\],:"]+))', re.S)
+
+
+def _loads_deep(text):
+    """json.loads without recursion, for text nested deeper than that can go."""
+    top = []
+    stack, keys = [top], [None]
+    key, wanted, at = None, "value", 0
+    end = len(text.rstrip())
+    while at < end:
+        token = _JSON_TOKEN.match(text, at)
+        if not token:
+            raise ValueError("broken JSON")
+        at = token.end()
+        mark, scalar = token[1], token[2]
+        inside = stack[-1]
+        if mark in ("}", "]"):
+            closes = isinstance(inside, dict) if mark == "}" else isinstance(inside, list) and len(stack) > 1
+            if not closes or wanted not in ("next", "first"):
+                raise ValueError("broken JSON")
+            stack.pop()
+            key, wanted = keys.pop(), "next"
+        elif mark == ",":
+            if wanted != "next" or len(stack) == 1:
+                raise ValueError("broken JSON")
+            wanted = "key" if isinstance(inside, dict) else "value"
+        elif mark == ":":
+            if wanted != "colon":
+                raise ValueError("broken JSON")
+            wanted = "value"
+        elif isinstance(inside, dict) and wanted in ("first", "key"):
+            if not scalar or scalar[0] != '"':
+                raise ValueError("broken JSON")
+            key, wanted = json.loads(scalar), "colon"
+        elif wanted in ("value", "first"):
+            value = {} if mark == "{" else [] if mark == "[" else json.loads(scalar)
+            if isinstance(inside, dict):
+                inside[key] = value
+            else:
+                inside.append(value)
+            wanted = "next"
+            if mark:
+                stack.append(value)
+                keys.append(key)
+                wanted = "first"
+        else:
+            raise ValueError("broken JSON")
+    if len(stack) != 1 or len(top) != 1:
+        raise ValueError("broken JSON")
+    return top[0]
+
+
+def _walk(root):
+    """Nodes in document order, from a stack, so that depth does not matter."""
+    out, open_values = [], [(root, "$")]
+    while open_values:
+        value, path = open_values.pop()
+        if isinstance(value, dict):
+            node_type, node_id = value.get("type"), value.get("id")
+            out.append((path, "object", len(value), node_type if isinstance(node_type, str) else None,
+                        None if node_id is None else _id_text(node_id)))
+            open_values.extend((inner, f"{path}.{key}") for key, inner in reversed(value.items()))
+        elif isinstance(value, list):
+            out.append((path, "array", len(value), None, None))
+            open_values.extend((inner, path + "[]") for inner in reversed(value))
+        else:
+            kind = {str: "string", bool: "boolean", type(None): "null"}.get(type(value), "number")
+            out.append((path, kind, None, None, None))
+    return out
+
+
+def _id_text(value):
+    try:
+        return str(value)
+    except RecursionError:  # an id that is itself a deep tree
+        return None
 
 
 def _nodes_of(text):
-    out = []
     try:
-        _walk(json.loads(text), "$", out)
-    except (TypeError, ValueError, RecursionError):
+        try:
+            root = json.loads(text)
+        except RecursionError:
+            root = _loads_deep(text)
+    except (TypeError, ValueError):
         return None
-    return [dict(zip(("path", "kind", "items", "type", "id"), node)) for node in out]
+    return [dict(zip(("path", "kind", "items", "type", "id"), node)) for node in _walk(root)]
 
 
 @F.arrow_udf(NODE_TYPE)

@@ -24,7 +24,7 @@ class ScoreConfig:
 
     input: str = "fact_reviews"
     output: str = "predicted_reviews"
-    test_limit: int = 1000
+    test_limit: int = 0
     sample_mode: str = "random"
     seed: int = 42
     npartitions: int = 0

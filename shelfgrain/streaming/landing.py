@@ -2,42 +2,55 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.ordering import top_per_key
+
+BATCH = "batch_id"
+
 
 def stream_landing(
     spark: SparkSession,
     path: str,
     schema: T.StructType,
     keys: list[str],
-    event_time: str,
-    delay: str = "7 days",
     fmt: str = "parquet",
     files_per_trigger: int = 1000,
 ) -> DataFrame:
-    """Rows of new files; a key seen again within the delay is dropped, as are rows without a key.
-
-    State holds keys only, and only for the delay, so it does not grow with history.
-    """
+    """Rows of new files; rows without a key are dropped."""
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
     if fmt == "csv":
         reader = reader.option("header", True).option("multiLine", True).option("escape", '"')
     rows = reader.format(fmt).load(path)
     for key in keys:
         rows = rows.filter(F.col(key).isNotNull() & (F.col(key).cast("string") != ""))
-    return rows.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
-
-
-def drain(stream: DataFrame, out: str, checkpoint: str, fmt: str = "parquet") -> None:
-    """Process everything that has landed, then stop. Exactly once per file and checkpoint."""
-    query = (
-        stream.writeStream.format(fmt)
-        .option("path", out)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+    return rows
+
+
+def drain(stream: DataFrame, out: str, checkpoint: str, keys: list[str], order: list[Column | str]) -> None:
+    """Process everything that has landed, then stop; a key that was picked up before is left out.
+
+    What was picked up is itself the list of known keys, so a file counts as new by its
+    keys and not by its dates: an old file that arrives late loses nothing. Of rows that
+    share a key within a batch the first by `order` stays. A batch that is run again
+    replaces its own rows, as it compares itself with other batches only.
+    """
+
+    def pick_up(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        first = top_per_key(batch, keys, order, 1)
+        if _has_files(spark, out):
+            known = spark.read.schema(first.schema.add(BATCH, "long")).parquet(out).filter(F.col(BATCH) != number).select(*keys)
+            first = first.join(known, keys, "left_anti").select(*batch.columns)
+        placed = first.withColumn(BATCH, F.lit(number).cast("long"))
+        placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(out)
+
+    query = stream.writeStream.foreachBatch(pick_up).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
+
+
+def _has_files(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)

@@ -16,7 +16,7 @@ FRONTIER_SORTS = ["POPULARITY", "RECENT"]
 
 @query("frontier", """
 WITH jobs AS (
-  SELECT CAST(p_partkey AS VARCHAR) AS product_id, least(CAST(ceil(p_size / 20.0) AS BIGINT), 2) AS n FROM part),
+  SELECT CAST(p_partkey AS VARCHAR) AS product_id, CAST(ceil(p_size / 20.0) AS BIGINT) AS n FROM part),
 pages AS (SELECT product_id, CAST(unnest(generate_series(1, n)) AS INTEGER) AS page FROM jobs)
 SELECT product_id, page, sort,
        'page=' || page || '&pageSize=20&goodsNo=' || product_id || '&sort=' || sort AS request,
@@ -25,7 +25,7 @@ FROM pages, (VALUES ('POPULARITY'), ('RECENT')) AS s(sort)
 """)
 def frontier(spark: SparkSession, folder: str) -> DataFrame:
     jobs = v.products(spark, folder).select("product_id", (F.col("rating") * 10).cast("bigint").alias("total"))
-    rows = paging.frontier(jobs, paging.page_count(F.col("total"), 20, 2), FRONTIER_SORTS)
+    rows = paging.frontier(jobs, paging.page_count(F.col("total"), 20), FRONTIER_SORTS)
     request = paging.query_string([("page", F.col("page")), ("pageSize", F.lit(20)), ("goodsNo", F.col("product_id")), ("sort", F.col("sort"))])
     encoded = paging.json_parameter({"page": F.col("page"), "pageSize": F.lit(20), "sort": F.col("sort"), "menu": F.lit("a/b c")})
     return rows.select("product_id", "page", "sort", request.alias("request"), F.concat(F.lit("params="), encoded).alias("encoded"))

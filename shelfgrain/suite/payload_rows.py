@@ -49,7 +49,11 @@ SELECT p_type AS category_code, page, CAST(id AS VARCHAR) AS node_id,
 FROM found
 """)
 def typed_node_ids(spark: SparkSession, folder: str) -> DataFrame:
-    return payloads.find_nodes(v.ranking_payloads(spark, folder).drop("n_items"), "payload")
+    """Some payloads begin with a tree of 3,000 levels."""
+    pages = v.ranking_payloads(spark, folder).drop("n_items")
+    tree = F.concat(F.lit('{"tree":'), F.repeat(F.lit('{"a":'), 3000), F.lit("1"), F.repeat(F.lit("}"), 3000), F.lit(","), F.expr("substr(payload, 2)"))
+    deep = F.col("category_code").startswith("PROMO BRUSHED") & (F.col("page") == 1)
+    return payloads.find_nodes(pages.withColumn("payload", F.when(deep, tree).otherwise(F.col("payload"))), "payload")
 
 
 @query("original_price", f"""

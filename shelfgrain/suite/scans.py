@@ -149,14 +149,19 @@ WITH {v.DUPLICATED}
 SELECT review_uid, any_value(md5(content)) AS digest FROM v_dup_reviews WHERE review_uid <> '' GROUP BY review_uid
 """)
 def landing_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Files land newest first, half a year apart, and are picked up one by one."""
     root, out, state = (scratch_dir(spark, n) for n in ("arrivals", "picked-up", "stream-state"))
-    rows = v.duplicated_reviews(spark, folder).filter(F.col("review_uid") != "").select(
+    part = F.col("arrival") % 3
+    rows = v.duplicated_reviews(spark, folder).select(
         "review_uid",
         F.md5("content").alias("digest"),
-        F.timestamp_seconds(F.col("arrival") % 86400 + F.lit(1751414400)).alias("scraped_at"),
+        F.timestamp_seconds(F.col("arrival") % 86400 + F.lit(1751414400) - part * F.lit(180 * 86400)).alias("scraped_at"),
+        part.alias("part"),
     )
-    rows.write.parquet(root)
-    drain(stream_landing(spark, root, rows.schema, ["review_uid"], "scraped_at"), out, state)
+    for number in range(3):
+        rows.filter(F.col("part") == number).drop("part").coalesce(1).write.mode("append").parquet(root)
+    stream = stream_landing(spark, root, rows.drop("part").schema, ["review_uid"], files_per_trigger=1)
+    drain(stream, out, state, ["review_uid"], [F.col("scraped_at"), F.col("digest")])
     return spark.read.parquet(out).select("review_uid", "digest")
 
 

@@ -81,6 +81,5 @@ def score_job(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
-    """Scores and labels of a balanced sample."""
-    cfg = ScoreConfig(test_limit=300, sample_mode="balanced")
-    return score_frame(v.reviews(spark, folder), cfg, lexicon).select("review_uid", "star", "true_label", "prob", "pred_label", "is_correct")
+    """Scores and labels of all reviews."""
+    return score_frame(v.reviews(spark, folder), ScoreConfig(sample_mode="none"), lexicon).select("review_uid", "star", "true_label", "prob", "pred_label", "is_correct")

@@ -357,7 +357,7 @@ def marked_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def listing_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """Listing pages of 24 products in three block forms, with unclosed tags."""
+    """Listing pages of 24 products in three block forms, with unclosed tags and stray quotes."""
     key = F.col("p_partkey")
     page = (F.floor(key / LISTING_SPAN)).cast("int")
     price = F.format_number(F.round(F.col("p_retailprice") * 100).cast("bigint"), 0)
@@ -375,15 +375,15 @@ def listing_pages(spark: SparkSession, folder: str) -> DataFrame:
     )
     form = page % 3
     item = (
-        F.when(form == 0, text_of('<div class="prd_info new">', body, "</div>"))
-        .when(form == 1, text_of('<li class="prd_item">', body))
+        F.when(form == 0, text_of(F.when(key % 4 == 1, '<div class="prd_info new"">').otherwise('<div title="5" x" class="prd_info new">'), body, "</div>"))
+        .when(form == 1, text_of(F.when(key % 4 == 1, "<li data-t=it's class='prd_item'>").otherwise('<li class="prd_item">'), body))
         .otherwise(text_of("<article>", body, "</article>"))
     )
     total = F.when(F.col("page") % 4 == 0, '<p class="cate_info_tx">총 <b>1,385</b>개</p>').when(
         F.col("page") % 4 == 1, '<div class="pageing"><a href="?p=1">1</a><a href="?p=2">2</a><a href="?p=12">12</a><a>다음</a></div>'
     ).when(F.col("page") % 4 == 2, '<div class="pageing"></div>')
     grouped = table(spark, folder, "part").groupBy(page.alias("page")).agg(joined_by_id("p_partkey", item).alias("items"))
-    html = text_of("<!DOCTYPE html><html><head><script>if(a<b){}</script></head><body>", total, "<ul>", F.col("items"), "</ul></body></html>")
+    html = text_of("<!DOCTYPE html><html><head><script>if(a<b){}</script></head><body>", total, "<ul>", F.col("items"), '</ul></body></html><i data-x="open>')
     return grouped.select("page", html.alias("html"))
 
 
@@ -392,7 +392,7 @@ def review_pages(spark: SparkSession, folder: str) -> DataFrame:
     doc = F.col("doc_id")
     star = F.when(doc % 23 != 0, text_of('<span class="point">', doc % 6, "점</span>"))
     item = text_of(
-        '<li><div class="score_area">', star, '<span class="date">2024.03.', F.lpad((doc % 28 + 1).cast("string"), 2, "0"), "</span>",
+        F.when(doc % 7 == 3, '<li title="a" b"><div class="score_area"">').otherwise("<li data-t=it's><div class=score_area>"), star, '<span class="date">2024.03.', F.lpad((doc % 28 + 1).cast("string"), 2, "0"), "</span>",
         F.when(doc % 3 == 0, '<span class="ico_offlineStore">매장</span>'), "</div>",
         F.when(doc % 4 == 0, '<p class="tag"><span>지성</span><span>쿨톤</span></p>'),
         F.when(doc % 29 != 0, text_of('<div class="txt_inner">', escaped(F.col("text")), "</div>")),

@@ -30,7 +30,7 @@ def test_nested_lists_keep_their_items():
     assert outline("<ul><li>a<ul><li>b</li></ul></li></ul>")[-2:] == [("li", "ul"), ("b", "li")]
 
 
-def test_scripts_comments_entities_and_stray_signs():
+def test_raw_text_comments_references_and_loose_signs():
     assert outline('<p title="a>b">x &lt;y&gt; &copy;</p><!-- <b> --><script>if(a<b){"</p>"}</script>1 < 2') == [
         ("p", ""), ("x <y> ©", "p"), ("script", ""), ('if(a<b){"</p>"}', "script"), ("1 < 2", "")]
 
@@ -132,3 +132,17 @@ def test_page_without_anything_gives_no_rows(spark):
     empty = spark.createDataFrame([(None,), ("",)], "html string")
     assert om.extract_products(empty).count() == 0
     assert om.page_totals(empty).select("total_items").distinct().collect()[0][0] == 24
+
+
+def test_quotes_out_of_place():
+    assert outline('<div class="a"">x</div><p>y</p>') == [("div", ""), ("x", "div"), ("p", ""), ("y", "p")]
+    n = read("""<a title="5" x" class='c'>t</a>""")
+    assert n.text[1] == "t" and dict(n.attrs[0])["class"] == "c"
+    n = read("<b data-t=it's class=d>t</b>")
+    assert dict(n.attrs[0]) == {"data-t": "it's", "class": "d"}
+    assert outline('<i>a</i><b class="open>c</b>')[:2] == [("i", ""), ("a", "i")]
+    assert outline('<b class="open>c</b>') == [("b", ""), ("c", "b")]
+
+
+def test_many_quoted_attributes_without_an_end_are_read_in_time():
+    assert read('<b a="1" ' * 20_000).text[0].startswith("<b")

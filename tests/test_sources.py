@@ -109,15 +109,25 @@ def test_stream_picks_up_new_files_once(spark, folder):
     schema = T.StructType().add("id", "string").add("scraped_at", "timestamp")
     out, state = f"{folder}/out", f"{folder}/state"
 
-    def land(ids):
-        at = dt.datetime(2025, 7, 2)
+    def land(ids, at=dt.datetime(2025, 7, 2)):
         spark.createDataFrame([(i, at) for i in ids], schema).write.mode("append").parquet(f"{folder}/in")
-        drain(stream_landing(spark, f"{folder}/in", schema, ["id"], "scraped_at"), out, state)
+        drain(stream_landing(spark, f"{folder}/in", schema, ["id"]), out, state, ["id"], ["scraped_at"])
         return rows(spark.read.parquet(out).select("id"))
 
     assert land(["a", "b", "a", "", None]) == [("a",), ("b",)]
     assert land(["b", "c"]) == [("a",), ("b",), ("c",)]
     assert land([]) == [("a",), ("b",), ("c",)]
+    # months older than what has been seen, but new
+    assert land(["old", "a"], dt.datetime(2025, 1, 5)) == [("a",), ("b",), ("c",), ("old",)]
+
+
+def test_a_batch_that_runs_again_replaces_itself(spark, folder):
+    schema = T.StructType().add("id", "string").add("n", "int")
+    out, state = f"{folder}/out", f"{folder}/state"
+    spark.createDataFrame([("a", 1), ("a", 0), ("b", 2)], schema).write.parquet(f"{folder}/in")
+    for attempt in range(2):  # a fresh checkpoint numbers its batches from 0 again, as a repeated batch does
+        drain(stream_landing(spark, f"{folder}/in", schema, ["id"]), out, f"{state}{attempt}", ["id"], [F.col("n")])
+        assert rows(spark.read.parquet(out).select("id", "n")) == [("a", 0), ("b", 2)]
 
 
 def fact_table(spark, folder):
