@@ -76,9 +76,10 @@ class _Nodes:
     def _read(self, html: str) -> None:
         base = len(self.pos)
         open_nodes: list[tuple[int, str]] = []
-        at = 0
+        at, last = 0, html.rfind(">")
         while at < len(html):
-            token = _TOKEN.search(html, at)
+            # nothing ends behind the last > but an open comment
+            token = _TOKEN.search(html, at) if at <= last or html.find("<!--", at) >= 0 else None
             end = token.start() if token else len(html)
             if end > at:
                 self._add(base, open_nodes, "#text", None, unescape(html[at:end]))

@@ -8,6 +8,8 @@ that is joined back, where Spark may split the rows of a hot key.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,7 +18,7 @@ SLICES = 256
 SMALL_LIMIT = 4
 
 
-def numbered(df: DataFrame, keys: list[str], order_id: str, out: str = "position", span: int = ID_SPAN, id_limit: int = 1 << 48) -> DataFrame:
+def numbered(df: DataFrame, keys: list[str], order_id: str, out: str = "position", span: int = ID_SPAN, id_limit: int = 1 << 64) -> DataFrame:
     """1-based position of each row within its key, ordered by a unique integer `order_id`.
 
     A key is cut into id ranges of `span`, these into ranges of span x span, and so on up
@@ -81,13 +83,32 @@ def _first_of_slices(df: DataFrame, keys: list[str], order: list[Column], n: int
     return sliced.withColumn("_first", F.row_number().over(within)).filter(F.col("_first") <= n).drop("_first", "_slice")
 
 
-def top_rows(df: DataFrame, order: list[Column], n: int, slices: int = SLICES) -> DataFrame:
-    """The first n rows of the whole input, ordered; taken per input slice first."""
-    if n > SMALL_LIMIT and slices > 1:
-        df = _first_of_slices(df, [], order, n, slices)
+def top_rows(df: DataFrame, order: list[Column], n: int) -> DataFrame:
+    """The first n rows of the whole input, ordered. Spark keeps n rows of each partition on the way and sorts none."""
     return df.orderBy(*order).limit(n)
 
 
+def rows_between(df: DataFrame, order: list[Column], first: int, last: int, path: str) -> DataFrame:
+    """Rows number first to last (from 1) of a total order, however deep.
+
+    The rows are written in that order once, over many files; the counts of the files tell
+    which of them hold the rows asked for, and only those are read.
+    """
+    spark = df.sparkSession
+    df.orderBy(*order).withColumn("_serial", F.monotonically_increasing_id()).write.parquet(path)
+    kept = spark.read.parquet(path)
+    part = F.shiftright("_serial", 33)
+    before, wanted = 0, []
+    for row in kept.groupBy(part.alias("part")).count().orderBy("part").collect():
+        low, high = max(first - before, 1), min(last - before, row["count"])
+        if low <= high:
+            start = row["part"] << 33
+            wanted.append(F.col("_serial").between(start + low - 1, start + high - 1))
+        before += row["count"]
+    chosen = kept.filter(reduce(Column.__or__, wanted)) if wanted else kept.limit(0)
+    return chosen.orderBy("_serial").drop("_serial")
+
+
 def with_key_value(df: DataFrame, keys: list[str], source: DataFrame, value: Column, out: str) -> DataFrame:
     """Attach one aggregate per key. The aggregate is pre-combined; the join may split hot keys."""
     per_key = source.groupBy(*keys).agg(value.alias(out))

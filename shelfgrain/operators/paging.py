@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 from ..functions import numbers, text
-from .ordering import numbered, top_per_key, top_rows, with_key_value
+from ..session import scratch_dir
+from .ordering import numbered, rows_between, top_per_key, top_rows, with_key_value
+
+DEEP_ROWS = 100_000
 
 
 def frontier(jobs: DataFrame, n_pages: Column | int, sorts: list[str], first_page: int = 1) -> DataFrame:
@@ -103,9 +106,15 @@ def sample_top(df: DataFrame, key: str, order: list[Column], n: int = 3) -> Data
     return top_per_key(df, [key], order, n, rank="sample_no")
 
 
-def page_slice(df: DataFrame, order: list[Column], page: int, size: int) -> DataFrame:
-    """One page of an ordered table. Only the rows up to that page are kept on the way."""
-    return top_rows(df, order, page * size).offset((page - 1) * size)
+def page_slice(df: DataFrame, order: list[Column], page: int, size: int, deep: int = DEEP_ROWS) -> DataFrame:
+    """One page of an ordered table.
+
+    Up to `deep` rows the rows before the page meet in one task; beyond, the table is
+    written in order and only the files with the page are read.
+    """
+    if page * size <= deep:
+        return top_rows(df, order, page * size).offset((page - 1) * size)
+    return rows_between(df, order, (page - 1) * size + 1, page * size, scratch_dir(df.sparkSession, "ordered"))
 
 
 def page_slice_per_key(df: DataFrame, key: str, order_id: str, page: int, size: int) -> DataFrame:

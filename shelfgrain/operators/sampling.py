@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
@@ -10,6 +10,9 @@ from .ordering import top_per_key, top_rows
 
 # ids of a sample up to this many rows go to every executor; larger ones are shuffled
 BROADCAST_IDS = 200_000
+# samples up to this many rows of a label are ranked, larger ones cut off by digest; below Spark's own limit
+# for keeping a row limit before the shuffle, which the session sets
+RANKED_ROWS = 500_000
 
 
 def seeded_order(uid: str, seed: int) -> list[Column]:
@@ -23,7 +26,7 @@ def sample(df: DataFrame, limit: int, mode: str = "random", seed: int = 42, uid:
     none: everything (as with a limit of 0 or less). head: the first rows by id.
     balanced: a third per label; positive and neutral both get the rounding extra.
     random: half positive, half negative, an odd remainder from all other rows.
-    Rows without an id cannot be told apart and are left out of random samples.
+    Rows without an id cannot be told apart and are left out of random and balanced samples.
     """
     if mode == "none" or limit <= 0:
         return df
@@ -46,24 +49,55 @@ def quotas(limit: int) -> dict[str, int]:
 
 def _balanced(df: DataFrame, limit: int, seed: int, uid: str, label: str) -> DataFrame:
     quota = quotas(limit)
-    ranked = top_per_key(df, [label], seeded_order(uid, seed), max(quota.values()), rank="_rank")
-    allowed = F.lit(0)
-    for name, n in quota.items():
-        allowed = F.when(F.col(label) == name, n).otherwise(allowed)
-    return ranked.filter(F.col("_rank") <= allowed).drop("_rank")
+    known = df.filter(F.col(uid).isNotNull())
+    if max(quota.values()) > RANKED_ROWS:
+        return first_by_digest(known, quota, label, uid, seed)
+    ranked = top_per_key(known, [label], seeded_order(uid, seed), max(quota.values()), rank="_rank")
+    return ranked.filter(F.col("_rank") <= _of_label(quota, label)).drop("_rank")
+
+
+def _of_label(values: dict[str, int], label: str) -> Column:
+    out = F.lit(0)
+    for name, n in values.items():
+        out = F.when(F.col(label) == name, n).otherwise(out)
+    return out
+
+
+def first_by_digest(df: DataFrame, quota: dict[str, int], label: str, uid: str, seed: int) -> DataFrame:
+    """The first rows of each label by the digest of their id, for quotas of any size.
+
+    A histogram over the first 16 bits of the digest gives the cut-off of each label. Rows
+    below it are taken as they are; only those at it, a 65,536th of the label, are ranked.
+    """
+    digest, *tie = seeded_order(uid, seed)
+    placed = df.filter(F.col(label).isin(list(quota))).withColumn("_bin", F.conv(F.substring(digest, 1, 4), 16, 10).cast("int"))
+    upto = F.sum("n").over(Window.partitionBy(label).orderBy("_bin"))
+    counts = placed.groupBy(label, "_bin").agg(F.count(F.lit(1)).alias("n")).withColumn("upto", upto)
+    crossing = {r[label]: r for r in counts.filter((F.col("upto") >= _of_label(quota, label)) & (F.col("upto") - F.col("n") < _of_label(quota, label))).collect()}
+    cut = _of_label({name: crossing[name]["_bin"] if name in crossing else 1 << 16 for name in quota}, label)
+    left = _of_label({name: quota[name] - (crossing[name]["upto"] - crossing[name]["n"]) if name in crossing else 0 for name in quota}, label)
+    below = placed.filter(F.col("_bin") < cut)
+    at = placed.filter(F.col("_bin") == cut).withColumn("_rank", F.row_number().over(Window.partitionBy(label, "_bin").orderBy(digest, *tie)))
+    return below.unionByName(at.filter(F.col("_rank") <= left).drop("_rank")).drop("_bin")
 
 
 def _random(df: DataFrame, limit: int, seed: int, uid: str, label: str) -> DataFrame:
     half, rest = limit // 2, limit % 2
     known = df.filter(F.col(uid).isNotNull())
     order = seeded_order(uid, seed)
-    ends = known.filter(F.col(label).isin(fv.POSITIVE, fv.NEGATIVE))
-    chosen = top_per_key(ends, [label], order, half) if half else ends.limit(0)
+    ends = [fv.POSITIVE, fv.NEGATIVE]
+    if half > RANKED_ROWS:
+        chosen = first_by_digest(known, dict.fromkeys(ends, half), label, uid, seed)
+        return chosen.unionByName(top_rows(exclude(known, chosen, uid), order, rest)) if rest else chosen
+    # one row more than its half of each end, and one of all others: the remainder is the first of these
+    kept = known.withColumn("_end", F.when(F.col(label).isin(ends), F.col(label)).otherwise(""))
+    ranked = top_per_key(kept if rest else kept.filter(F.col("_end") != ""), ["_end"], order, half + rest, rank="_rank")
+    chosen = (F.col("_end") != "") & (F.col("_rank") <= half)
     if not rest:
-        return chosen
-    ids = chosen.select(uid)
-    others = exclude(known, ids, uid, at_most=2 * half)
-    return chosen.unionByName(top_rows(others, order, rest))
+        return ranked.filter(chosen).drop("_end", "_rank")
+    spare = ranked.filter(chosen | (F.col("_rank") == F.when(F.col("_end") == "", 1).otherwise(half + 1)))
+    place = Window.partitionBy(F.when(chosen, F.struct("_end", "_rank"))).orderBy(*order)
+    return spare.withColumn("_place", F.row_number().over(place)).filter(F.col("_place") == 1).drop("_end", "_rank", "_place")
 
 
 def exclude(df: DataFrame, ids: DataFrame, key: str, at_most: int | None = None) -> DataFrame:

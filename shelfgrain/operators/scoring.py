@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, RegexTokenizer
@@ -16,25 +20,33 @@ from .. import fixed_values as fv
 from ..functions import text
 
 Scorer = Callable[[pd.Series], pd.Series]
-_LOADED: dict[str, Scorer] = {}
+KEPT = "_shelfgrain_scorers"
 
 
 def _loaded(key: str, make_scorer: Callable[[], Scorer]) -> Scorer:
-    if key not in _LOADED:
-        _LOADED[key] = make_scorer()
-    return _LOADED[key]
+    """The scorer of this process; made on first use.
+
+    Functions may travel to the workers by value, and their module's globals with them, so
+    what is to last from task to task hangs in sys.modules.
+    """
+    kept = sys.modules.setdefault(KEPT, types.ModuleType(KEPT)).__dict__
+    if key not in kept:
+        kept[key] = make_scorer()
+    return kept[key]
 
 
 def score_text(df: DataFrame, col: str, make_scorer: Callable[[], Scorer], key: str, out: str = "prob") -> DataFrame:
     """Probability of a positive text from a vectorised scorer, in Arrow batches.
 
-    `make_scorer` runs on the workers, once per process and `key`, so a model travels as
-    the recipe to load it. The batch size is spark.sql.execution.arrow.maxRecordsPerBatch.
+    `make_scorer` runs on the workers, once per process, `key` and recipe, so a model
+    travels as the recipe to load it, and two recipes are two scorers even under one key.
+    The batch size is spark.sql.execution.arrow.maxRecordsPerBatch.
     """
+    own_key = f"{key}-{hashlib.sha256(cloudpickle.dumps(make_scorer)).hexdigest()}"
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        scorer = _loaded(key, make_scorer)
+        scorer = _loaded(own_key, make_scorer)
         for batch in batches:
             yield scorer(batch).astype("float64")
 

@@ -35,6 +35,23 @@ def score_pandas_udf(spark: SparkSession, folder: str) -> DataFrame:
     return scoring.with_pred_label(scored).select("review_uid", F.round("prob", 6).alias("prob"), "pred_label")
 
 
+_SWAPPED = """
+  (len(regexp_extract_all(lower(content), 'tion|sch|ou|별로')) + 1)
+  / CAST(len(regexp_extract_all(lower(content), 'the|que|und|추천')) + len(regexp_extract_all(lower(content), 'tion|sch|ou|별로')) + 2 AS DOUBLE)"""
+
+
+@query("score_two_models", f"""
+WITH {_SCORED_TEXT}
+SELECT review_uid, round(prob, 6) AS one, round({_SWAPPED}, 6) AS other FROM v_text
+""")
+def score_two_models(spark: SparkSession, folder: str) -> DataFrame:
+    """Two scorers under one key."""
+    rows = _labelled(spark, folder).select("review_uid", "content")
+    one = scoring.score_text(rows, "content", scoring.word_count_scorer(POSITIVE, NEGATIVE), "model", out="one")
+    both = scoring.score_text(one, "content", scoring.word_count_scorer(NEGATIVE, POSITIVE), "model", out="other")
+    return both.select("review_uid", F.round("one", 6).alias("one"), F.round("other", 6).alias("other"))
+
+
 @query("score_lexicon", f"""
 WITH {_SCORED_TEXT}
 SELECT review_uid, round(prob, 6) AS prob FROM v_text
