@@ -18,7 +18,7 @@ from ..session import scratch_dir
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLANKS = " \t\n\x0b\f\r"
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

@@ -34,9 +34,11 @@ RANGE_KEYS = 4_000_000
 # nodes of a tile that are compared in one task; larger tiles are cut in blocks
 BLOCK_NODES = 1024
 BUFFER_ROWS = 50_000
+# tasks over which the tiles of one low node are dealt
+SHARES = 8
 # up to so many rows of two numbers a side may be sent to all tasks
 BROADCAST_ROWS = 1_000_000
-LARGEST_BITMAP = 1 << 16
+SMALLEST_BITMAP, LARGEST_BITMAP = 1 << 9, 1 << 16
 
 
 def shingle_sets(texts: pa.Array, width: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -138,14 +140,14 @@ def digests(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def bitmaps(values: np.ndarray, counts: np.ndarray) -> list[bytes]:
-    """Hashed parity bitmaps as wide as the next power of two: bit i is the parity of the shingles that hash to i.
+    """Hashed parity bitmaps, at least as wide as the next power of two: bit i is the parity of the shingles that hash to i.
 
     Halving a bitmap by xor gives the bitmap of half the width, so any two can be compared.
     """
     out = []
     bits = (mixed(values) >> np.uint64(48)).astype(np.int64)
     for n, v in zip(counts, np.split(bits, np.cumsum(counts)[:-1])):
-        width = min(LARGEST_BITMAP, max(64, 1 << int(n - 1).bit_length())) if n else 64
+        width = min(LARGEST_BITMAP, max(SMALLEST_BITMAP, 1 << int(n - 1).bit_length())) if n else SMALLEST_BITMAP
         out.append(np.packbits(np.bincount(v % width, minlength=width) & 1, bitorder="little").tobytes())
     return out
 
@@ -434,6 +436,6 @@ def _residual(tiles: DataFrame, named: DataFrame, sets: DataFrame, threshold: Fr
         .join(sets.select("node", "n", "bitmap"), "node")
     )
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # two nodes meet in many tiles, mostly with one low node: there their pair is found once
-    dealt = rows.repartition(parts, "low", "p", "q").sortWithinPartitions("low", "key", "p", "q")
+    # two nodes meet in many tiles, mostly with one low node: there their pair is found once, or once in each of few shares
+    dealt = rows.repartition(parts, "low", F.pmod("key", F.lit(SHARES)), "p", "q").sortWithinPartitions("low", "key", "p", "q")
     return dealt.mapInArrow(_paired(threshold), "a long, b long").distinct()
