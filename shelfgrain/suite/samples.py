@@ -36,11 +36,15 @@ def sample_head(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("sample_balanced", f"""
 WITH {v.LABELLED}, ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY true_label ORDER BY md5('{SEED}' || review_uid), review_uid) AS rn FROM v_labelled)
+  SELECT *, row_number() OVER (PARTITION BY true_label ORDER BY md5('{SEED}' || review_uid), review_uid) AS rn
+  FROM v_labelled WHERE md5(review_uid) >= '1')
 SELECT review_uid, star, true_label FROM ranked WHERE rn <= CASE true_label WHEN 'negative' THEN 100 ELSE 101 END
 """)
 def sample_balanced(spark: SparkSession, folder: str) -> DataFrame:
-    return sampling.sample(_labelled(spark, folder), LIMIT, "balanced", SEED)
+    """Some rows have no id; they take no place of others."""
+    rows = _labelled(spark, folder)
+    some = rows.withColumn("review_uid", F.when(F.md5("review_uid") >= "1", F.col("review_uid")))
+    return sampling.sample(some, LIMIT, "balanced", SEED)
 
 
 _RANDOM = f"""

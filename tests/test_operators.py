@@ -1,5 +1,6 @@
 """Operators on hand-made tables, against plain Python where there is a rule to restate."""
 
+import os
 import random
 
 import pytest
@@ -43,9 +44,9 @@ def test_top_per_key_with_one_hot_key(spark, n):
     assert got == sorted(want, key=repr)
 
 
-def test_top_rows_over_slices(spark):
+def test_top_rows(spark):
     df = spark.range(5000).repartition(8).withColumn("x", F.col("id") * 7919 % 5003)
-    got = [r["x"] for r in ordering.top_rows(df, [F.col("x")], 100, slices=3).collect()]
+    got = [r["x"] for r in ordering.top_rows(df, [F.col("x")], 100).collect()]
     assert got == sorted(i * 7919 % 5003 for i in range(5000))[:100]
 
 
@@ -320,3 +321,53 @@ def test_scorer_is_built_once_per_process_and_matches_the_native_form(spark):
     made = []
     assert scoring._loaded("k", lambda: made.append(1) or (lambda s: s)) is scoring._loaded("k", lambda: made.append(1))
     assert made == [1]
+
+
+@pytest.mark.parametrize("mode", ["random", "balanced"])
+@pytest.mark.parametrize("limit", [300, 301, 90, 2000])
+def test_samples_by_cut_off_are_those_by_rank(spark, monkeypatch, mode, limit):
+    names = F.array(F.lit("positive"), F.lit("neutral"), F.lit("negative"))
+    rows = spark.range(1200).select(
+        F.when(F.col("id") % 40 != 0, F.col("id").cast("string")).alias("review_uid"), F.element_at(names, (F.col("id") % 5 % 3 + 1).cast("int")).alias("true_label")
+    )
+    ranked = sorted(r["review_uid"] for r in sampling.sample(rows, limit, mode).collect())
+    monkeypatch.setattr(sampling, "RANKED_ROWS", 0)
+    assert sorted(r["review_uid"] for r in sampling.sample(rows, limit, mode).collect()) == ranked
+    assert None not in ranked and len(set(ranked)) == len(ranked)
+
+
+def test_deep_pages(spark):
+    rows = spark.range(0, 1000, numPartitions=5).select((F.col("id") * 7919 % 1000).alias("id"))
+    for page, size in ((1, 10), (37, 20), (50, 20), (51, 20), (100, 10)):
+        want = list(range((page - 1) * size, min(page * size, 1000)))
+        for deep in (0, 10_000):
+            assert [r["id"] for r in paging.page_slice(rows, [F.col("id")], page, size, deep).collect()] == want
+
+
+def test_numbering_takes_any_integer(spark):
+    ids = [-(2**63), -1, 0, 5, 2**48 + 3, 2**63 - 1]
+    rows = spark.createDataFrame([(i,) for i in ids], "id long")
+    got = {r["id"]: r["position"] for r in ordering.numbered(rows.withColumn("k", F.lit(1)), ["k"], "id").collect()}
+    assert got == {i: n for n, i in enumerate(ids, 1)}
+
+
+def test_a_scorer_is_made_once_per_process(spark, tmp_path):
+    folder = str(tmp_path)
+
+    def factory(value):
+        def make():
+            import os
+            import uuid
+
+            with open(f"{folder}/{value}-{os.getpid()}-{uuid.uuid4().hex}", "w"):
+                pass
+            return lambda texts: texts.str.len() * 0.0 + value
+
+        return make
+
+    rows = spark.range(0, 64, numPartitions=16).select(F.col("id").cast("string").alias("text"))
+    one = scoring.score_text(rows, "text", factory(1.0), "key", out="one")
+    both = scoring.score_text(one, "text", factory(2.0), "key", out="other")
+    assert {(r["one"], r["other"]) for r in both.collect()} == {(1.0, 2.0)}
+    made = [name.rsplit("-", 1)[0] for name in os.listdir(folder)]
+    assert len(made) == len(set(made))

@@ -42,6 +42,31 @@ def test_balanced_sample_limits_rows_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan(sampling.sample(df, 3000, "balanced"))
 
 
+def test_top_rows_sorts_no_partition(spark):
+    text = plan(ordering.top_rows(spark.range(100000), [F.col("id").desc()], 10))
+    assert "TakeOrderedAndProject" in text and "Sort [" not in text
+
+
+def labelled_ids(spark, n):
+    names = F.array(F.lit("positive"), F.lit("neutral"), F.lit("negative"))
+    return spark.range(n).select(F.col("id").cast("string").alias("review_uid"), F.element_at(names, (F.col("id") % 3 + 1).cast("int")).alias("true_label"))
+
+
+def test_random_sample_reads_its_input_once(spark, tmp_path):
+    labelled_ids(spark, 1000).write.parquet(str(tmp_path / "t"))
+    for limit in (300, 301):
+        text = optimized(sampling.sample(spark.read.parquet(str(tmp_path / "t")), limit, "random"))
+        assert text.count("Relation") == 1 and "Join" not in text
+
+
+@pytest.mark.parametrize("mode", ["random", "balanced"])
+def test_large_samples_rank_the_rows_at_the_cut_only(spark, mode):
+    text = plan(sampling.sample(labelled_ids(spark, 100), 3_000_000, mode))
+    for line in text.splitlines():
+        if "row_number()" in line:
+            assert "windowspecdefinition(true_label" in line and "_bin" in line
+
+
 def test_numbering_windows_stay_within_a_range(spark):
     text = plan(ordering.numbered(spark.range(10).withColumn("k", F.lit(1)), ["k"], "id"))
     for line in text.splitlines():
