@@ -159,15 +159,16 @@ def html_nodes(pages: pa.Array) -> pa.Array:
 Match = Callable[[Column], Column]
 
 
-def element(tag: str | None = None, cls: str | None = None, cls_like: str | None = None, attr: str | None = None) -> Match:
-    """Test for a node: tag, one class, part of the class attribute, presence of an attribute."""
+def element(tag: str | None = None, cls: str | None = None, cls_like: str | None = None, attr: str | None = None, any_case: bool = False) -> Match:
+    """Test for a node: tag, one class, part of the class attribute (in any case on request), presence of an attribute."""
 
     def test(node: Column) -> Column:
         out = node["tag"] == tag if tag else ~node["tag"].startswith("#")
         if cls:
             out = out & F.array_contains(node["cls"], cls)
         if cls_like:
-            out = out & F.contains(F.lower(F.coalesce(F.try_element_at(node["attrs"], F.lit("class")), F.lit(""))), F.lit(cls_like))
+            value = F.coalesce(F.try_element_at(node["attrs"], F.lit("class")), F.lit(""))
+            out = out & F.contains(F.lower(value) if any_case else value, F.lit(cls_like))
         if attr:
             out = out & F.map_contains_key(node["attrs"], attr)
         return out

@@ -225,7 +225,7 @@ def candidate_blocks(pages: DataFrame, html: str = "html", longer_than: int = 30
     ]
 
     def is_item(n: Column) -> Column:
-        words = [mk.element(cls_like=w)(n) for w in fv.REVIEW_BLOCK_WORDS]
+        words = [mk.element(cls_like=w, any_case=True)(n) for w in fv.REVIEW_BLOCK_WORDS]
         return n["tag"].isin("div", "li") & reduce(lambda a, b: a | b, words)
 
     found = [F.coalesce(F.filter(mk.under(nodes, mk.first(nodes, c)), is_item), F.array().cast(mk.NODE_TYPE)) for c in containers]
@@ -239,7 +239,8 @@ def candidate_blocks(pages: DataFrame, html: str = "html", longer_than: int = 30
 def generic_review(rows: DataFrame, block: str = "block") -> DataFrame:
     """Review fields by trying class patterns in order; each candidate must pass its guard.
 
-    Rows without content and rating are dropped.
+    Rows without content and rating are dropped. Every candidate is looked up once: it is
+    bound for its guard, and the fields are bound in one struct for the last filter.
     """
     blk = F.col(block)
 
@@ -248,24 +249,25 @@ def generic_review(rows: DataFrame, block: str = "block") -> DataFrame:
 
     def cascade(selectors: list[tuple[str, str]], guard) -> Column:
         texts = [mk.tight_text_of(blk, hit(*s)) for s in selectors]
-        return F.coalesce(*[F.when(guard(t), t) for t in texts], F.lit(""))
-
-    ratings = []
-    for s in fv.GENERIC_RATING:
-        stated = mk.tight_text_of(blk, hit(*s))
-        ratings.append(F.nullif(stated, F.lit("")))
-        ratings.append(F.nullif(numbers.rating_from_width(F.coalesce(mk.attribute(hit(*s), "style"), F.lit(""))), F.lit("")))
-    out = rows.withColumns(
-        {
-            "rating": F.coalesce(*ratings, F.lit("")),
-            "title": cascade(fv.GENERIC_TITLE, lambda t: t.isNotNull()),
-            "content": cascade(fv.GENERIC_CONTENT, lambda t: F.length(t) > 10),
-            "author": cascade(fv.GENERIC_AUTHOR, lambda t: (t != "") & ~text.contains_any(F.lower(t), fv.RATING_WORDS)),
-            "date": cascade(fv.GENERIC_DATE, lambda t: t.rlike("[0-9]") & (F.length(t) >= 8)),
-            "helpful_count": cascade(fv.GENERIC_HELPFUL, lambda t: t.rlike("[0-9]")),
-        }
-    ).drop(block)
-    return out.filter((F.col("content") != "") | (F.col("rating") != ""))
+        return F.coalesce(*[mk.let(t, lambda x: F.when(guard(x), x)) for t in texts], F.lit(""))
+
+    def stated(node: Column) -> Column:
+        width = mk.let(F.coalesce(mk.attribute(node, "style"), F.lit("")), numbers.rating_from_width)
+        return F.coalesce(F.nullif(mk.tight_text_of(blk, node), F.lit("")), F.nullif(width, F.lit("")))
+
+    ratings = [mk.let(hit(*s), stated) for s in fv.GENERIC_RATING]
+    fields = {
+        "rating": F.coalesce(*ratings, F.lit("")),
+        "title": cascade(fv.GENERIC_TITLE, lambda t: t.isNotNull()),
+        "content": cascade(fv.GENERIC_CONTENT, lambda t: F.length(t) > 10),
+        "author": cascade(fv.GENERIC_AUTHOR, lambda t: (t != "") & ~text.contains_any(F.lower(t), fv.RATING_WORDS)),
+        "date": cascade(fv.GENERIC_DATE, lambda t: t.rlike("[0-9]") & (F.length(t) >= 8)),
+        "helpful_count": cascade(fv.GENERIC_HELPFUL, lambda t: t.rlike("[0-9]")),
+    }
+    bound = F.array(F.struct(*[c.alias(k) for k, c in fields.items()]))
+    kept = F.filter(bound, lambda r: (r["content"] != "") | (r["rating"] != ""))
+    others = [c for c in rows.columns if c != block and c not in fields]
+    return rows.select(*others, F.explode(kept).alias("_fields")).select(*others, "_fields.*")
 
 
 # ----------------------------------------------------------------------------- probes
@@ -274,9 +276,11 @@ def generic_review(rows: DataFrame, block: str = "block") -> DataFrame:
 def selector_profile(pages: DataFrame, patterns: list[str], html: str = "html", more_than: int = 5) -> DataFrame:
     """Elements per class pattern over all pages, for patterns found more than five times.
 
-    Class values are counted first, so the patterns meet one row per distinct value.
+    Class values, however they are quoted, are counted first, so the patterns meet one row
+    per distinct value.
     """
-    values = pages.select(F.explode(F.regexp_extract_all(F.col(html), F.lit(r'\sclass="([^"]*)"'), F.lit(1))).alias("value"))
+    with_class = mk.every(F.col("nodes"), mk.element(attr="class"))
+    values = mk.with_nodes(pages, html).select(F.explode(F.transform(with_class, lambda n: mk.attribute(n, "class"))).alias("value"))
     counted = values.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
     matching = F.filter(F.array(*[F.lit(p) for p in patterns]), lambda p: F.contains(F.col("value"), p))
     return (

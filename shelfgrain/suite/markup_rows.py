@@ -215,7 +215,7 @@ def guarded_coalesce(spark: SparkSession, folder: str) -> DataFrame:
 @query("candidate_blocks", f"""
 WITH {v.LOOSE_SQL}, blocks AS (
   SELECT page, CASE WHEN page % 3 = 2 THEN 'long_item' ELSE 'container' END AS via, doc_id,
-         CASE doc_id % 4 WHEN 1 THEN '4.5' ELSE '' END || CASE doc_id % 3 WHEN 0 THEN 'good' WHEN 1 THEN 'fine' ELSE '' END
+         CASE WHEN doc_id % 9 = 0 THEN '9' ELSE '' END || CASE doc_id % 4 WHEN 1 THEN '4.5' ELSE '' END || CASE doc_id % 3 WHEN 0 THEN 'good' WHEN 1 THEN 'fine' ELSE '' END
          || CASE WHEN doc_id % 5 = 0 THEN 'short' ELSE '' END || body || CASE WHEN doc_id % 6 = 0 THEN '평점 5' ELSE '' END
          || 'u' || doc_id % 9 || CASE WHEN doc_id % 7 = 0 THEN 'today' ELSE '' END
          || '2024-07-' || lpad(CAST(doc_id % 28 + 1 AS VARCHAR), 2, '0') || CASE WHEN doc_id % 8 < 4 THEN 'none' ELSE '' END
@@ -292,10 +292,15 @@ def html_grid(spark: SparkSession, folder: str) -> DataFrame:
     return markup.extract_grid(v.grid_pages(spark, folder))
 
 
-@query("selector_profile", r"""
-WITH c AS (SELECT unnest(regexp_extract_all(html, '\sclass="([^"]*)"', 1)) AS value FROM pages),
-p AS (SELECT unnest(['ad', 'product', 'a', 'item']) AS pattern)
-SELECT pattern, count(*) AS n_elements FROM c JOIN p ON contains(value, pattern) GROUP BY pattern HAVING count(*) > 5
+@query("selector_profile", """
+WITH p AS (SELECT p_partkey AS k, CAST(floor(p_partkey / 24) AS INTEGER) % 3 AS form FROM part)
+SELECT pattern, n_elements FROM (
+  SELECT 'tx_' AS pattern, CAST(sum(CASE WHEN k % 11 = 0 THEN 2 WHEN k % 3 = 0 THEN 4 ELSE 6 END) AS BIGINT) AS n_elements FROM p
+  UNION ALL SELECT 'prd_thumb', count(*) FROM p
+  UNION ALL SELECT 'prd_item', count(*) FROM p WHERE form = 1
+  UNION ALL SELECT 'info new', count(*) FROM p WHERE form = 0)
+WHERE n_elements > 5
 """)
 def selector_profile(spark: SparkSession, folder: str) -> DataFrame:
-    return markup.selector_profile(v.table(spark, folder, "pages"), ["ad", "product", "a", "item"])
+    """Classes in double quotes, in single quotes, and next to stray quotes."""
+    return markup.selector_profile(v.listing_pages(spark, folder), ["tx_", "prd_thumb", "prd_item", "info new", "no such class"])

@@ -468,6 +468,7 @@ def loose_review_pages(spark: SparkSession, folder: str) -> DataFrame:
     doc = F.col("doc_id")
     words = escaped(F.col("text"))
     fields = text_of(
+        F.when(doc % 9 == 0, '<span class="myRating">9</span>'),
         F.when(doc % 4 == 0, '<span class="rate star-on" style="width:70%"></span>').when(doc % 4 == 1, '<span class="my-score">4.5</span>'),
         F.when(doc % 3 == 0, '<h3 class="r-title">good</h3>').when(doc % 3 == 1, '<p class="sub title">fine</p>'),
         F.when(doc % 5 == 0, '<div class="content">short</div>'),
