@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 BOM = "\ufeff"
 NO_VALUE = "\u0000"
+NO_CATEGORY = "-"
 # a quoted line break keeps a CSV file from being split, so files stay small
 ROWS_PER_FILE = 200_000
 LAYOUT = ["source", "kind", "category", "yyyy", "mm", "dd"]
@@ -73,12 +74,12 @@ def read_json_documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def with_landing_cols(df: DataFrame, source: str, kind: str, category: Column, day: Column) -> DataFrame:
-    """Add the columns that name the folders of the landing layout."""
+    """Add the columns that name the folders of the landing layout. A missing category is the folder `-`."""
     return df.withColumns(
         {
             "source": F.lit(source),
             "kind": F.lit(kind),
-            "category": category,
+            "category": F.coalesce(F.nullif(category, F.lit("")), F.lit(NO_CATEGORY)),
             "yyyy": F.date_format(day, "yyyy"),
             "mm": F.date_format(day, "MM"),
             "dd": F.date_format(day, "dd"),
@@ -106,21 +107,27 @@ def _unquoted(value: Column) -> Column:
     return F.try_url_decode(F.replace(value, F.lit("+"), F.lit("%2B")))
 
 
-def landing_path_cols(path: Column) -> dict[str, Column]:
-    """Fields of a landed file's path, with plain folders or with name=value folders."""
+def landing_path_cols(path: Column, encoded: bool = True) -> dict[str, Column]:
+    """Fields of a landed file's path, with plain folders or with name=value folders.
+
+    Values of name=value folders are escaped on disk. Paths from file metadata are `encoded`
+    once more as a whole; those of a file listing are not.
+    """
 
     def part(group: int) -> Column:
-        return F.regexp_extract(path, _PATH, group)
+        found = F.regexp_extract(path, _PATH, group)
+        return _unquoted(found) if encoded else found
 
-    once = _unquoted(part(4))
-    category = F.when(part(3) != "", _unquoted(once)).otherwise(F.when(part(4) != "", once))
+    named = F.regexp_extract(path, _PATH, 3) != ""
+    value = F.when(named, _unquoted(part(4))).otherwise(part(4))
+    category = F.when(~value.isin("", NO_CATEGORY), value)
     stamp = F.regexp_extract(part(9), r"_([0-9]{8}_[0-9]{4,6})\.", 1)
     return {
         "source": part(1),
         "kind": part(2),
         "category": category,
         "landed_on": F.make_date(part(5).try_cast("int"), part(6).try_cast("int"), part(7).try_cast("int")),
-        "product_id": F.nullif(_unquoted(part(8)), F.lit("")),
+        "product_id": F.nullif(F.when(named, _unquoted(part(8))).otherwise(part(8)), F.lit("")),
         "file_stamp": F.nullif(stamp, F.lit("")),
     }
 
@@ -140,12 +147,13 @@ def manifest(spark: SparkSession, path: str, glob: str | None = None) -> DataFra
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     files = reader.load(path).select(F.col("path").alias("file_path"), "length", "modificationTime")
-    return files.withColumns(landing_path_cols(F.col("file_path")))
+    return files.withColumns(landing_path_cols(F.col("file_path"), encoded=False))
 
 
 def not_yet_landed(todo: DataFrame, landed: DataFrame, key: str) -> DataFrame:
-    """Work items without a landed file."""
-    return todo.join(landed.select(key).distinct(), key, "left_anti")
+    """Work items without a landed file; a missing key is a work item like others."""
+    known = landed.select(F.col(key).alias("_landed")).distinct()
+    return todo.join(known, F.col(key).eqNullSafe(F.col("_landed")), "left_anti")
 
 
 def load_audit(df: DataFrame, loaded_at: str) -> DataFrame:

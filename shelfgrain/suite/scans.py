@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,12 +65,24 @@ def json_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return read.select("product_id", "name", F.col("brand.name").alias("brand_name"), "price", F.array_join("categories", "|").alias("categories"))
 
 
+_CATEGORY = """CASE p_partkey % 8 WHEN 0 THEN category_code || ' & co/x' WHEN 1 THEN '100% ' || category_code || '+1'
+  WHEN 2 THEN category_code || '%2Fa=b' WHEN 3 THEN NULL ELSE category_code END"""
+
+
+def _category() -> Column:
+    code, kind = F.col("category_code"), F.col("p_partkey") % 8
+    return (
+        F.when(kind == 0, F.concat(code, F.lit(" & co/x"))).when(kind == 1, F.concat(F.lit("100% "), code, F.lit("+1")))
+        .when(kind == 2, F.concat(code, F.lit("%2Fa=b"))).when(kind != 3, code)
+    )
+
+
 def _land_products(spark: SparkSession, folder: str) -> str:
     root = scratch_dir(spark, "landing")
     rows = v.products(spark, folder)
     placed = landing.with_landing_cols(
         rows.select("product_id", "name", "price", "category_code", "p_partkey"),
-        "shop a", "products", F.concat(F.col("category_code"), F.lit(" & co/x")),
+        "shop a", "products", _category(),
         F.date_add(F.lit("2025-07-01").cast("date"), (F.col("p_partkey") % 5).cast("int")),
     )
     landing.write_landing(placed.drop("p_partkey"), root, bom=True)
@@ -79,7 +91,7 @@ def _land_products(spark: SparkSession, folder: str) -> str:
 
 @query("landing_path_fields", f"""
 WITH {v.PRODUCTS_SQL}
-SELECT product_id, 'products' AS kind, category_code || ' & co/x' AS category,
+SELECT product_id, 'products' AS kind, {_CATEGORY} AS category,
        CAST(DATE '2025-07-01' + CAST(p_partkey % 5 AS INTEGER) AS DATE) AS landed_on
 FROM v_products
 """)
@@ -101,20 +113,20 @@ def todo_anti_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("landed_manifest", f"""
-WITH {v.PRODUCTS_SQL}, todo AS (
-  SELECT category_code || ' & co/x' AS category FROM v_products UNION SELECT brand FROM v_products)
-SELECT category FROM todo WHERE category NOT IN (SELECT category_code || ' & co/x' FROM v_products)
+WITH {v.PRODUCTS_SQL}, landed AS (SELECT DISTINCT {_CATEGORY} AS category FROM v_products),
+todo AS (SELECT category FROM landed UNION SELECT brand FROM v_products)
+SELECT category FROM todo WHERE NOT EXISTS (SELECT 1 FROM landed WHERE landed.category IS NOT DISTINCT FROM todo.category)
 """)
 def landed_manifest(spark: SparkSession, folder: str) -> DataFrame:
     root = _land_products(spark, folder)
     products = v.products(spark, folder)
-    todo = products.select(F.explode(F.array(F.concat("category_code", F.lit(" & co/x")), "brand")).alias("category")).distinct()
+    todo = products.select(F.explode(F.array(_category(), F.col("brand"))).alias("category")).distinct()
     return landing.not_yet_landed(todo, landing.manifest(spark, root, "*.csv"), "category")
 
 
 @query("load_audit", f"""
 WITH {v.PRODUCTS_SQL}
-SELECT category_code || ' & co/x' AS category, count(*) AS records, 'product_id,name,price,category_code' AS columns,
+SELECT {_CATEGORY} AS category, count(*) AS records, 'product_id,name,price,category_code' AS columns,
        '{v.SCRAPED_AT}' AS loaded_at
 FROM v_products GROUP BY 1
 """)

@@ -122,7 +122,7 @@ def test_stream_picks_up_new_files_once(spark, folder):
 
 
 def test_a_batch_that_runs_again_replaces_itself(spark, folder):
-    schema = T.StructType().add("id", "string").add("n", "int")
+    schema = T.StructType().add("id", "string").add("n", "integer")
     out, state = f"{folder}/out", f"{folder}/state"
     spark.createDataFrame([("a", 1), ("a", 0), ("b", 2)], schema).write.parquet(f"{folder}/in")
     for attempt in range(2):  # a fresh checkpoint numbers its batches from 0 again, as a repeated batch does
