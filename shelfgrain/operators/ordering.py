@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 ID_SPAN = 1 << 16
 SLICES = 256
 SMALL_LIMIT = 4
+BROADCAST_KEYS = 200_000
 
 
 def numbered(df: DataFrame, keys: list[str], order_id: str, out: str = "position", span: int = ID_SPAN, id_limit: int = 1 << 64) -> DataFrame:
@@ -109,7 +110,11 @@ def rows_between(df: DataFrame, order: list[Column], first: int, last: int, path
     return chosen.orderBy("_serial").drop("_serial")
 
 
-def with_key_value(df: DataFrame, keys: list[str], source: DataFrame, value: Column, out: str) -> DataFrame:
-    """Attach one aggregate per key. The aggregate is pre-combined; the join may split hot keys."""
+def with_key_value(df: DataFrame, keys: list[str], source: DataFrame, value: Column, out: str, at_most: int | None = None) -> DataFrame:
+    """Attach one aggregate per key. The aggregate is pre-combined; the join may split hot keys.
+
+    `at_most` is a proven bound on the number of keys; under it the aggregate goes to every
+    task and the rows of df stay where they are.
+    """
     per_key = source.groupBy(*keys).agg(value.alias(out))
-    return _match(df, per_key, keys, "left")
+    return _match(df, F.broadcast(per_key) if at_most is not None and at_most <= BROADCAST_KEYS else per_key, keys, "left")

@@ -34,10 +34,10 @@ def page_count(total: Column, size: int, cap: int | None = None) -> Column:
     return numbers.page_count(total, size, cap)
 
 
-def take_until_empty(df: DataFrame, key: str, page: str, n_items: str = "n_items") -> DataFrame:
-    """Pages of each job before its first empty one."""
+def take_until_empty(df: DataFrame, key: str, page: str, n_items: str = "n_items", jobs: int | None = None) -> DataFrame:
+    """Pages of each job before its first empty one. With a proven bound on the jobs the payloads are not shuffled."""
     empties = df.filter(F.col(n_items) == 0).select(key, page)
-    marked = with_key_value(df, [key], empties, F.min(page), "_stop")
+    marked = with_key_value(df, [key], empties, F.min(page), "_stop", at_most=jobs)
     return marked.filter(F.col("_stop").isNull() | (F.col(page) < F.col("_stop"))).drop("_stop")
 
 

@@ -14,6 +14,8 @@ from ..schemas import RANKING_PAYLOAD
 
 # ----------------------------------------------------------------- ranking payloads
 
+MOST_COLUMNS = 10_000
+
 
 def explode_ranking(df: DataFrame, payload: str, page: str, size: int) -> DataFrame:
     """One row per product item of a ranking payload, with its absolute rank.
@@ -221,12 +223,36 @@ def explode_reviews(df: DataFrame, payload: str, stamps: dict[str, Column] | Non
 def review_keys(df: DataFrame, review: str = "review") -> list[tuple[str, str | None]]:
     """The (key, child key) pairs that occur, one pair per column of the flat form.
 
-    Distinct pairs are combined on the executors; the driver receives column names only.
+    Distinct pairs are combined on the executors; the driver receives column names only,
+    and no more than `MOST_COLUMNS` of them: keys that are ids belong in a map instead.
     """
     entries = df.select(F.explode(nv.as_object(F.col(review))).alias("key", "value"))
     children = F.map_keys(nv.as_object(F.col("value")))
     pairs = entries.select("key", F.explode(F.coalesce(children, F.array(F.lit(None).cast("string")))).alias("child"))
-    return [(r["key"], r["child"]) for r in pairs.distinct().orderBy("key", F.col("child").asc_nulls_first()).collect()]
+    found = pairs.distinct().orderBy("key", F.col("child").asc_nulls_first()).limit(MOST_COLUMNS + 1).collect()
+    if len(found) > MOST_COLUMNS:
+        raise ValueError(f"more than {MOST_COLUMNS} columns; pass the keys that are wanted, or use flatten_to_map")
+    return [(r["key"], r["child"]) for r in found]
+
+
+def flatten_to_map(df: DataFrame, review: str = "review", sep: str = "_", out: str = "fields") -> DataFrame:
+    """The flat form as one map column, name -> text, for reviews of any shape: no pass to find columns.
+
+    Names and texts are those of `flatten_one_level`; fields without a value are left out,
+    and of fields that come to have one name the first stays.
+    """
+
+    def entry(name: Column, value: Column) -> Column:
+        return F.struct(F.replace(name, F.lit("."), F.lit("_")).alias("name") if sep == "_" else name.alias("name"), _scalar(value).alias("value"))
+
+    def entries(e: Column) -> Column:
+        inner = nv.as_object(e["value"])
+        below = F.transform(F.map_entries(inner), lambda c: entry(F.concat(e["key"], F.lit(sep), c["key"]), c["value"]))
+        return F.when(inner.isNotNull(), below).otherwise(F.array(entry(e["key"], e["value"])))
+
+    named = F.filter(F.flatten(F.transform(F.map_entries(nv.as_object(F.col(review))), entries)), lambda e: e["value"].isNotNull())
+    first = F.filter(named, lambda e, i: ~F.exists(F.slice(named, F.lit(1), i), lambda x: x["name"] == e["name"]))
+    return df.select(*[c for c in df.columns if c not in (review, out)], F.map_from_entries(first).alias(out))
 
 
 def flatten_one_level(df: DataFrame, review: str = "review", sep: str = "_", keys: list[tuple[str, str | None]] | None = None) -> DataFrame:

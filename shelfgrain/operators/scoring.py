@@ -91,6 +91,42 @@ def fit_text_model(labelled: DataFrame, content: str, label: str, path: str, fea
     return PipelineModel.load(path)
 
 
+TOKEN_SALTS = 16
+
+
+def text_tokens(content: Column) -> Column:
+    """Distinct lower-cased tokens between blanks."""
+    return F.array_distinct(F.filter(F.split(F.lower(F.coalesce(content, F.lit(""))), r"\s+"), lambda t: t != ""))
+
+
+def fit_token_odds(labelled: DataFrame, content: str, label: str) -> DataFrame:
+    """(token, odds): smoothed log-odds of label 1 for each token of the labelled texts.
+
+    Plain sums that are combined before the shuffle, so tokens that most texts hold are no
+    burden. Every row has the same two totals, those of the labels.
+    """
+    rows = labelled.filter(F.col(label).isNotNull()).select(text_tokens(F.col(content)).alias("tokens"), F.col(label).cast("int").alias("label"))
+    totals = rows.agg(F.sum("label").alias("all_yes"), F.count(F.lit(1)).alias("all_rows"))
+    counts = rows.select("label", F.explode("tokens").alias("token")).groupBy("token").agg(F.sum("label").alias("yes"), F.count(F.lit(1)).alias("n"))
+    odds = F.ln((F.col("yes") + 1) / (F.col("all_yes") + 2)) - F.ln((F.col("n") - F.col("yes") + 1) / (F.col("all_rows") - F.col("all_yes") + 2))
+    # the totals are one row
+    return counts.join(F.broadcast(totals), F.lit(True)).select("token", odds.alias("odds"))
+
+
+def score_by_tokens(df: DataFrame, uid: str, content: str, odds: DataFrame, out: str = "prob") -> DataFrame:
+    """(uid, prob): logistic of the mean of the known tokens' log-odds, 0.5 without any.
+
+    A token that most texts hold would make one hot key; the odds are repeated for
+    `TOKEN_SALTS` salts and every text's rows go by the salt of its id.
+    """
+    salt = F.pmod(F.xxhash64(uid), F.lit(TOKEN_SALTS)).cast("int")
+    tokens = df.select(F.col(uid), salt.alias("_salt"), F.explode(text_tokens(F.col(content))).alias("token"))
+    spread = odds.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(TOKEN_SALTS - 1))))
+    known = tokens.join(spread, ["token", "_salt"]).groupBy(uid).agg(F.avg("odds").alias("_mean"))
+    joined = df.select(uid).join(known, uid, "left")
+    return joined.select(uid, F.when(F.col("_mean").isNull(), 0.5).otherwise(1 / (1 + F.exp(-F.col("_mean")))).alias(out))
+
+
 def score_with_model(df: DataFrame, model: PipelineModel, out: str = "prob") -> DataFrame:
     scored = model.transform(df).withColumn(out, vector_to_array("_probability")[1])
     return scored.drop("_words", "_counts", "_probability", "rawPrediction", "prediction")

@@ -36,6 +36,12 @@ def name_of_code(code: Column, names: dict[str, str] = fv.RANKING_CATEGORIES, de
     return F.coalesce(F.try_element_at(F.create_map(*pairs), code), fallback)
 
 
+def code_of_name(name: Column, codes: dict[str, str] = fv.CARD_CATEGORIES) -> Column:
+    """Id of a category name from a fixed table; null for a name it lacks."""
+    pairs = [F.lit(x) for item in codes.items() for x in item]
+    return F.try_element_at(F.create_map(*pairs), name)
+
+
 def category_dim(spark: SparkSession, names: dict[str, str] = fv.RANKING_CATEGORIES) -> DataFrame:
     """A fixed category table as a dimension: (category_code, category_name)."""
     return spark.createDataFrame(list(names.items()), "category_code string, category_name string")

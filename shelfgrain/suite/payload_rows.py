@@ -34,7 +34,7 @@ SELECT p_type AS category_code, 'category_' || p_type AS category_name, '{v.SCRA
 FROM v_ranked WHERE p_partkey % 29 <> 0 AND p_partkey % 31 <> 0
 """)
 def ranking_items(spark: SparkSession, folder: str) -> DataFrame:
-    return collecting.ranking_products(v.ranking_payloads(spark, folder), v.SCRAPED_AT, v.RANKING_SPAN, BASE)
+    return collecting.ranking_products(v.ranking_payloads(spark, folder), v.SCRAPED_AT, v.RANKING_SPAN, BASE, categories=v.CATEGORIES)
 
 
 @query("typed_node_ids", """
@@ -234,7 +234,38 @@ FROM documents
 """)
 def flatten_reviews(spark: SparkSession, folder: str) -> DataFrame:
     rows = payloads.explode_reviews(v.review_payloads(spark, folder), "payload", {"scraped_at": F.lit(v.SCRAPED_AT)})
-    return payloads.flatten_one_level(rows)
+    names = ["no", "content", "grade", ("user", "nick"), ("user", "level"), "tags", "option", ("survey", "skin"), "scraped_at"]
+    return payloads.flatten_one_level(rows, keys=[n if isinstance(n, tuple) else (n, None) for n in names])
+
+
+@query("flatten_fields", """
+SELECT CAST(doc_id % 200 AS VARCHAR) AS product_id, CAST(floor(doc_id / 4000) AS INTEGER) + 1 AS page, field, value FROM (
+  SELECT doc_id, 'no' AS field, CAST(doc_id AS VARCHAR) AS value FROM documents UNION ALL
+  SELECT doc_id, 'content', text FROM documents WHERE text IS NOT NULL UNION ALL
+  SELECT doc_id, 'grade', CAST(doc_id % 6 AS VARCHAR) FROM documents UNION ALL
+  SELECT doc_id, 'user_nick', source FROM documents WHERE source IS NOT NULL UNION ALL
+  SELECT doc_id, 'user_level', CAST(doc_id % 7 AS VARCHAR) FROM documents UNION ALL
+  SELECT doc_id, 'tags', '["' || lang || '","' || source || '"]' FROM documents UNION ALL
+  SELECT doc_id, 'option', 'set' FROM documents WHERE doc_id % 3 = 0 UNION ALL
+  SELECT doc_id, 'survey_skin', 'dry' FROM documents WHERE doc_id % 3 = 1 UNION ALL
+  SELECT doc_id, 'scraped_at', 'own' FROM documents WHERE doc_id % 10 = 0)
+""")
+def flatten_fields(spark: SparkSession, folder: str) -> DataFrame:
+    """Reviews of unknown shape: one row per field."""
+    rows = payloads.explode_reviews(v.review_payloads(spark, folder), "payload")
+    return payloads.flatten_to_map(rows).select("product_id", "page", F.explode("fields").alias("field", "value"))
+
+
+@query("card_category_ids", """
+WITH c AS (SELECT CAST(p_partkey AS VARCHAR) AS product_id, ['스킨케어', '마스크_팩', '향수', 'other'][p_partkey % 4 + 1] AS name FROM part)
+SELECT product_id, name, CASE name WHEN '스킨케어' THEN '20006492' WHEN '마스크_팩' THEN '20006513' WHEN '향수' THEN '20006681' END AS category_id FROM c
+""")
+def card_category_ids(spark: SparkSession, folder: str) -> DataFrame:
+    from ..operators.shaping import code_of_name
+
+    names = F.array(*[F.lit(n) for n in ("스킨케어", "마스크_팩", "향수", "other")])
+    rows = v.products(spark, folder).select("product_id", F.element_at(names, (F.col("p_partkey") % 4 + 1).cast("int")).alias("name"))
+    return rows.withColumn("category_id", code_of_name(F.col("name")))
 
 
 @query("payload_reviews", f"""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import scoring, shaping
+from ..plans.collecting import fact_reviews
 from ..plans.scoring import ScoreConfig, score_frame, score_reviews
 from ..session import scratch_dir
 from . import views as v
@@ -78,6 +79,26 @@ def score_ml(spark: SparkSession, folder: str) -> DataFrame:
     return scoring.with_pred_label(scoring.score_with_model(reviews, model)).select("review_uid", F.round("prob", 6).alias("prob"), "pred_label")
 
 
+@query("score_trained", f"""
+WITH {v.REVIEWS},
+t AS (SELECT r.doc_id, r.review_uid, list_distinct(list_filter(string_split_regex(lower(coalesce(content, '')), '[ \\t\\n\\x0b\\f\\r]+'), lambda x: x <> '')) AS tokens FROM v_reviews r),
+l AS (SELECT t.doc_id, quality, tokens FROM t JOIN labels USING (doc_id) WHERE quality IS NOT NULL),
+totals AS (SELECT sum(quality) AS all_yes, count(*) AS all_rows FROM l),
+counts AS (SELECT token, sum(quality) AS yes, count(*) AS n FROM (SELECT quality, unnest(tokens) AS token FROM l) GROUP BY token),
+odds AS (SELECT token, ln((yes + 1) / (all_yes + 2)) - ln((n - yes + 1) / (all_rows - all_yes + 2)) AS odds FROM counts, totals),
+means AS (SELECT review_uid, avg(odds) AS mean FROM (SELECT review_uid, unnest(tokens) AS token FROM t) JOIN odds USING (token) GROUP BY review_uid),
+p AS (SELECT review_uid, CASE WHEN mean IS NULL THEN 0.5 ELSE 1 / (1 + exp(-mean)) END AS prob FROM t LEFT JOIN means USING (review_uid))
+SELECT review_uid, round(prob, 6) AS prob, {_LABEL.format(p='prob')} AS pred_label FROM p
+""")
+def score_trained(spark: SparkSession, folder: str) -> DataFrame:
+    """A scorer trained here, by aggregation alone."""
+    labels = v.table(spark, folder, "labels").select("doc_id", "quality")
+    reviews = v.reviews(spark, folder).select("doc_id", "review_uid", "content")
+    odds = scoring.fit_token_odds(reviews.join(labels, "doc_id"), "content", "quality")
+    scored = scoring.score_by_tokens(reviews, "review_uid", "content", odds)
+    return scoring.with_pred_label(scored).select("review_uid", F.round("prob", 6).alias("prob"), "pred_label")
+
+
 def lexicon(df: DataFrame) -> DataFrame:
     return df.withColumn("prob", scoring.lexicon_prob(F.col("content"), POSITIVE, NEGATIVE))
 
@@ -89,14 +110,44 @@ SELECT review_uid, star, true_label, {_LABEL.format(p='prob')} AS pred_label, tr
 FROM v_text
 """)
 def score_job(spark: SparkSession, folder: str) -> DataFrame:
-    """The whole job on all reviews: from a table on disk to the dated result table."""
-    source, target = scratch_dir(spark, "fact-reviews"), scratch_dir(spark, "predicted-reviews")
-    v.reviews(spark, folder).select("review_uid", "content", "star").write.parquet(source)
-    cfg = ScoreConfig(input=source, output=target, test_limit=0, sample_mode="none", write_mode="overwrite", run_date="2025-07-02")
-    score_reviews(spark, cfg, lexicon)
+    """The whole job on all reviews: from a table to the dated result table."""
+    target = scratch_dir(spark, "predicted-reviews")
+    v.reviews(spark, folder).select("review_uid", "content", "star").createOrReplaceTempView("fact_reviews")
+    score_reviews(spark, ScoreConfig(output=target, sample_mode="none", write_mode="overwrite", run_date="2025-07-02"), lexicon)
     return spark.read.parquet(target).drop("content")
 
 
+_STRIPPED = r"regexp_replace(text, '^\s+|\s+$', '', 'g')"
+
+
+@query("reviews_to_scores", f"""
+WITH facts AS (
+  SELECT 'a_' || doc_id AS review_uid, 'shop_a' AS source, CAST(doc_id % 200 AS VARCHAR) AS product_id, text AS content, CAST(doc_id % 6 AS INTEGER) AS star FROM documents
+  UNION ALL
+  SELECT 'b_r' || conv_id || '-' || turn, 'shop_b', CAST(conv_id AS VARCHAR), {_STRIPPED},
+         CASE WHEN turn % 2 = 0 THEN CAST(conv_id % 5 + 1 AS INTEGER) END FROM conversations
+  UNION ALL
+  SELECT 'c_' || CASE WHEN doc_id % 5 <> 0 THEN CAST(doc_id AS VARCHAR) ELSE 'item ' || product || '_' || page || '_' || position END, 'shop_c',
+         CAST(product AS VARCHAR), review, CASE WHEN doc_id % 23 <> 0 THEN CAST(doc_id % 6 AS INTEGER) END
+  FROM (SELECT *, row_number() OVER (PARTITION BY product, page ORDER BY doc_id) AS position FROM (
+    SELECT doc_id, doc_id % 200 AS product, CAST(floor(doc_id / 4000) AS INTEGER) + 1 AS page,
+           CASE WHEN doc_id % 29 <> 0 THEN {_STRIPPED} END AS review FROM documents))),
+kept AS (SELECT *, {_SHARE} AS prob FROM facts WHERE content IS NOT NULL AND content <> '' AND content <> 'N/A' AND star >= 1),
+labelled AS (
+  SELECT *, CASE WHEN star >= 4 THEN 'positive' WHEN star <= 2 THEN 'negative' ELSE 'neutral' END AS true_label, {_LABEL.format(p='prob')} AS pred_label FROM kept)
+SELECT review_uid, source, product_id, star, true_label, pred_label, true_label = pred_label AS is_correct, DATE '2025-07-02' AS run_date FROM labelled
+""")
+def reviews_to_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """From the pages and payloads of all shops, some collected twice, to the scored table."""
+    target = scratch_dir(spark, "scored-facts")
+    payloads, lists = v.review_payloads(spark, folder), v.review_pages(spark, folder)
+    spans = v.span_review_pages(spark, folder).select(F.col("conv_id").cast("string").alias("product_id"), F.col("part").alias("page"), "html")
+    facts = fact_reviews(payloads.unionByName(payloads.filter("page = 1")), spans, lists.unionByName(lists.filter("page = 1")), v.SCRAPED_AT)
+    facts.createOrReplaceTempView("conformed_reviews")
+    score_reviews(spark, ScoreConfig(input="conformed_reviews", output=target, write_mode="overwrite", run_date="2025-07-02"), lexicon)
+    return spark.read.parquet(target).drop("content", "created_at")
+
+
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
     """Scores and labels of all reviews."""
     return score_frame(v.reviews(spark, folder), ScoreConfig(sample_mode="none"), lexicon).select("review_uid", "star", "true_label", "prob", "pred_label", "is_correct")

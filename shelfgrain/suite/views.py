@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from ..operators.ordering import numbered
 
 RANKING_SPAN = 240
+# part types, which stand for categories: 6 x 5 x 5 words
+CATEGORIES = 150
 CARD_SPAN = 100
 LISTING_SPAN = 24
 GRID_SPAN = 60
