@@ -21,6 +21,11 @@ def frontier(jobs: DataFrame, n_pages: Column | int, sorts: list[str], first_pag
     return jobs.withColumn("page", F.explode(pages)).withColumn("sort", F.explode(F.array(*[F.lit(s) for s in sorts])))
 
 
+def probes(jobs: DataFrame, pages: list[int] = fv.PROBE_PAGES, sorts: list[str] = fv.REVIEW_SORTS) -> DataFrame:
+    """One row per job, probed page and sort option."""
+    return jobs.withColumn("page", F.explode(F.array(*[F.lit(p) for p in pages]))).withColumn("sort", F.explode(F.array(*[F.lit(s) for s in sorts])))
+
+
 def query_string(pairs: list[tuple[str, Column]]) -> Column:
     return F.concat_ws("&", *[F.concat(F.lit(k + "="), v.cast("string")) for k, v in pairs])
 

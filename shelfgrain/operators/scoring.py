@@ -53,14 +53,19 @@ def score_text(df: DataFrame, col: str, make_scorer: Callable[[], Scorer], key:
     return df.withColumn(out, scored(F.col(col)))
 
 
-def word_count_scorer(positive: list[str], negative: list[str]) -> Callable[[], Scorer]:
-    """A scorer for `score_text`: smoothed share of positive words among opinion words."""
+def word_count_scorer(positive: list[str], negative: list[str], max_len: int = 0) -> Callable[[], Scorer]:
+    """A scorer for `score_text`: smoothed share of positive words among opinion words.
+
+    With `max_len` a scorer sees that many first words, as models with a token limit do.
+    """
 
     def make() -> Scorer:
         wanted, unwanted = "|".join(positive), "|".join(negative)
 
         def scorer(texts: pd.Series) -> pd.Series:
             lower = texts.fillna("").str.lower()
+            if max_len > 0:
+                lower = lower.str.split().str[:max_len].str.join(" ")
             p, n = lower.str.count(wanted), lower.str.count(unwanted)
             return (p + 1) / (p + n + 2)
 

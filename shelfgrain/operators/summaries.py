@@ -94,7 +94,7 @@ def reviews_per_product(reviews: DataFrame, key: str, order_id: str, value: str,
     """
     parts = reviews.groupBy(key, F.floor(F.col(order_id) / F.lit(span)).alias("part"))
     listed = F.sort_array(F.collect_list(F.struct(order_id, value)))
-    return parts.agg(F.count(F.lit(1)).alias("n_reviews"), F.transform(listed, lambda r: r[value]).alias("reviews"))
+    return parts.agg(F.count(F.lit(1)).alias("n_in_part"), F.transform(listed, lambda r: r[value]).alias("reviews"))
 
 
 def job_result(df: DataFrame, key: str, n_items: Column, failed: Column, moment: str) -> DataFrame:

@@ -15,7 +15,6 @@ from .. import fixed_values as fv
 from ..operators import sampling, scoring, shaping
 from ..sources import tables
 
-Score = Callable[[DataFrame], DataFrame]
 
 
 @dataclass(frozen=True)
@@ -62,8 +61,11 @@ def _typed(default, value: str):
     return type(default)(value)
 
 
+Score = Callable[[DataFrame, ScoreConfig], DataFrame]
+
+
 def score_frame(reviews: DataFrame, cfg: ScoreConfig, score: Score) -> DataFrame:
-    """Labelled, sampled and scored rows; `score` adds the column `prob`.
+    """Labelled, sampled and scored rows; `score` adds the column `prob` and is given the settings, such as `max_len`.
 
     Without a sample the rows may be spread over `npartitions` first; 0 keeps the scan's.
     """
@@ -71,7 +73,7 @@ def score_frame(reviews: DataFrame, cfg: ScoreConfig, score: Score) -> DataFrame
     rows = sampling.sample(labelled, cfg.test_limit, cfg.sample_mode, cfg.seed)
     if cfg.test_limit <= 0 and cfg.npartitions > 0:
         rows = rows.repartition(cfg.npartitions)
-    predicted = scoring.with_pred_label(score(rows), "prob", cfg.thresh_pos, cfg.thresh_neg)
+    predicted = scoring.with_pred_label(score(rows, cfg), "prob", cfg.thresh_pos, cfg.thresh_neg)
     return scoring.with_correct(predicted)
 
 
@@ -101,7 +103,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session("score-reviews")
     positive, negative = fv.OPINION_WORDS[:-1], fv.OPINION_WORDS[-1:]
     result = score_reviews(
-        spark, cfg, lambda df: df.withColumn("prob", scoring.lexicon_prob(F.col("content"), positive, negative))
+        spark, cfg, lambda df, _: df.withColumn("prob", scoring.lexicon_prob(F.col("content"), positive, negative))
     )
     shown = "none" if result["accuracy"] is None else f"{result['accuracy']:.4f}"
     print(f"rows {result['n_rows']}, accuracy without neutral {shown}")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -45,7 +47,8 @@ _LOCAL_FOLDERS: dict[str, str] = {}
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder under the cluster's shared checkpoint folder.
 
-    Only a local-mode session without that setting gets a temporary folder of its own.
+    Only a local-mode session without that setting gets a temporary folder of its own,
+    which goes when the process ends. In a shared folder `discard` removes what is done with.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
@@ -54,5 +57,12 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
         app = spark.sparkContext.applicationId
         if app not in _LOCAL_FOLDERS:
             _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="shelfgrain-")
+            atexit.register(shutil.rmtree, _LOCAL_FOLDERS[app], ignore_errors=True)
         shared = _LOCAL_FOLDERS[app]
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder whose rows are no longer needed."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 from ..functions import text
 from ..operators import ordering, paging
+from ..session import scratch_dir
+from ..sources import landing
 from . import views as v
 from .registry import query
 
@@ -144,6 +148,40 @@ def order_by_option(spark: SparkSession, folder: str) -> DataFrame:
     return paging.order_by_option(v.products(spark, folder), "PRICE_LOW", "product_id").select("product_id", "price", "rank")
 
 
+_ORDERS = {
+    "POPULARITY": "rank", "PRICE_LOW": "price", "PRICE_HIGH": "price DESC", "REVIEW": "review_count DESC", "RECENT": "created_at DESC",
+    "SALE": "discount_rate DESC", "RATING": "rating DESC", fv.RECOMMEND_SORT: "helpful DESC", fv.REVIEW_SORTS[0]: "created_at DESC",
+    fv.REVIEW_SORTS[1]: "rank", fv.REVIEW_SORTS[2]: "rating DESC", fv.REVIEW_SORTS[3]: "rating",
+}
+_SORTED = """sorted AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_partkey % 17 AS rank, p_size AS price, p_partkey % 13 AS review_count, p_partkey % 29 AS created_at,
+         p_partkey % 7 AS discount_rate, CASE WHEN p_partkey % 5 > 0 THEN p_size % 6 END AS rating, p_partkey % 11 AS helpful FROM part)"""
+
+
+@query("order_by_options", f"WITH {_SORTED} " + " UNION ALL ".join(
+    f"(SELECT '{name}' AS sort, product_id FROM sorted ORDER BY {order} NULLS LAST, product_id LIMIT 25)" for name, order in _ORDERS.items()
+))
+def order_by_options(spark: SparkSession, folder: str) -> DataFrame:
+    """The first rows under every sort option that a request may name."""
+    key = F.col("p_partkey")
+    rows = v.table(spark, folder, "part").select(
+        key.cast("string").alias("product_id"), (key % 17).alias("rank"), F.col("p_size").alias("price"), (key % 13).alias("review_count"),
+        (key % 29).alias("created_at"), (key % 7).alias("discount_rate"), F.when(key % 5 > 0, F.col("p_size") % 6).alias("rating"), (key % 11).alias("helpful"),
+    )
+    options = [*fv.PRODUCT_SORTS, fv.RECOMMEND_SORT, *fv.REVIEW_SORTS]
+    parts = [paging.order_by_option(rows, o, "product_id").limit(25).select(F.lit(o).alias("sort"), "product_id") for o in options]
+    return reduce(DataFrame.unionAll, parts)
+
+
+@query("probe_frontier", """
+SELECT CAST(p_partkey AS VARCHAR) AS product_id, page, sort FROM part,
+  (SELECT unnest([1, 10, 50, 100, 200, 500, 1000]) AS page), (SELECT unnest(['최신순', '랭킹순', '평점 높은순', '평점 낮은순']) AS sort)
+""")
+def probe_frontier(spark: SparkSession, folder: str) -> DataFrame:
+    """Requests that probe how far a listing goes, under every review order."""
+    return paging.probes(v.products(spark, folder).select("product_id"))
+
+
 @query("filter_flags", f"""
 WITH {v.REVIEWS}
 SELECT review_uid, has_photo, is_experience FROM v_reviews WHERE has_photo AND NOT is_experience
@@ -189,3 +227,24 @@ WHERE contains(lower(url), 'page=') OR contains(lower(url), '/en/') OR contains(
 """)
 def keyword_any(spark: SparkSession, folder: str) -> DataFrame:
     return paging.filter_any_keyword(v.request_log(spark, folder), "url", ["page=", "/EN/", "https://m."])
+
+
+@query("keyword_first", """
+SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'POST' ELSE 'GET' END AS method, url FROM pages
+WHERE contains(lower(url), 'page=') OR contains(lower(url), '/en/') ORDER BY page_id LIMIT 7
+""")
+def keyword_first(spark: SparkSession, folder: str) -> DataFrame:
+    return paging.filter_any_keyword(v.request_log(spark, folder), "url", ["page=", "/EN/"], 7, [F.col("page_id")])
+
+
+@query("batch_rewrite", f"""
+WITH {v.CRAWL_PAGES}, b AS (SELECT job, page, n_items, CAST(floor((page - 1) / 10) AS BIGINT) AS batch FROM v_crawl_pages)
+SELECT job, page, n_items, batch FROM b WHERE batch <> 1 OR n_items > 0
+""")
+def batch_rewrite(spark: SparkSession, folder: str) -> DataFrame:
+    """All batches are kept; then one is written again with fewer rows and replaces itself alone."""
+    path = scratch_dir(spark, "batches")
+    batched = paging.batch_id(v.crawl_pages(spark, folder)).select("job", "page", "n_items", "batch")
+    landing.write_batches(batched, path)
+    landing.write_batches(batched.filter("batch = 1 AND n_items > 0"), path)
+    return spark.read.schema(batched.schema).parquet(path)

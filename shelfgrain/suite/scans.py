@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import paging, sampling, scoring, shaping
+from ..operators import paging, payloads, sampling, scoring, shaping
 from ..schemas import PRODUCT_DOCUMENT
 from ..session import scratch_dir
 from ..sources import landing, tables
@@ -77,6 +77,33 @@ def _category() -> Column:
     )
 
 
+@query("whole_json_files", f"""
+WITH {v.PRODUCTS_SQL}
+SELECT category_code, product_id, name FROM v_products
+""")
+def whole_json_files(spark: SparkSession, folder: str) -> DataFrame:
+    """One JSON document per category over many lines, read as a VARIANT of unknown shape."""
+    path = scratch_dir(spark, "documents")
+    items = F.sort_array(F.collect_list(F.struct("p_partkey", "product_id", "name")))
+    document = F.to_json(F.struct(F.lit("x").alias("kind"), items.alias("items")), {"pretty": "true"})
+    v.products(spark, folder).groupBy("category_code").agg(document.alias("value")).write.partitionBy("category_code").option("maxRecordsPerFile", 1).text(path)
+    read = landing.read_json_documents(spark, path)
+    code = F.try_url_decode(F.try_url_decode(F.regexp_extract("file_path", "category_code=([^/]*)", 1)))
+    listed = read.select(code.alias("category_code"), F.explode(F.try_variant_get("document", "$.items", "array<variant>")).alias("item"))
+    return listed.select("category_code", F.try_variant_get("item", "$.product_id", "string").alias("product_id"), F.try_variant_get("item", "$.name", "string").alias("name"))
+
+
+@query("flatten_known_shape", f"""
+WITH {v.PRODUCTS_SQL}
+SELECT product_id, brand AS maker_brand_name, price AS maker_price, '["' || category_code || '"]' AS codes FROM v_products
+""")
+def flatten_known_shape(spark: SparkSession, folder: str) -> DataFrame:
+    shaped = v.products(spark, folder).select(
+        "product_id", F.struct(F.col("brand").alias("brand.name"), "price").alias("maker"), F.array("category_code").alias("codes")
+    )
+    return payloads.flatten_struct(shaped)
+
+
 def _land_products(spark: SparkSession, folder: str) -> str:
     root = scratch_dir(spark, "landing")
     rows = v.products(spark, folder)

@@ -99,7 +99,7 @@ def score_trained(spark: SparkSession, folder: str) -> DataFrame:
     return scoring.with_pred_label(scored).select("review_uid", F.round("prob", 6).alias("prob"), "pred_label")
 
 
-def lexicon(df: DataFrame) -> DataFrame:
+def lexicon(df: DataFrame, cfg: ScoreConfig | None = None) -> DataFrame:
     return df.withColumn("prob", scoring.lexicon_prob(F.col("content"), POSITIVE, NEGATIVE))
 
 
@@ -117,6 +117,29 @@ def score_job(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(target).drop("content")
 
 
+_FIRST_WORDS = r"array_to_string(list_filter(string_split_regex(lower(content), '\s+'), lambda x: x <> '')[1:40], ' ')"
+
+
+@query("score_configured", f"""
+WITH {v.LABELLED}, cut AS (SELECT review_uid, star, true_label, {_FIRST_WORDS} AS content FROM v_labelled),
+p AS (SELECT *, {_SHARE} AS prob FROM cut),
+judged AS (SELECT *, CASE WHEN prob >= 0.55 THEN 'positive' WHEN prob < 0.45 THEN 'negative' ELSE 'neutral' END AS pred_label FROM p)
+SELECT review_uid, star, true_label, pred_label, true_label = pred_label AS is_correct, DATE '2025-07-03' AS run_date FROM judged
+""")
+def score_configured(spark: SparkSession, folder: str) -> DataFrame:
+    """Settings from environment and options, rows spread anew, a vectorised scorer with a token limit."""
+    target = scratch_dir(spark, "configured")
+    env = {"THRESH_POS": "0.55", "MAX_LEN": "99", "WRITE_MODE": "overwrite"}
+    cfg = ScoreConfig.from_args(["--thresh_neg", "0.45", "--max_len", "40", "--npartitions", "3", "--run_date", "2025-07-03", "--input", "reviews_to_score", "--output", target], env)
+    v.reviews(spark, folder).select("review_uid", "content", "star").createOrReplaceTempView(cfg.input)
+
+    def score(rows: DataFrame, given: ScoreConfig) -> DataFrame:
+        return scoring.score_text(rows, "content", scoring.word_count_scorer(POSITIVE, NEGATIVE, given.max_len), "limited")
+
+    score_reviews(spark, cfg, score)
+    return spark.read.parquet(target).drop("content")
+
+
 _STRIPPED = r"regexp_replace(text, '^\s+|\s+$', '', 'g')"
 
 

@@ -109,7 +109,7 @@ def review_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("reviews_per_product", f"""
 WITH {v.REVIEWS}
-SELECT product_id, CAST(floor(doc_id / 2000) AS BIGINT) AS part, count(*) AS n_reviews,
+SELECT product_id, CAST(floor(doc_id / 2000) AS BIGINT) AS part, count(*) AS n_in_part,
        string_agg(review_uid, ',' ORDER BY doc_id) AS reviews
 FROM v_reviews GROUP BY 1, 2
 """)

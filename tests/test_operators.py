@@ -242,7 +242,7 @@ def test_price_stats_and_empty_input(spark):
 def test_review_lists_come_in_bounded_parts(spark):
     df = spark.range(1000).select(F.lit("hot").alias("p"), "id", F.col("id").cast("string").alias("uid"))
     parts = summaries.reviews_per_product(df, "p", "id", "uid", span=100).collect()
-    assert len(parts) == 10 and all(r["n_reviews"] == len(r["reviews"]) == 100 for r in parts)
+    assert len(parts) == 10 and all(r["n_in_part"] == len(r["reviews"]) == 100 for r in parts)
     assert [u for r in sorted(parts, key=lambda r: r["part"]) for u in r["reviews"]] == [str(i) for i in range(1000)]
 
 
