@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame
 
 from .common import per_process, slices, texts_of
 
-CACHE_PIECES = 300_000
+# pieces, and words, that a process remembers: about 300 MB at most
+CACHE_PIECES = 700_000
 CACHE_PAIRS = 1_000_000
 # longer pieces are rare and not worth remembering
 CACHED_BYTES = 64
@@ -206,7 +207,14 @@ class Encoder:
         """Ids of a word with a space before it; None where the space might belong to what precedes it."""
         if not word or word[0].isspace():
             return None
-        found = tuple(t for piece in self.pattern.findall(" " + word) for t in self.piece(piece))
+        pieces = self.pattern.findall(" " + word)
+        if len(pieces) == 1:
+            found = self.piece(pieces[0])
+        else:
+            ids: list[int] = []
+            for piece in pieces:
+                ids += self._pieces.get(piece) or self.piece(piece)
+            found = tuple(ids)
         if len(word) <= CACHED_BYTES and len(self._words) < CACHE_PIECES:
             self._words[word] = found
         return found
