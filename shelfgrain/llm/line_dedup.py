@@ -56,9 +56,10 @@ def dedup_lines(
     )
     repeated = (
         exploded.select("h1", "h2", "doc").distinct()
-        .groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("holders"), F.max("doc").alias("keeper"))
+        # grouped by one struct, so that the join below gets an exchange of its own, where Spark can split a hot line
+        .groupBy(F.struct("h1", "h2").alias("line")).agg(F.count(F.lit(1)).alias("holders"), F.max("doc").alias("keeper"))
         .filter(F.col("holders") >= min_documents)
-        .select("h1", "h2", "keeper")
+        .select("line.h1", "line.h2", "keeper")
     )
     doomed = (
         exploded.join(repeated, ["h1", "h2"])
