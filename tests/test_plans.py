@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from shelfgrain.operators import ordering, sampling, shaping
+from shelfgrain.operators import ordering, paging, sampling, shaping
 from shelfgrain.plans.scoring import ScoreConfig, score_frame
 from shelfgrain.sources import tables
 from shelfgrain.suite.registry import ORACLES, QUERIES
@@ -107,6 +107,38 @@ def test_hot_products_are_on_a_side_that_can_be_split(spark):
     assert "Join Inner" in text and "Join LeftAnti" in text and "LeftOuter" not in text
 
 
+def test_a_hot_product_is_split_at_run_time(spark):
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "20",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    try:
+        for k, value in small.items():
+            spark.conf.set(k, value)
+        products = spark.range(500).select(F.col("id").cast("string").alias("product_id"))
+        reviews = spark.range(0, 40_000, numPartitions=8).select(
+            F.when(F.col("id") % 2 == 0, "7").otherwise((F.col("id") % 500).cast("string")).alias("product_id"), F.md5(F.col("id").cast("string")).alias("uid")
+        )
+        joined = sampling.reviews_of(products, reviews, keep_without=False)
+        assert len(joined.collect()) == 40_000
+        assert "skew=true" in plan(joined)
+    finally:
+        for k, value in before.items():
+            spark.conf.unset(k) if value is None else spark.conf.set(k, value)
+
+
+def test_stop_pages_do_not_move_payloads(spark):
+    pages = spark.range(0, 100, numPartitions=4).select(
+        (F.col("id") % 5).cast("string").alias("category_code"), F.col("id").alias("page"), (F.col("id") % 9).alias("n_items"), F.lit("{}").alias("payload")
+    )
+    text = optimized(paging.take_until_empty(pages, "category_code", "page", jobs=5))
+    assert "strategy=broadcast" in text
+    moved = [line for line in plan(paging.take_until_empty(pages, "category_code", "page", jobs=5)).splitlines() if "Exchange hashpartitioning" in line]
+    assert len(moved) <= 1  # of the stop pages alone
+
+
 def test_lookup_is_not_forced_to_broadcast(spark):
     facts, dim = spark.range(5).withColumnRenamed("id", "code"), spark.range(5).select(F.col("id").alias("c"), F.lit("n").alias("name"))
     assert "strategy=broadcast" not in optimized(shaping.lookup(facts, dim, "code", "c", "name", "out", F.lit("?")))
