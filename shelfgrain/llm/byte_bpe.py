@@ -18,7 +18,7 @@ import hashlib
 import math
 from collections.abc import Iterator
 
-import numpy as np
+import ahocorasick
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -53,9 +53,13 @@ class Vocabulary:
         self._left: dict[int, list[tuple[bytes, float]]] = {}
         self._stays: dict[int, bool] = {}
         self._merged: dict[int, tuple[bytes, bytes] | None] = {}
-        # every beginning of a token, with the rank of those that are tokens themselves
-        self._starts: dict[bytes, int] = {token[:n]: -1 for token in ranks for n in range(1, len(token))}
-        self._starts.update((token, rank) for token, rank in ranks.items() if self.parts(rank) != (b"", b""))
+        self._lengths = [len(token) for token in self.bytes_of]
+        # finds all tokens in a piece; bytes stand as the characters of the same number
+        self._automaton = ahocorasick.Automaton()
+        for token, rank in ranks.items():
+            if self.parts(rank) != (b"", b""):
+                self._automaton.add_word(token.decode("latin-1"), rank)
+        self._automaton.make_automaton()
 
     def parts(self, rank: int) -> tuple[bytes, bytes] | None:
         """The two tokens whose merge makes this one; None for a single byte.
@@ -113,29 +117,29 @@ class Vocabulary:
     def extend(self, data: bytes, last: list[int], upto: int) -> None:
         """Append to `last` the last tokens of the prefixes of `data` up to `upto` bytes.
 
-        Going forward, every token that starts at a prefix whose own last token is known is
-        tried against that one; no more than one token can be right for each end.
+        The automaton gives every token at every end, in order of the ends, so the prefix
+        before a token already has its own last token, against which the token is tried.
+        No more than one token can be right for each end.
         """
-        rank_of, known, size, longest = self._starts.get, self._stays.get, self.size, self.longest
+        known, size, lengths = self._stays.get, self.size, self._lengths
         done = len(last) - 1
         last += [-1] * (upto - done)
-        for start in range(max(0, done - longest + 1), upto):
-            before = last[start] * size
-            for end in range(start + 1, min(upto, start + longest) + 1):
-                rank = rank_of(data[start:end])
-                if rank is None:
-                    break
-                if rank < 0 or end <= done or last[end] >= 0:
+        base = max(0, done - self.longest + 1)
+        for end, rank in self._automaton.iter(data[base:upto].decode("latin-1")):
+            end += base + 1
+            if end <= done or last[end] >= 0:
+                continue
+            start = end - lengths[rank]
+            if start:
+                before = last[start]
+                apart = known(before * size + rank)
+                if apart is None:
+                    apart = self.stay_apart(before, rank)
+                if not apart:
                     continue
-                if start:
-                    apart = known(before + rank)
-                    if apart is None:
-                        apart = self.stay_apart(last[start], rank)
-                    if not apart:
-                        continue
-                last[end] = rank
-            if last[start + 1] < 0:
-                raise ValueError("the vocabulary lacks a single byte")
+            last[end] = rank
+        if -1 in last[done + 1 :]:
+            raise ValueError("the vocabulary lacks a single byte")
 
     def walk_back(self, last: list[int]) -> list[int]:
         out, end = [], len(last) - 1
