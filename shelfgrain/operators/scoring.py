@@ -108,14 +108,14 @@ def fit_token_odds(labelled: DataFrame, content: str, label: str) -> DataFrame:
     """(token, odds): smoothed log-odds of label 1 for each token of the labelled texts.
 
     Plain sums that are combined before the shuffle, so tokens that most texts hold are no
-    burden. Every row has the same two totals, those of the labels.
+    burden; only the two totals of the labels come to the driver.
     """
     rows = labelled.filter(F.col(label).isNotNull()).select(text_tokens(F.col(content)).alias("tokens"), F.col(label).cast("int").alias("label"))
-    totals = rows.agg(F.sum("label").alias("all_yes"), F.count(F.lit(1)).alias("all_rows"))
+    totals = rows.agg(F.sum("label").alias("yes"), F.count(F.lit(1)).alias("n")).first()
+    all_yes, all_no = totals["yes"] or 0, totals["n"] - (totals["yes"] or 0)
     counts = rows.select("label", F.explode("tokens").alias("token")).groupBy("token").agg(F.sum("label").alias("yes"), F.count(F.lit(1)).alias("n"))
-    odds = F.ln((F.col("yes") + 1) / (F.col("all_yes") + 2)) - F.ln((F.col("n") - F.col("yes") + 1) / (F.col("all_rows") - F.col("all_yes") + 2))
-    # the totals are one row
-    return counts.join(F.broadcast(totals), F.lit(True)).select("token", odds.alias("odds"))
+    odds = F.ln((F.col("yes") + 1) / F.lit(all_yes + 2)) - F.ln((F.col("n") - F.col("yes") + 1) / F.lit(all_no + 2))
+    return counts.select("token", odds.alias("odds"))
 
 
 def score_by_tokens(df: DataFrame, uid: str, content: str, odds: DataFrame, out: str = "prob") -> DataFrame:
