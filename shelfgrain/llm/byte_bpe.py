@@ -23,7 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import per_process, slices, texts_of
+from .common import per_process, slices, small_batches, texts_of
 
 # pieces, and words, that a process remembers: about 300 MB at most
 CACHE_PIECES = 700_000
@@ -317,6 +317,7 @@ def _digests(encoder: Encoder, texts: list[str]) -> list[pa.Array]:
 
 
 def _per_text(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id: str, text: str, columns: str, make) -> DataFrame:
+    small_batches(docs)
     sent = docs.sparkSession.sparkContext.broadcast(ranks)
     rows = docs.select(docs[id].alias("id"), docs[text].alias("text"))
     kind = rows.schema["id"].dataType.simpleString()

@@ -19,6 +19,7 @@ from ..session import scratch_dir
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLANKS = " \t\n\x0b\f\r"
 SLICE_BYTES = 4 << 20
+BATCH_ROWS = 2000
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:
@@ -49,6 +50,14 @@ def stored(df: DataFrame, name: str, **options) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame) -> None:
+    """Hand rows to Python at most `BATCH_ROWS` at a time, on both sides of which a batch must fit into memory."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(setting)) <= BATCH_ROWS:
+        conf.set(setting, BATCH_ROWS)
+
+
 def texts_of(batch: pa.RecordBatch, column: str) -> pa.Array:
     return pc.fill_null(batch.column(column), "")
 

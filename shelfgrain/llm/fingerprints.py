@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hashed, id_borders, mixed, range_of, slices, stored, texts_of, words
+from .common import hashed, id_borders, mixed, range_of, slices, small_batches, stored, texts_of, words
 
 SHINGLE_WORDS = 5
 PERMUTATIONS = 128
@@ -96,6 +96,7 @@ def likeness(one: np.ndarray, other: np.ndarray) -> np.ndarray:
 
 def fingerprint(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """id and fingerprint (hex) of every row, null text as empty. No shuffle."""
+    small_batches(docs)
     rows = docs.select(docs[id].alias("id"), docs[text].alias("text"))
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,6 +122,7 @@ def in_order(docs: DataFrame, id: str, text: str) -> DataFrame:
     and are fixed numbers afterwards, so a task that is run again sees the same rows. The
     last run's guest is the very first row. Null ids sort last, in the last run.
     """
+    small_batches(docs)
     rows = docs.select(docs[id].cast("bigint").alias("id"), F.coalesce(docs[text], F.lit("")).alias("text"))
     size, known = rows.agg(F.sum(F.octet_length("text")), F.count("id")).first()
     runs = int(min(max(1, -(-(size or 0) // RUN_BYTES), rows.sparkSession.sparkContext.defaultParallelism), MAX_RUNS, max(1, known)))
@@ -210,6 +212,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", sim
     are the row with the smallest text. Bands are a random search: a pair at 0.8 is found
     with probability above 0.999.
     """
+    small_batches(docs)
     rows = docs.filter(F.col(id).isNotNull()).groupBy(F.col(id).alias("id")).agg(F.min(F.coalesce(F.col(text), F.lit(""))).alias("text"))
 
     def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .common import slices, texts_of, words
+from .common import slices, small_batches, texts_of, words
 
 MIN_WORDS = 50
 MAX_REPEATED = 50  # percent of the words
@@ -124,6 +124,7 @@ def clean_by_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", with
     nor removed. Repeated rows and null ids are rows like others. Other columns are not
     carried along, so their names cannot clash. An empty table gives an empty table.
     """
+    small_batches(docs)
     rows = docs.select(docs[id].alias("id"), docs[text].alias("text"))
     columns = RESULT if with_text else RESULT.rpartition(",")[0]
     names = ["id", *[c.split()[0] for c in columns.split(", ")]]

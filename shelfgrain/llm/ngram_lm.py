@@ -28,9 +28,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import hashed, id_borders, mixed, range_of, slices, stored, texts_of, words
+from .common import hashed, id_borders, mixed, range_of, slices, small_batches, stored, texts_of, words
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 MAX_FILTER_BYTES = 256 << 20
 BITS_PER_EVENT = 10
 PROBES = 6
@@ -246,6 +246,7 @@ def score_texts(docs: DataFrame, train: Column, id: str = "doc_id", text: str =
     Other columns are not carried along, so their names cannot clash. Without training
     rows every probability is 1. An empty table gives no rows.
     """
+    small_batches(docs)
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(id).alias("id"), body.alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
     size, known = rows.agg(F.sum(F.octet_length("text")), F.count("id")).first()

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, stored, texts_of, words
+from .common import slices, small_batches, stored, texts_of, words
 from .line_rules import _sums, repeated_words
 
 FOURIER = 256
@@ -83,6 +83,7 @@ def statistics(texts: pa.Array) -> np.ndarray:
 
 
 def with_statistics(docs: DataFrame, id: str, text: str) -> DataFrame:
+    small_batches(docs)
     rows = docs.select(docs[id].alias("id"), docs[text].alias("text"))
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

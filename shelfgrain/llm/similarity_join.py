@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, hashed, mixed, slices, stored, texts_of, words
+from .common import fresh, hashed, mixed, slices, small_batches, stored, texts_of, words
 
 SHINGLE_WORDS = 4
 THRESHOLD = Fraction(85, 100)
@@ -358,6 +358,7 @@ def similar_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", t
     of one class. Rows with a null id take no part: their component is null. Other columns
     are not carried along, so their names cannot clash. An empty table gives no rows.
     """
+    small_batches(docs)
     kind = docs.schema[id].dataType.simpleString()
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0

@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import hashed, slices, texts_of, words
+from .common import hashed, slices, small_batches, texts_of, words
 
 FEATURES = 1 << 20
 PREFIXES = (4, 5)
@@ -143,6 +143,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, id: str = "doc_id", t
     `labels` has the id and the label 0 or 1; null labels are left out, of several labels
     of an id the largest counts. Without labelled documents every sentence has the prior.
     """
+    small_batches(docs)
     chosen = (
         labels.filter(train & F.col(label).isNotNull()).groupBy(F.col(id).alias("id")).agg(F.max(label).cast("int").alias("label"))
         .orderBy(F.xxhash64("id"), "id").limit(max_documents)
@@ -165,6 +166,7 @@ def score(docs: DataFrame, weights: np.ndarray, id: str = "doc_id", text: str =
 
     Rows that repeat or have a null id are scored like others; an empty table gives no rows.
     """
+    small_batches(docs)
     sent = docs.sparkSession.sparkContext.broadcast(weights)
     rows = docs.select(docs[id].alias("id"), docs[text].alias("text"))
 
@@ -179,6 +181,7 @@ def score(docs: DataFrame, weights: np.ndarray, id: str = "doc_id", text: str =
 
 def offending(docs: DataFrame, weights: np.ndarray, id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """id, number (from 0), score and words of each sentence that scores at least `threshold`."""
+    small_batches(docs)
     sent = docs.sparkSession.sparkContext.broadcast(weights)
     rows = docs.select(docs[id].alias("id"), docs[text].alias("text"))
 
