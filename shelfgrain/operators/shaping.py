@@ -119,21 +119,24 @@ def _product_shape(df: DataFrame, source: str, **cols: Column) -> DataFrame:
 def conform_products(a: DataFrame, b: DataFrame, c: DataFrame) -> DataFrame:
     """Products of the three shops (ranking, card and listing rows) as one table."""
 
+    def written(name: str) -> Column:
+        return _stated(F.col(name).cast("string"))
+
     def real(name: str) -> Column:
-        return _stated(F.col(name)).try_cast("double")
+        return written(name).try_cast("double")
 
     def count(name: str) -> Column:
-        return numbers.price_number(F.regexp_replace(_stated(F.col(name)), r"\+$", ""))
+        return numbers.price_number(F.regexp_replace(written(name), r"\+$", ""))
 
     parts = [
         _product_shape(
             a, "shop_a", product_id=F.col("product_id"), name=F.col("name"), brand=_stated(F.col("brand")),
-            price=numbers.price_number(F.col("price")), rating=real("rating"), review_count=count("review_count"),
+            price=numbers.price_number(written("price")), rating=real("rating"), review_count=count("review_count"),
             category=F.col("category_name"), product_url=_stated(F.col("product_url")),
         ),
         _product_shape(
             b, "shop_b", product_id=F.col("product_id"), name=F.col("name"), brand=_stated(F.col("brand")),
-            price=numbers.price_number(F.col("price")), rating=F.col("avgReviewScore"), review_count=F.col("reviewCount"),
+            price=numbers.price_number(written("price")), rating=real("rating"), review_count=count("review_count"),
             category=F.get(F.col("categories"), F.lit(0)), product_url=_stated(F.col("product_url")),
         ),
         _product_shape(

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import markup as mk
 from ..functions import numbers, text
 from ..operators import markup, shaping
+from ..plans import collecting
+from ..session import scratch_dir
+from ..sources import landing
 from . import views as v
 from .registry import query
 
@@ -304,3 +308,44 @@ WHERE n_elements > 5
 def selector_profile(spark: SparkSession, folder: str) -> DataFrame:
     """Classes in double quotes, in single quotes, and next to stray quotes."""
     return markup.selector_profile(v.listing_pages(spark, folder), ["tx_", "prd_thumb", "prd_item", "info new", "no such class"])
+
+
+_CENTS = "CAST(round(p_retailprice * 100) AS BIGINT)"
+
+
+@query("products_job", f"""
+WITH {v.RANKING_SQL}, {v.CARD_SQL},
+a AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS product_id, 'shop_a' AS shop, p_name AS name, p_brand AS brand, {_CENTS} AS price,
+         CAST(CASE WHEN p_partkey % 3 = 1 THEN p_size ELSE p_size * 2 END AS DOUBLE) AS rating,
+         CAST(CASE WHEN p_partkey % 3 = 1 THEN p_partkey % 100 + 1 ELSE p_partkey % 500 END AS BIGINT) AS review_count,
+         'category_' || p_type AS category, CASE WHEN p_partkey % 5 = 0 THEN 'https://shop.example/p/' ELSE '/goods/' END || p_partkey AS product_url
+  FROM v_ranked WHERE p_partkey % 29 <> 0 AND p_partkey % 31 <> 0),
+b AS (
+  SELECT product_id, 'shop_b', p_name, CASE WHEN k % 6 >= 2 THEN p_brand END,
+         CAST(CASE WHEN k % 4 > 1 THEN price WHEN k % 4 = 1 AND k % 8 <> 1 THEN price + 1000 END AS BIGINT), p_size / 10.0,
+         CAST(CASE WHEN k % 10 = 0 THEN 0 ELSE k % 1000 END AS BIGINT), CASE WHEN k % 3 < 2 THEN p_type END,
+         CASE WHEN k % 9 <> 0 THEN '/window-products/beauty/' || k END
+  FROM v_cards),
+c AS (
+  SELECT 'A' || lpad(CAST(p_partkey AS VARCHAR), 9, '0'), 'shop_c', p_name || ' & <set>', p_brand, CASE WHEN p_partkey % 11 <> 0 THEN {_CENTS} END,
+         CAST(printf('%.1f', p_size * 2 / 20.0) AS DOUBLE),
+         CAST(CASE WHEN p_partkey % 6 = 0 THEN NULL WHEN p_partkey % 7 = 0 THEN 999 ELSE p_partkey * 9 END AS BIGINT),
+         'list ' || CAST(floor(p_partkey / 24) AS INTEGER) % 4,
+         CASE WHEN p_partkey % 4 = 0 THEN 'https://other.example' ELSE '{BASE}' END || '/goods/detail?goodsNo=A' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') || '&t=1'
+  FROM part WHERE CAST(floor(p_partkey / 24) AS INTEGER) < 50)
+SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM c
+""")
+def products_job(spark: SparkSession, folder: str) -> DataFrame:
+    """From the pages of all shops to landed files of the conformed table, and back."""
+    root = scratch_dir(spark, "products")
+    page = F.col("page")
+    # every listing page was collected twice, and each category goes on behind its first empty page
+    lists = v.listing_pages(spark, folder).withColumn("n_items", F.when(page < 50, 24).otherwise(0)).withColumn("category", F.concat(F.lit("list "), page % 4))
+    rows = collecting.dim_products(
+        v.ranking_payloads(spark, folder), v.card_payloads(spark, folder), lists.unionByName(lists), v.SCRAPED_AT, v.RANKING_SPAN, BASE, v.CATEGORIES
+    ).withColumnRenamed("source", "shop")
+    collecting.land(rows, root, "all", "products", F.col("category"), F.lit("2025-07-02").cast("date"))
+    stored = T.StructType([f for f in rows.schema.fields if f.name != "category"])
+    read = landing.csv_reader(spark).option("recursiveFileLookup", True).schema(stored).csv(root)
+    return landing.with_path_fields(read, ["category"])

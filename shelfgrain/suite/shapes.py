@@ -123,7 +123,7 @@ def conform_products(spark: SparkSession, folder: str) -> DataFrame:
     b = part.filter(key % 3 == 1).select(
         *common, F.when(key % 5 == 0, "N/A").otherwise(F.col("p_brand")).alias("brand"),
         F.when(key % 7 == 0, "N/A").otherwise(amount.cast("string")).alias("price"),
-        size.cast("double").alias("avgReviewScore"), count.alias("reviewCount"), F.array("p_type", F.lit("x")).alias("categories"),
+        size.cast("double").alias("rating"), count.alias("review_count"), F.array("p_type", F.lit("x")).alias("categories"),
         F.lit("N/A").alias("product_url"),
     )
     c = part.filter(key % 3 == 2).select(
