@@ -6,8 +6,8 @@ more parts than that some part is equal; sets that share only a common passage h
 have a whole part in common. Nothing is found by chance and nothing is lost.
 
 Sets that are equal altogether are one node, named by a digest, before anything meets. In
-each tile all nodes are held against one, which links most near copies in as many tries as
-there are nodes. Only tiles whose nodes are not yet of one class are then looked at pair by
+each tile all nodes are held against its centre, the one that meets most others, which links
+most near copies in as many tries as there are nodes. Only tiles whose nodes are not yet of one class are then looked at pair by
 pair, in blocks, on bitmap signatures: set bits that differ bound the overlap from above,
 and what passes goes on to the exact intersection of the sorted shingles. So classes are
 exact, while the links inside a class are not all listed.
@@ -34,7 +34,7 @@ RANGE_KEYS = 4_000_000
 # nodes of a tile that are compared in one task; larger tiles are cut in blocks
 BLOCK_NODES = 1024
 BUFFER_ROWS = 50_000
-# tasks over which the tiles of one low node are dealt
+# tasks over which the tiles around one centre are dealt
 SHARES = 8
 # up to so many rows of two numbers a side may be sent to all tasks
 BROADCAST_ROWS = 1_000_000
@@ -206,7 +206,7 @@ def _signed(width: int, threshold: Fraction, ranges: int):
 
 
 def _tiles(alone: bool):
-    """applyInArrow: from the packed keys of a range to (key, node, low) for tiles of several nodes; `alone` keeps single ones too."""
+    """applyInArrow: from the packed keys of a range to (key, node, held) for tiles of several nodes, with their number; `alone` keeps single ones too."""
 
     def meet(table: pa.Table) -> pa.Table:
         join = lambda c: np.frombuffer(b"".join(table[c].to_pylist()), np.uint64)
@@ -218,9 +218,9 @@ def _tiles(alone: bool):
         keys, nodes = keys[new], nodes[new]
         starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         sizes = np.diff(np.concatenate([starts, [len(keys)]]))
-        low = np.repeat(nodes[starts], sizes)
-        use = np.repeat((sizes > 1) | alone, sizes)
-        return pa.table({c: pa.array(x[use].view(np.int64)) for c, x in (("key", keys), ("node", nodes), ("low", low))})
+        held = np.repeat(sizes, sizes)
+        use = (held > 1) | alone
+        return pa.table({"key": pa.array(keys[use].view(np.int64)), "node": pa.array(nodes[use].view(np.int64)), "held": pa.array(held[use])})
 
     return meet
 
@@ -366,13 +366,13 @@ def similar_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", t
     signed = stored(rows.mapInArrow(_signed(width, threshold, ranges), f"id {kind}, n long, node long, range int, keys binary, held binary"), "join-keys")
     members = signed.filter(F.col("range").isNull()).select("id", "n", "node")
     packed = signed.filter(F.col("range").isNotNull())
-    tiles = _meet(packed)
+    tiles = _centred(_meet(packed))
     nodes = members.filter(F.col("id").isNotNull() & (F.col("n") > 0)).groupBy("node").agg(F.min("id").alias("id"))
     wanted = stored(tiles.select("node").distinct().join(nodes, "node").select("id", "node"), "join-wanted")
     wanted_side = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
     sets = stored(rows.join(wanted_side, "id").select("node", "text").mapInArrow(_with_sets(width), "node long, n long, bitmap binary, shingles binary"), "join-sets")
 
-    star = tiles.filter(F.col("node") != F.col("low")).select(F.col("low").alias("a"), F.col("node").alias("b")).distinct()
+    star = tiles.filter(F.col("node") != F.col("centre")).select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
     named = classes(_verify(star, sets, threshold))
     more = _verify(_residual(tiles, named, sets, threshold), sets, threshold)
     if more.limit(1).count():
@@ -405,12 +405,12 @@ def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", thresho
 
 
 def _meet(packed: DataFrame) -> DataFrame:
-    """Tiles of several nodes as rows (key, node, low), stored.
+    """Tiles of several nodes as rows (key, node, held), stored.
 
     Ranges of keys are even unless many nodes share a key; then a range is cut at random
-    into groups of bounded size, each of which has a low node of its own.
+    into groups of bounded size, each of which counts its own.
     """
-    schema = "key long, node long, low long"
+    schema = "key long, node long, held long"
     sizes = packed.groupBy("range").agg(F.sum("n").alias("all")).filter(F.col("all") > RANGE_KEYS).orderBy(F.col("all").desc()).limit(BROADCAST_ROWS).collect()
     if not sizes:
         return stored(packed.groupBy("range").applyInArrow(_tiles(False), schema), "join-tiles")
@@ -418,25 +418,35 @@ def _meet(packed: DataFrame) -> DataFrame:
     salted = packed.join(F.broadcast(large), "range", "left").withColumn("salt", F.floor(F.rand(1) * F.coalesce("salts", F.lit(1))))
     met = stored(salted.filter(F.col("salts").isNull()).groupBy("range").applyInArrow(_tiles(False), schema).unionByName(
         salted.filter(F.col("salts").isNotNull()).groupBy("range", "salt").applyInArrow(_tiles(True), schema)), "join-met")
-    several = met.groupBy("key").agg(F.count(F.lit(1)).alias("held")).filter("held > 1").select("key")
+    several = met.groupBy("key").agg(F.count(F.lit(1)).alias("nodes")).filter("nodes > 1").select("key")
     return stored(met.join(several, "key"), "join-tiles")
 
 
+def _centred(tiles: DataFrame) -> DataFrame:
+    """Tiles with their centre: the node that meets most nodes over all its tiles. Rows (key, node, centre), stored.
+
+    Copies of one text differ more from each other than from it, and it meets most of them.
+    """
+    weights = tiles.groupBy("node").agg(F.sum("held").alias("weight"))
+    top = tiles.join(weights, "node").groupBy("key").agg(F.max(F.struct("weight", "node")).alias("top"))
+    return stored(tiles.join(top.select("key", F.col("top.node").alias("centre")), "key").select("key", "node", "centre"), "join-centres")
+
+
 def _residual(tiles: DataFrame, named: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame:
     """Pairs of nodes that share a tile, are of different classes so far and pass the bitmap bound."""
-    labelled = tiles.join(named, "node", "left").select("key", "node", "low", F.coalesce("class", "node").alias("class"))
+    labelled = tiles.join(named, "node", "left").select("key", "node", "centre", F.coalesce("class", "node").alias("class"))
     mixed_tiles = (
-        labelled.groupBy("key").agg(F.min("class").alias("one"), F.max("class").alias("other"), F.count(F.lit(1)).alias("held"), F.min("low").alias("low"))
+        labelled.groupBy("key").agg(F.min("class").alias("one"), F.max("class").alias("other"), F.count(F.lit(1)).alias("held"), F.min("centre").alias("centre"))
         .filter("one <> other")
     )
-    blocks = mixed_tiles.select("key", "low", F.ceil(F.col("held") / BLOCK_NODES).cast("int").alias("blocks"))
+    blocks = mixed_tiles.select("key", "centre", F.ceil(F.col("held") / BLOCK_NODES).cast("int").alias("blocks"))
     rows = (
-        labelled.drop("low").join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks").cast("bigint")).cast("int"))
+        labelled.drop("centre").join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks").cast("bigint")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("low", "key", "node", "class", "block", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"))
+        .select("centre", "key", "node", "class", "block", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"))
         .join(sets.select("node", "n", "bitmap"), "node")
     )
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # two nodes meet in many tiles, mostly with one low node: there their pair is found once, or once in each of few shares
-    dealt = rows.repartition(parts, "low", F.pmod("key", F.lit(SHARES)), "p", "q").sortWithinPartitions("low", "key", "p", "q")
+    # two nodes meet in many tiles, mostly around one centre: there their pair is found once, or once in each of few shares
+    dealt = rows.repartition(parts, "centre", F.pmod("key", F.lit(SHARES)), "p", "q").sortWithinPartitions("centre", "key", "p", "q")
     return dealt.mapInArrow(_paired(threshold), "a long, b long").distinct()
