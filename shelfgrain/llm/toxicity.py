@@ -157,7 +157,8 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, id: str = "doc_id", t
         weights = fit_weights(texts if isinstance(texts, pa.Array) else pa.array([], pa.string()), table["label"].to_numpy())
         yield pa.RecordBatch.from_arrays([pa.array([weights.tobytes()], pa.binary())], names=["weights"])
 
-    row = sample.coalesce(1).mapInArrow(fitted, "weights binary").first()
+    # only the sample goes to one task; the scan that finds it stays spread
+    row = sample.repartition(1).mapInArrow(fitted, "weights binary").first()
     return np.frombuffer(row["weights"], np.float32) if row else fit_weights(pa.array([], pa.string()), np.zeros(0))
 
 
