@@ -5,8 +5,8 @@ of its words and word beginnings; a document is toxic unless none of its sentenc
 1 - product(1 - p), the noisy-or. The likelihood of the document labels trains the sentence
 model, which then tells the offending sentences.
 
-The model is fitted in one task on at most `MAX_DOCUMENTS` labelled documents, taken in the
-order of a hash of their ids, and has `FEATURES` weights. Scoring is one pass without a
+The model is fitted in one task on at most `MAX_DOCUMENTS` labelled documents and about
+`MAX_BYTES` of text, taken in the order of a hash of their ids, and has `FEATURES` weights. Scoring is one pass without a
 shuffle, with the weights sent to all tasks.
 """
 
@@ -25,7 +25,8 @@ from .common import hashed, slices, small_batches, texts_of, words
 
 FEATURES = 1 << 20
 PREFIXES = (4, 5)
-MAX_DOCUMENTS = 20_000
+MAX_DOCUMENTS = 12_000
+MAX_BYTES = 48 << 20
 ROUNDS = 60
 RATE = 0.3
 DECAY = 2e-5
@@ -149,16 +150,23 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, id: str = "doc_id", t
         .orderBy(F.xxhash64("id"), "id").limit(max_documents)
     )
     # at most max_documents short rows, which is what the broadcast is bounded by
-    sample = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen), "id").select("text", "label")
+    sample = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen), "id")
 
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches), schema=pa.schema([("text", pa.string()), ("label", pa.int32())])).combine_chunks()
+        taken, size = [], 0
+        for batch in slices(batches, "text"):
+            size += batch.column("text").nbytes
+            if taken and size > MAX_BYTES:
+                break
+            taken.append(batch)
+        table = pa.Table.from_batches(taken, schema=pa.schema([("text", pa.string()), ("label", pa.int32())])).combine_chunks()
         texts = pc.fill_null(table["text"], "").combine_chunks()
         weights = fit_weights(texts if isinstance(texts, pa.Array) else pa.array([], pa.string()), table["label"].to_numpy())
         yield pa.RecordBatch.from_arrays([pa.array([weights.tobytes()], pa.binary())], names=["weights"])
 
     # only the sample goes to one task; the scan that finds it stays spread
-    row = sample.repartition(1).mapInArrow(fitted, "weights binary").first()
+    ordered = sample.repartition(1).sortWithinPartitions(F.xxhash64("id"), "id").select("text", "label")
+    row = ordered.mapInArrow(fitted, "weights binary").first()
     return np.frombuffer(row["weights"], np.float32) if row else fit_weights(pa.array([], pa.string()), np.zeros(0))
 
 
