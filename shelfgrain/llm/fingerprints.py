@@ -3,14 +3,15 @@
 A fingerprint holds, for each of `PERMUTATIONS` universal hash functions, the low 16 bits
 of the smallest value over a text's shingles; equal places of two fingerprints estimate
 their Jaccard likeness. All texts of a slice are hashed at once in numpy, a few thousand
-shingles at a time so that the work stays in the processor's cache. Bands of a fingerprint
-are joined in Spark as stars around the smallest document of a band, never as all pairs,
-and the Jaccard of what meets is verified on the shingles themselves.
+shingles at a time so that the work stays in the processor's cache. Documents that agree in
+a band of their fingerprints meet in Spark, and the Jaccard of what meets is verified on
+the shingles themselves, never by listing all pairs of a band.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -19,11 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import hashed, id_borders, mixed, range_of, slices, small_batches, stored, texts_of, words
+from .similarity_join import digests, resolve, shingle_sets
 
 SHINGLE_WORDS = 5
 PERMUTATIONS = 128
 BANDS = 32
-SIMILARITY = 0.8
+SIMILARITY = Fraction(4, 5)
 SEED = 20240817
 BLOCK = 4096
 # text in a task that walks it in order, and the most tasks there may be
@@ -37,17 +39,15 @@ def coefficients(permutations: int = PERMUTATIONS, seed: int = SEED) -> tuple[np
     return rng.integers(0, 2**63, permutations, dtype=np.uint64) * np.uint64(2) + np.uint64(1), rng.integers(0, 2**63, permutations, dtype=np.uint64)
 
 
-def shingles(texts: pa.Array, width: int = SHINGLE_WORDS, pad: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def windows(texts: pa.Array, width: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray]:
     """64-bit shingles of all texts in order, and how many each text has.
 
-    A shingle is `width` words in a row, lower-cased. A shorter text is one shingle, a
-    text without words has none. With `pad` each word ends one shingle and the first ones
-    begin with blanks, so that short texts too have as many shingles as words.
+    Each word, lower-cased, ends one window of `width` words; the first ones begin with
+    blanks, so that short texts too have as many windows as words.
     """
     parts, code, counts = words(texts, lower=True)
     word = mixed(hashed(parts))[code]
-    ends = np.cumsum(counts)
-    at = np.arange(len(code)) - np.repeat(ends - counts, counts)
+    at = np.arange(len(code)) - np.repeat(np.cumsum(counts) - counts, counts)
     value = np.zeros(len(code), np.uint64)
     with np.errstate(over="ignore"):
         for back in range(width):
@@ -55,10 +55,7 @@ def shingles(texts: pa.Array, width: int = SHINGLE_WORDS, pad: bool = False) ->
             part[back:] = word[: max(len(code) - back, 0)]
             part[at < back] = 0
             value = mixed(value * np.uint64(0x9E3779B97F4A7C15) + part + np.uint64(back))
-    if pad:
-        return value, counts
-    whole = at >= np.minimum(width, np.repeat(counts, counts)) - 1
-    return value[whole], np.where(counts > 0, np.maximum(counts - width + 1, 1), 0)
+    return value, counts
 
 
 def signatures(values: np.ndarray, counts: np.ndarray, permutations: int = PERMUTATIONS) -> np.ndarray:
@@ -83,7 +80,7 @@ def signatures(values: np.ndarray, counts: np.ndarray, permutations: int = PERMU
 
 
 def fingerprints_of(texts: pa.Array, permutations: int = PERMUTATIONS) -> np.ndarray:
-    return signatures(*shingles(texts, pad=True), permutations)
+    return signatures(*windows(texts), permutations)
 
 
 def as_hex(signature: np.ndarray) -> list[str]:
@@ -202,44 +199,38 @@ def _compared(rows: list[tuple]) -> pa.RecordBatch:
 # --- near-duplicates -----------------------------------------------------------------
 
 
-def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, bands: int = BANDS) -> DataFrame:
-    """Verified links (smaller id, larger id, jaccard) between texts of at least `similarity` on five-word shingles.
+def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: Fraction = SIMILARITY, bands: int = BANDS) -> DataFrame:
+    """id, n_shingles and component_id, the smallest id reached by links, on five-word shingles.
 
-    Candidates share a band of the fingerprint. In each band every document meets the
-    smallest one, so a band of n documents gives n - 1 candidates and hot bands are no
-    burden; a star, not all pairs: two documents of a class are linked through others.
-    Texts without words link with nothing. Null ids are left out, rows that share an id
-    are the row with the smallest text. Bands are a random search: a pair at 0.8 is found
-    with probability above 0.999.
+    Texts meet in a tile if they agree in a band of their fingerprints. What meets is
+    verified as in the similarity join: first against a centre of the tile, then, where a
+    tile still holds several classes, pair by pair on bitmaps and on the shingles. Bands
+    are a random search: a pair at 0.8 meets with probability above 0.999, and of what
+    meets no link is lost.
+
+    A text of fewer words is one shingle; texts without words link with nothing. Rows with
+    equal sets link; rows with a null id take no part and have a null component.
     """
     small_batches(docs)
-    rows = docs.filter(F.col(id).isNotNull()).groupBy(F.col(id).alias("id")).agg(F.min(F.coalesce(F.col(text), F.lit(""))).alias("text"))
+    rows = docs.select(docs[id].alias("id"), docs[text].alias("text"))
 
     def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            values, counts = shingles(texts_of(batch, "text"))
-            signature = signatures(values, counts)
-            some = counts > 0
-            ids = batch.column("id").filter(pa.array(some))
-            keys = [[row[i :: bands].tobytes() + i.to_bytes(2, "big") for i in range(bands)] for row in signature[some]]
-            yield pa.RecordBatch.from_arrays([ids, pa.array(keys, pa.list_(pa.binary()))], names=["id", "keys"])
+            values, counts = shingle_sets(texts_of(batch, "text"), SHINGLE_WORDS)
+            signature = signatures(values, counts).astype(np.uint64)
+            keys = np.empty((len(counts), bands), np.uint64)
+            with np.errstate(over="ignore"):
+                for i in range(bands):
+                    keys[:, i] = mixed(np.full(len(counts), i, np.uint64) + np.uint64(1))
+                    for column in signature[:, i::bands].T:
+                        keys[:, i] = mixed(keys[:, i] * np.uint64(0x9E3779B97F4A7C15) + column)
+            lists = pa.FixedSizeListArray.from_arrays(pa.array(keys.view(np.int64).ravel()), bands).cast(pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(counts), pa.array(digests(values, counts).view(np.int64)), lists], names=["id", "n", "node", "keys"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    keyed = stored(rows.mapInArrow(banded, f"id {kind}, keys array<binary>").select("id", F.explode("keys").alias("key")), "minhash-bands")
-    centres = keyed.groupBy("key").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    pairs = keyed.join(centres, "key").filter(F.col("id") != F.col("low")).select("low", F.col("id").alias("high")).distinct()
-    left = rows.select(F.col("id").alias("low"), F.col("text").alias("low_text"))
-    right = rows.select(F.col("id").alias("high"), F.col("text").alias("high_text"))
-
-    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = []
-            for column in ("low_text", "high_text"):
-                values, counts = shingles(texts_of(batch, column))
-                sets.append([np.unique(v) for v in np.split(values, np.cumsum(counts)[:-1])])
-            shared = np.array([len(np.intersect1d(a, b, assume_unique=True)) for a, b in zip(*sets)], np.int64)
-            union = np.array([len(a) + len(b) for a, b in zip(*sets)], np.int64) - shared
-            keep = pa.array(shared >= similarity * np.maximum(union, 1))
-            yield pa.RecordBatch.from_arrays([batch.column("low"), batch.column("high"), pa.array(shared / np.maximum(union, 1))], names=["low", "high", "jaccard"]).filter(keep)
-
-    return pairs.join(left, "low").join(right, "high").select("low", "high", "low_text", "high_text").mapInArrow(verified, f"low {kind}, high {kind}, jaccard double")
+    signed = stored(rows.mapInArrow(banded, f"id {kind}, n long, node long, keys array<long>"), "minhash-bands")
+    met = signed.filter("n > 0").select(F.explode("keys").alias("key"), "node").distinct()
+    held = met.groupBy("key").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
+    tiles = stored(met.join(held, "key"), "minhash-tiles")
+    found = resolve(rows, signed.select("id", "n", "node"), tiles, similarity, SHINGLE_WORDS)
+    return found.select(F.col("id").alias(id), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))

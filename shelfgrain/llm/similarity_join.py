@@ -365,8 +365,17 @@ def similar_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", t
     ranges = max(1, -(-size // RANGE_BYTES))
     signed = stored(rows.mapInArrow(_signed(width, threshold, ranges), f"id {kind}, n long, node long, range int, keys binary, held binary"), "join-keys")
     members = signed.filter(F.col("range").isNull()).select("id", "n", "node")
-    packed = signed.filter(F.col("range").isNotNull())
-    tiles = _centred(_meet(packed))
+    found = resolve(rows, members, _meet(signed.filter(F.col("range").isNotNull())), threshold, width)
+    return found.select(F.col("id").alias(id), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
+def resolve(rows: DataFrame, members: DataFrame, tiles: DataFrame, threshold: Fraction, width: int) -> DataFrame:
+    """(id, n, component) for all members (id, n, node), from the tiles (key, node, held) in which nodes meet.
+
+    `rows` are the (id, text) that the members stand for. Nodes that meet in no tile are
+    not compared; those that do link exactly if they reach the threshold.
+    """
+    tiles = _centred(tiles)
     nodes = members.filter(F.col("id").isNotNull() & (F.col("n") > 0)).groupBy("node").agg(F.min("id").alias("id"))
     wanted = stored(tiles.select("node").distinct().join(nodes, "node").select("id", "node"), "join-wanted")
     wanted_side = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
@@ -388,7 +397,7 @@ def similar_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", t
     of_node = nodes.join(linked.join(smallest, "class").select("node", "smallest"), "node", "left").select("node", F.coalesce("smallest", "id").alias("component"))
     known = members.filter(F.col("id").isNotNull() & (F.col("n") > 0)).join(of_node, "node").select("id", "n", "component")
     others = members.filter(F.col("id").isNull() | (F.col("n") == 0)).select("id", "n", F.col("id").alias("component"))
-    return known.unionByName(others).select(F.col("id").alias(id), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+    return known.unionByName(others)
 
 
 def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", threshold: Fraction = THRESHOLD, width: int = SHINGLE_WORDS) -> DataFrame:

@@ -337,13 +337,25 @@ def test_fingerprints_over_many_runs(spark, texts, monkeypatch):
 def test_near_duplicates(spark):
     rng = random.Random(9)
     base = [f"w{rng.randrange(3000)}" for _ in range(300)]
-    near = base[:150] + ["changed"] + base[151:]
-    far = base[:150] + [f"v{i}" for i in range(150)]
-    docs = spark.createDataFrame([(1, " ".join(base)), (2, " ".join(near)), (3, " ".join(far)), (4, " ".join(base)), (5, ""), (6, None), (None, " ".join(base))], "doc_id long, text string")
-    got = {(r["low"], r["high"]): r["jaccard"] for r in fingerprints.near_duplicates(docs).collect()}
-    assert set(got) <= {(1, 2), (1, 4), (2, 4)} and {(1, 2), (1, 4)} <= set(got)
-    a, b = shingles(" ".join(base), 5), shingles(" ".join(near), 5)
-    assert math.isclose(got[1, 2], len(a & b) / len(a | b))
+    texts = {1: base, 2: base[:150] + ["changed"] + base[151:], 3: base[:150] + [f"v{i}" for i in range(150)], 4: base, 5: [], 7: ["two", "words"], 8: ["two", "words"]}
+    # copies that differ more from each other than from what they come from
+    source = [f"u{rng.randrange(3000)}" for _ in range(200)]
+    for i in range(20, 50):
+        copy = list(source)
+        for at in rng.sample(range(200), 3):
+            copy[at] = f"x{rng.randrange(3000)}"
+        texts[i] = copy
+    texts[60] = source
+    sets = {i: shingles(" ".join(w), 5) for i, w in texts.items()}
+    rows = [(i, " ".join(w)) for i, w in texts.items()] + [(6, None), (None, " ".join(base))]
+    got = {r["doc_id"]: r["component_id"] for r in fingerprints.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    reached = {i: i for i in texts}
+    for _ in texts:
+        for i in texts:
+            for j in texts:
+                if sets[i] and 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j]):
+                    reached[i] = min(reached[i], reached[j])
+    assert got == {**reached, 6: 6, None: None}
 
 
 # --- shards ---------------------------------------------------------------------------
