@@ -11,13 +11,13 @@ from shelfgrain.llm.queries import byte_vocabulary
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject."""
+    """Documents that the quality classifier does not reject; a null text is judged as an empty one."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality.keep_good(docs, labels, remainder(F.col("doc_id"), 5) != 0)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that repeat across documents; n_chars follows the text."""
+    """All documents, without the lines that repeat across documents; n_chars follows the text, and a null text is empty."""
     n_lines, n_dropped = fresh(docs, "n_lines", "n_dropped")
     kept = line_dedup.dedup_lines(docs, n_lines=n_lines, n_dropped=n_dropped)
     if "n_chars" in docs.columns:
@@ -26,7 +26,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each class of near copies."""
+    """The first document of each class of near copies; one row for each id, and all rows without an id."""
     return similarity_join.one_of_each(docs)
 
 
@@ -36,7 +36,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token count and digests of every row."""
+    """Token count and digests of every row, null text as empty."""
     return byte_bpe.digest_texts(docs, *byte_vocabulary())
 
 

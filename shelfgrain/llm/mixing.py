@@ -190,7 +190,12 @@ def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
 
 
 def take(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS, share_percent: int = SHARE_PERCENT, most: int = MOST_REPEATS, seed: int = SEED) -> DataFrame:
-    """The mix itself: the input rows with all their columns, each as often as it is taken."""
+    """The mix itself: the input rows with all their columns, each as often as it is taken.
+
+    Null ids, texts and sources are values like others. Of rows that are equal in id, text
+    and source as many are taken as were drawn, whichever these are. An empty table gives
+    an empty table.
+    """
     key, copies, rank = fresh(docs, "mix_key", "mix_copies", "mix_rank")
     decided = _decided(docs, id, text, source, weights, share_percent, most, seed)
     per_key = decided.groupBy(F.col("key").alias(key)).agg(F.sort_array(F.collect_list("copies"), asc=False).alias(copies))

@@ -231,7 +231,12 @@ def quality_scores(docs: DataFrame, labels: DataFrame, train: Column, id: str =
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, train: Column, threshold: float = THRESHOLD, id: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
-    """The input rows whose texts score at least `threshold`, with all their columns and without a shuffle."""
+    """The input rows whose texts score at least `threshold`, with all their columns and without a shuffle.
+
+    Each row is judged by its text alone: a null text as an empty one, rows that repeat or
+    have a null id like others. Without labels every score is 0.5, so all rows stay at the
+    usual threshold. An empty table gives an empty table.
+    """
     model = fit(stored(with_statistics(docs, id, text), "quality-stats"), labels, train, id, label)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

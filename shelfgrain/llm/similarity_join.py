@@ -401,9 +401,11 @@ def resolve(rows: DataFrame, members: DataFrame, tiles: DataFrame, threshold: Fr
 
 
 def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", threshold: Fraction = THRESHOLD, width: int = SHINGLE_WORDS) -> DataFrame:
-    """The input rows without those whose class has a smaller id.
+    """The input rows, with all their columns, without those whose class has a smaller id.
 
-    Of rows that share an id and class one stays; rows with a null id all stay.
+    Of rows that share an id one stays, and none if any of them is a copy of a smaller id;
+    rows with a null id all stay, as do texts without words. An empty table gives an empty
+    table.
     """
     gone, rank = fresh(docs, "join_gone", "join_rank")
     found = similar_documents(docs.select(F.col(id).alias("id"), F.col(text).alias("text")), "id", "text", threshold, width)
