@@ -244,20 +244,25 @@ def generic_review(rows: DataFrame, block: str = "block") -> DataFrame:
     """
     blk = F.col(block)
 
-    def hit(tag: str, cls_like: str) -> Column:
-        return mk.first(blk, mk.element(tag, cls_like=cls_like))
+    def tried(selectors: list[tuple[str, str]], value) -> Column:
+        """`value` of the first node for each (tag, class pattern), in order; the patterns are data, not plan."""
+        listed = F.array(*[F.struct(F.lit(tag).alias("tag"), F.lit(like).alias("like")) for tag, like in selectors])
 
-    def cascade(selectors: list[tuple[str, str]], guard) -> Column:
-        texts = [mk.tight_text_of(blk, hit(*s)) for s in selectors]
-        return F.coalesce(*[mk.let(t, lambda x: F.when(guard(x), x)) for t in texts], F.lit(""))
+        def one(s: Column) -> Column:
+            cls = lambda n: F.coalesce(F.try_element_at(n["attrs"], F.lit("class")), F.lit(""))
+            return mk.let(F.get(F.filter(blk, lambda n: (n["tag"] == s["tag"]) & F.contains(cls(n), s["like"])), F.lit(0)), value)
+
+        return F.transform(listed, one)
+
+    def cascade(selectors: list[tuple[str, str]], guard, value=lambda n: mk.tight_text_of(blk, n)) -> Column:
+        return F.coalesce(F.get(F.filter(tried(selectors, value), guard), F.lit(0)), F.lit(""))
 
     def stated(node: Column) -> Column:
         width = mk.let(F.coalesce(mk.attribute(node, "style"), F.lit("")), numbers.rating_from_width)
         return F.coalesce(F.nullif(mk.tight_text_of(blk, node), F.lit("")), F.nullif(width, F.lit("")))
 
-    ratings = [mk.let(hit(*s), stated) for s in fv.GENERIC_RATING]
     fields = {
-        "rating": F.coalesce(*ratings, F.lit("")),
+        "rating": cascade(fv.GENERIC_RATING, lambda t: t.isNotNull(), stated),
         "title": cascade(fv.GENERIC_TITLE, lambda t: t.isNotNull()),
         "content": cascade(fv.GENERIC_CONTENT, lambda t: F.length(t) > 10),
         "author": cascade(fv.GENERIC_AUTHOR, lambda t: (t != "") & ~text.contains_any(F.lower(t), fv.RATING_WORDS)),
