@@ -105,6 +105,16 @@ def hashed(values: pa.Array) -> np.ndarray:
     return np.fromiter((digest(v) for v in values.cast(pa.binary()).to_pylist()), np.uint64, len(values))
 
 
+def give_back() -> None:
+    """Return freed memory of this process to the system; arrays of a few MB otherwise stay with its allocators."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def per_process(name: str, key: str, make: Callable):
     """What `make` gives, kept for later tasks of the same worker process; one value for each name, the last."""
     import sys

@@ -28,9 +28,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import hashed, id_borders, mixed, range_of, slices, small_batches, stored, texts_of, words
+from .common import give_back, hashed, id_borders, mixed, range_of, slices, small_batches, stored, texts_of, words
 
 BLOCK_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 MAX_FILTER_BYTES = 256 << 20
 BITS_PER_EVENT = 10
 PROBES = 6
@@ -155,7 +156,7 @@ def _counted(ranges: int):
     """mapInArrow: packed words of each block, with their counts in training texts, and packed bigrams of training texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             t = tokens_of(texts_of(batch, "text"))
             train = batch.column("train").to_numpy(zero_copy_only=False).astype(bool)[t.owner]
             block = batch.column("block").to_numpy()
@@ -167,6 +168,7 @@ def _counted(ranges: int):
                 out += _by_range(WORDS, int(number), t.hashes[used], seen[used], ranges)
             pairs, times = np.unique(t.bigrams()[train], return_counts=True)
             yield _rows(out + _by_range(BIGRAMS, None, pairs, times, ranges))
+            give_back()
 
     return count
 
@@ -182,6 +184,7 @@ def _merged(table: pa.Table) -> pa.Table:
     totals = np.bincount(place, weights=counts, minlength=len(distinct)).astype(np.int64)
     if kind == BIGRAMS:
         page, events = filter_page(distinct.astype(np.uint64), totals)
+        give_back()
         return pa.Table.from_batches([_rows([(BIGRAMS, number, None, page.tobytes(), None, len(distinct), events)])])
     out = [(TOTALS, number, None, None, None, int(totals.sum()), int((totals > 0).sum()))]
     sizes = np.array([len(r) // 8 for r in raw])
@@ -200,13 +203,13 @@ def _scored(sent, n: int, v: int, first: bool, kind: pa.DataType):
     """cogroup function: the texts of a block and the answers to its words give one row for each text."""
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        model: Filter = sent.value
+        model = Filter(*sent.value)
         keys = np.frombuffer(b"".join(right["keys"].to_pylist()), np.uint64)
         totals = np.frombuffer(b"".join(right["counts"].to_pylist()), np.int64)
         order = np.argsort(keys)
         keys, totals = keys[order], totals[order]
         out = []
-        for batch in slices(iter(left.combine_chunks().to_batches()), "text"):
+        for batch in slices(iter(left.combine_chunks().to_batches()), "text", SLICE_BYTES):
             t = tokens_of(texts_of(batch, "text"))
             place = np.minimum(np.searchsorted(keys, t.hashes), max(len(keys) - 1, 0))
             count = np.where(keys[place] == t.hashes, totals[place], 0) if len(keys) else np.zeros(len(t.hashes), np.int64)
@@ -226,6 +229,7 @@ def _scored(sent, n: int, v: int, first: bool, kind: pa.DataType):
             else:
                 columns += [pa.array(np.zeros(rows, np.int64)), pa.array(np.zeros(rows, np.int64)), pa.array(np.zeros(rows))]
             out.append(pa.RecordBatch.from_arrays([*columns, batch.column("row")], names=NAMES))
+            give_back()
         return pa.Table.from_batches(out, schema=pa.schema(list(zip(NAMES, [kind, pa.bool_(), pa.float64(), pa.int64(), pa.int64(), pa.float64(), pa.int64()]))))
 
     return score
@@ -266,7 +270,8 @@ def score_texts(docs: DataFrame, train: Column, id: str = "doc_id", text: str =
     passes = []
     rows = rows.withColumn("row", F.xxhash64("text"))
     for i, model in enumerate(_segments(merged, blocks, max_filter_bytes)):
-        sent = docs.sparkSession.sparkContext.broadcast(model)
+        # plain arrays: workers unpickle a broadcast without this package
+        sent = docs.sparkSession.sparkContext.broadcast((model.ranges, model.first, model.sizes, model.bits))
         function = _scored(sent, n, v, i == 0, to_arrow_type(docs.schema[id].dataType))
         passes.append(rows.groupBy("block").cogroup(answers).applyInArrow(function, schema))
     return _added(passes).select(
