@@ -108,7 +108,9 @@ def hashed(values: pa.Array) -> np.ndarray:
 def give_back() -> None:
     """Return freed memory of this process to the system; arrays of a few MB otherwise stay with its allocators."""
     import ctypes
+    import gc
 
+    gc.collect()  # also what earlier tasks of this process left in cycles, such as their broadcasts
     pa.default_memory_pool().release_unused()
     libc = ctypes.CDLL(None)
     if hasattr(libc, "malloc_trim"):

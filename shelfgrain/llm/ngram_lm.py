@@ -203,6 +203,7 @@ def _scored(sent, n: int, v: int, first: bool, kind: pa.DataType):
     """cogroup function: the texts of a block and the answers to its words give one row for each text."""
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        give_back()
         model = Filter(*sent.value)
         keys = np.frombuffer(b"".join(right["keys"].to_pylist()), np.uint64)
         totals = np.frombuffer(b"".join(right["counts"].to_pylist()), np.int64)
