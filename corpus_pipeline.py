@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,8 +28,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each class of near copies; one row for each id, and all rows without an id."""
-    return similarity_join.one_of_each(docs)
+    """The first document of each class of near copies, on five words at 0.8; one row for each id, and all rows without an id."""
+    return similarity_join.one_of_each(docs, threshold=Fraction(4, 5), width=5)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -419,3 +419,21 @@ def test_pipeline(spark, texts):
         assert out.columns == docs.columns
         before = {r["doc_id"]: r["text"] or "" for r in rows}
         docs = spark.createDataFrame(rows, out.schema)
+
+
+def test_join_stage_takes_five_words_at_four_fifths(spark):
+    """Copies with a replaced passage of 9 to 30 in 150 words, around a Jaccard of 0.8 on five words."""
+    rng = random.Random(4)
+    texts = {}
+    for n in range(9, 31):
+        base = [f"w{rng.randrange(4000)}" for _ in range(150)]
+        texts[2 * n] = " ".join(base)
+        texts[2 * n + 1] = " ".join(base[:60] + [f"x{rng.randrange(4000)}" for _ in range(n)] + base[60 + n :])
+    sets = {i: shingles(t, 5) for i, t in texts.items()}
+    linked = lambda i, j: 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])
+    # links do not go beyond the pair, so a copy goes if it links with any smaller id
+    want = [i for i in sorted(texts) if not any(linked(i, j) for j in texts if j < i)]
+    assert want != sorted(i for i, (_, c) in expected_classes(texts).items() if c == i)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    stage = dict(corpus_pipeline.STAGES)["n-gram Jaccard join"]
+    assert sorted(r["doc_id"] for r in stage(spark, docs, FOLDER).collect()) == want
