@@ -63,10 +63,15 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType, lines: bool
     return spark.read.schema(schema).option("multiLine", not lines).json(path)
 
 
-def read_json_documents(spark: SparkSession, path: str) -> DataFrame:
-    """One VARIANT per file, for documents whose shape is not known."""
-    return spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("file_path"), F.try_parse_json("value").alias("document")
+def read_json_documents(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
+    """One VARIANT per file, for documents whose shape is not known.
+
+    A file that does not parse, or is beyond the size of a VARIANT, has a null document and its
+    length in `unparsed_chars`, which is null for all others; with `strict` it is an error.
+    """
+    document = F.parse_json("value") if strict else F.try_parse_json("value")
+    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file_path"), document.alias("document"), F.char_length("value").alias("_chars")).select(
+        "file_path", "document", F.when(F.col("document").isNull(), F.col("_chars")).alias("unparsed_chars")
     )
 
 

@@ -15,6 +15,8 @@ from . import views as v
 from .registry import query
 
 RUN_DATE = "2025-07-02"
+# ids whose products share a JSON document
+DOCUMENT_SPAN = 5_000
 
 
 @query("review_scan", f"""
@@ -82,12 +84,14 @@ WITH {v.PRODUCTS_SQL}
 SELECT category_code, product_id, name FROM v_products
 """)
 def whole_json_files(spark: SparkSession, folder: str) -> DataFrame:
-    """One JSON document per category over many lines, read as a VARIANT of unknown shape."""
+    """One JSON document per category and id range over many lines, read as a VARIANT of unknown shape."""
     path = scratch_dir(spark, "documents")
     items = F.sort_array(F.collect_list(F.struct("p_partkey", "product_id", "name")))
     document = F.to_json(F.struct(F.lit("x").alias("kind"), items.alias("items")), {"pretty": "true"})
-    v.products(spark, folder).groupBy("category_code").agg(document.alias("value")).write.partitionBy("category_code").option("maxRecordsPerFile", 1).text(path)
-    read = landing.read_json_documents(spark, path)
+    id_range = F.floor(F.col("p_partkey") / DOCUMENT_SPAN).alias("id_range")
+    documents = v.products(spark, folder).groupBy("category_code", id_range).agg(document.alias("value")).drop("id_range")
+    documents.write.partitionBy("category_code").option("maxRecordsPerFile", 1).text(path)
+    read = landing.read_json_documents(spark, path, strict=True)
     code = F.try_url_decode(F.try_url_decode(F.regexp_extract("file_path", "category_code=([^/]*)", 1)))
     listed = read.select(code.alias("category_code"), F.explode(F.try_variant_get("document", "$.items", "array<variant>")).alias("item"))
     return listed.select("category_code", F.try_variant_get("item", "$.product_id", "string").alias("product_id"), F.try_variant_get("item", "$.name", "string").alias("name"))

@@ -12,6 +12,7 @@ from shelfgrain.operators import paging, shaping
 from shelfgrain.plans.scoring import ScoreConfig, score_reviews
 from shelfgrain.sources import landing, tables
 from shelfgrain.streaming.landing import drain, stream_landing
+from shelfgrain.suite import scans
 from shelfgrain.suite.scores import lexicon
 
 REVIEW = T.StructType().add("id", "string").add("content", "string")
@@ -160,3 +161,22 @@ def test_settings_environment_first_then_options():
     assert ScoreConfig.from_env(env).thresh_pos == 0.7
     with pytest.raises(SystemExit):
         ScoreConfig.from_args(["--sample_mode", "other"], {})
+
+
+def test_json_files_that_do_not_parse_are_reported(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"reviews": [1, 2]}')
+    (tmp_path / "b.json").write_text("{broken")
+    docs = landing.read_json_documents(spark, str(tmp_path))
+    assert rows(docs.select(F.regexp_extract("file_path", "[^/]+$", 0), "unparsed_chars")) == [("a.json", None), ("b.json", 7)]
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        landing.read_json_documents(spark, str(tmp_path), strict=True).select(F.expr("explode(try_variant_get(document, '$.reviews', 'array<variant>'))")).collect()
+
+
+def test_documents_of_a_hot_category_stay_small(spark, folder, monkeypatch):
+    parts = spark.read.parquet("/root/testdata/sf0.001/part.parquet").limit(1).drop("p_partkey")
+    spark.range(12_000).withColumnRenamed("id", "p_partkey").crossJoin(parts).write.parquet(f"{folder}/in/part.parquet")
+    monkeypatch.setattr(scans, "scratch_dir", lambda spark, name: f"{folder}/{name}")
+    got = scans.whole_json_files(spark, f"{folder}/in").select("product_id").collect()
+    assert sorted(int(r["product_id"]) for r in got) == list(range(12_000))
+    items = landing.read_json_documents(spark, f"{folder}/documents").select(F.expr("size(try_variant_get(document, '$.items', 'array<variant>'))").alias("n")).collect()
+    assert sum(r["n"] for r in items) == 12_000 and max(r["n"] for r in items) <= 5_000
