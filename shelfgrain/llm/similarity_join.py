@@ -72,7 +72,8 @@ class Bands:
     def __init__(self, threshold: Fraction, largest: int = 1 << 40):
         self.starts = [1]
         while self.starts[-1] <= largest:
-            self.starts.append(max(self.starts[-1] + 1, int(self.starts[-1] * GROWTH)))
+            # the largest partner of a band's sets is at most one band up
+            self.starts.append(max(self.starts[-1] + 1, int(self.starts[-1] * GROWTH), int(self.starts[-1] / threshold)))
         self.starts = np.array(self.starts, np.int64)
         last = [int(s) - 1 for s in self.starts[1:]]
         partner = [int(n / threshold) for n in last]

@@ -3,6 +3,7 @@
 import base64
 import math
 import random
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -95,6 +96,27 @@ def test_shingle_sets():
     assert len(set(values.tolist())) == len(set().union(*[brute_set(t, 4) for t in texts]))
 
 
+@pytest.mark.parametrize("threshold", [Fraction(1, 5), Fraction(1, 2), Fraction(3, 5), Fraction(4, 5)])
+def test_sets_share_a_key_at_any_threshold(threshold):
+    rng = random.Random(5)
+    bands = similarity_join.Bands(threshold)
+    for small in range(4, 60):
+        largest = int(small / threshold)
+        for large in {max(small + 1, largest - 2), max(small + 1, largest)}:
+            if not similarity_join.reach(threshold, small, small + large):
+                continue
+            whole = [rng.getrandbits(64) for _ in range(large)]
+            values = np.concatenate([np.sort(np.array(whole[:n], np.uint64)) for n in (small, large)])
+            keys, owner = similarity_join.part_keys(values, np.array([small, large]), bands)
+            assert set(keys[owner == 0].tolist()) & set(keys[owner == 1].tolist()), (small, large)
+
+
+def test_bands_of_the_registered_thresholds_stay():
+    for threshold in (similarity_join.THRESHOLD, Fraction(4, 5)):
+        starts = similarity_join.Bands(threshold).starts.tolist()
+        assert all(b == max(a + 1, int(a * similarity_join.GROWTH)) for a, b in zip(starts, starts[1:]))
+
+
 def test_similar_sets_always_share_a_key():
     rng = random.Random(3)
     bands = similarity_join.Bands(similarity_join.THRESHOLD)
