@@ -192,7 +192,7 @@ WITH {v.DUPLICATED}
 SELECT review_uid, any_value(md5(content)) AS digest FROM v_dup_reviews WHERE review_uid <> '' GROUP BY review_uid
 """)
 def landing_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """Files land newest first, half a year apart, and are picked up one by one."""
+    """Parts land newest first, half a year apart, each in as many files as it has tasks, and are picked up as they land."""
     root, out, state = (scratch_dir(spark, n) for n in ("arrivals", "picked-up", "stream-state"))
     part = F.col("arrival") % 3
     rows = v.duplicated_reviews(spark, folder).select(
@@ -202,9 +202,9 @@ def landing_stream(spark: SparkSession, folder: str) -> DataFrame:
         part.alias("part"),
     )
     for number in range(3):
-        rows.filter(F.col("part") == number).drop("part").coalesce(1).write.mode("append").parquet(root)
-    stream = stream_landing(spark, root, rows.drop("part").schema, ["review_uid"], files_per_trigger=1)
-    drain(stream, out, state, ["review_uid"], [F.col("scraped_at"), F.col("digest")])
+        rows.filter(F.col("part") == number).drop("part").write.mode("append").parquet(root)
+        stream = stream_landing(spark, root, rows.drop("part").schema, ["review_uid"])
+        drain(stream, out, state, ["review_uid"], [F.col("scraped_at"), F.col("digest")])
     return spark.read.parquet(out).select("review_uid", "digest")
 
 

@@ -180,3 +180,12 @@ def test_documents_of_a_hot_category_stay_small(spark, folder, monkeypatch):
     assert sorted(int(r["product_id"]) for r in got) == list(range(12_000))
     items = landing.read_json_documents(spark, f"{folder}/documents").select(F.expr("size(try_variant_get(document, '$.items', 'array<variant>'))").alias("n")).collect()
     assert sum(r["n"] for r in items) == 12_000 and max(r["n"] for r in items) <= 5_000
+
+
+def test_parts_of_the_landing_query_are_several_files(spark, folder, monkeypatch):
+    monkeypatch.setattr(scans, "scratch_dir", lambda spark, name: f"{folder}/{name}")
+    got = scans.landing_stream(spark, "/root/testdata/sf0.001")
+    assert got.count() == got.select("review_uid").distinct().count() > 0
+    arrivals = spark.read.parquet(f"{folder}/arrivals").select(F.input_file_name().alias("f"), F.month("scraped_at").alias("part"))
+    assert all(r["files"] > 1 for r in arrivals.groupBy("part").agg(F.countDistinct("f").alias("files")).collect())
+    assert spark.read.parquet(f"{folder}/picked-up").select("batch_id").distinct().count() == 3
