@@ -6,7 +6,7 @@ of its words and word beginnings; a document is toxic unless none of its sentenc
 model, which then tells the offending sentences.
 
 The model is fitted in one task on at most `MAX_DOCUMENTS` labelled documents and about
-`MAX_BYTES` of text, taken in the order of a hash of their ids, and has `FEATURES` weights. Scoring is one pass without a
+`MAX_BYTES` of text, taken in the order of a hash of their ids as far as they fit, and has `FEATURES` weights. Scoring is one pass without a
 shuffle, with the weights sent to all tasks.
 """
 
@@ -138,11 +138,13 @@ def fit_weights(texts: pa.Array, labels: np.ndarray, rounds: int = ROUNDS) -> np
     return weights.astype(np.float32)
 
 
-def fit(docs: DataFrame, labels: DataFrame, train: Column, id: str = "doc_id", text: str = "text", label: str = "toxic", max_documents: int = MAX_DOCUMENTS) -> np.ndarray:
+def fit(docs: DataFrame, labels: DataFrame, train: Column, id: str = "doc_id", text: str = "text", label: str = "toxic", max_documents: int = MAX_DOCUMENTS, max_bytes: int = MAX_BYTES) -> np.ndarray:
     """Weights from the documents for which `train`, an expression over the id, holds.
 
     `labels` has the id and the label 0 or 1; null labels are left out, of several labels
     of an id the largest counts. Without labelled documents every sentence has the prior.
+    A text that does not fit into what is left of `max_bytes` is passed over, and those
+    behind it still take part; the first always does.
     """
     small_batches(docs)
     chosen = (
@@ -155,10 +157,11 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, id: str = "doc_id", t
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         taken, size = [], 0
         for batch in slices(batches, "text"):
-            size += batch.column("text").nbytes
-            if taken and size > MAX_BYTES:
-                break
-            taken.append(batch)
+            fits = np.zeros(batch.num_rows, bool)
+            for i, length in enumerate(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()):
+                fits[i] = size == 0 or size + length <= max_bytes
+                size += length if fits[i] else 0
+            taken.append(batch if fits.all() else batch.filter(pa.array(fits)))
         table = pa.Table.from_batches(taken, schema=pa.schema([("text", pa.string()), ("label", pa.int32())])).combine_chunks()
         texts = pc.fill_null(table["text"], "").combine_chunks()
         weights = fit_weights(texts if isinstance(texts, pa.Array) else pa.array([], pa.string()), table["label"].to_numpy())

@@ -437,3 +437,15 @@ def test_join_stage_takes_five_words_at_four_fifths(spark):
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     stage = dict(corpus_pipeline.STAGES)["n-gram Jaccard join"]
     assert sorted(r["doc_id"] for r in stage(spark, docs, FOLDER).collect()) == want
+
+
+def test_a_long_text_does_not_end_the_toxicity_sample(spark):
+    clean = "alpha beta gamma. delta epsilon zeta."
+    docs = spark.createDataFrame([(i, clean + (" you vileword here." if i % 3 == 0 else " eta theta.")) for i in range(90)], "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 3 == 0).cast("int").alias("toxic"))
+    second = docs.orderBy(F.xxhash64("doc_id"), "doc_id").limit(2).collect()[1]["doc_id"]
+    docs = docs.withColumn("text", F.when(F.col("doc_id") == second, F.concat("text", F.repeat(F.lit(" eta theta."), 500_000))).otherwise(F.col("text")))
+    weights = toxicity.fit(docs, labels, F.lit(True), max_bytes=1 << 20)
+    rows = docs.filter(F.col("doc_id") != second)
+    found = {r["doc_id"]: r["score"] for r in toxicity.score(rows, weights).collect()}
+    assert min(s for i, s in found.items() if i % 3 == 0) > 0.5 > max(s for i, s in found.items() if i % 3)
