@@ -23,11 +23,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import per_process, slices, small_batches, texts_of
+from .common import giving_back, per_process, slices, small_batches, texts_of
 
-# pieces, and words, that a process remembers: about 300 MB at most
-CACHE_PIECES = 700_000
-CACHE_PAIRS = 1_000_000
+# what a process may remember of pieces, words and pairs of tokens, in bytes, until its task ends
+CACHE_BYTES = 128 << 20
+# a remembered entry takes about this much beside its text and ids: two objects and a place in a dict
+ENTRY_BYTES, PAIR_BYTES, ID_BYTES = 170, 100, 8
 # longer pieces are rare and not worth remembering
 CACHED_BYTES = 64
 # a piece's match looks at most this far past its start or one character past its end
@@ -42,8 +43,9 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Vocabulary:
     """Ranks, and which two tokens may stand side by side."""
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], room: int = CACHE_BYTES):
         self.ranks = ranks
+        self.whole_room = self.room = room
         self.size = max(ranks.values()) + 1
         self.bytes_of = [b""] * self.size
         for token, rank in ranks.items():
@@ -110,10 +112,17 @@ class Vocabulary:
                     i += 1
                 else:
                     j += 1
-            if len(self._stays) < CACHE_PAIRS:
+            if self.room > 0:
+                self.room -= PAIR_BYTES
                 self._stays[first * self.size + second] = found
         return found
 
+    def forget(self) -> None:
+        """Give up what was remembered, the room is whole again."""
+        for known in (self._right, self._left, self._stays):
+            known.clear()
+        self.room = self.whole_room
+
     def extend(self, data: bytes, last: list[int], upto: int) -> None:
         """Append to `last` the last tokens of the prefixes of `data` up to `upto` bytes.
 
@@ -183,10 +192,11 @@ class PrefixTable:
 
 
 class Encoder:
-    """Texts to token ids and back. Encodings of short pieces are remembered, up to a bound."""
+    """Texts to token ids and back. Encodings of short pieces and words are remembered, up to a bound in bytes."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.vocabulary = Vocabulary(ranks)
+    def __init__(self, ranks: dict[bytes, int], pattern: str, room: int = CACHE_BYTES):
+        self.vocabulary = Vocabulary(ranks, room)
+        self._numbers = list(range(self.vocabulary.size))  # one object for each id
         self.pattern = regex.compile(pattern)
         self._pieces: dict[str, tuple[int, ...]] = {}
         self._words: dict[str, tuple[int, ...]] = {}
@@ -202,11 +212,22 @@ class Encoder:
             else:
                 last = [-1]
                 self.vocabulary.extend(data, last, len(data))
-                found = tuple(self.vocabulary.walk_back(last))
-            if len(data) <= CACHED_BYTES and len(self._pieces) < CACHE_PIECES:
+                found = tuple(map(self._numbers.__getitem__, self.vocabulary.walk_back(last)))
+            if len(data) <= CACHED_BYTES and self._has_room(piece, found):
                 self._pieces[piece] = found
         return found
 
+    def _has_room(self, text: str, ids: tuple[int, ...]) -> bool:
+        if self.vocabulary.room <= 0:
+            return False
+        self.vocabulary.room -= ENTRY_BYTES + len(text) + ID_BYTES * len(ids)
+        return True
+
+    def forget(self) -> None:
+        self._pieces.clear()
+        self._words.clear()
+        self.vocabulary.forget()
+
     def word(self, word: str) -> tuple[int, ...] | None:
         """Ids of a word with a space before it; None where the space might belong to what precedes it."""
         if not word or word[0].isspace():
@@ -219,7 +240,7 @@ class Encoder:
             for piece in pieces:
                 ids += self._pieces.get(piece) or self.piece(piece)
             found = tuple(ids)
-        if len(word) <= CACHED_BYTES and len(self._words) < CACHE_PIECES:
+        if len(word) <= CACHED_BYTES and self._has_room(word, found):
             self._words[word] = found
         return found
 
@@ -328,5 +349,6 @@ def _per_text(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id: str, t
         for batch in slices(batches, "text"):
             made = make(encoder, texts_of(batch, "text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("id"), *made], names=["id", *[c.split()[0] for c in columns.split(", ")]])
+        encoder.forget()
 
-    return rows.mapInArrow(encoded, f"id {kind}, {columns}").withColumnRenamed("id", id)
+    return rows.mapInArrow(giving_back(encoded), f"id {kind}, {columns}").withColumnRenamed("id", id)

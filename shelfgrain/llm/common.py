@@ -117,6 +117,16 @@ def give_back() -> None:
         libc.malloc_trim(0)
 
 
+def giving_back(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The same work on batches, after which the process keeps no freed memory for later tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        give_back()
+
+    return run
+
+
 def per_process(name: str, key: str, make: Callable):
     """What `make` gives, kept for later tasks of the same worker process; one value for each name, the last."""
     import sys

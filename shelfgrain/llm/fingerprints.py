@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hashed, id_borders, mixed, range_of, slices, small_batches, stored, texts_of, words
+from .common import giving_back, hashed, id_borders, mixed, range_of, slices, small_batches, stored, texts_of, words
 from .similarity_join import digests, resolve, shingle_sets
 
 SHINGLE_WORDS = 5
@@ -100,7 +100,7 @@ def fingerprint(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
         for batch in slices(batches, "text"):
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(as_hex(fingerprints_of(texts_of(batch, "text"))), pa.string())], names=["id", "fingerprint"])
 
-    return rows.mapInArrow(made, f"id {rows.schema['id'].dataType.simpleString()}, fingerprint string").withColumnRenamed("id", id)
+    return rows.mapInArrow(giving_back(made), f"id {rows.schema['id'].dataType.simpleString()}, fingerprint string").withColumnRenamed("id", id)
 
 
 # --- each document next to an edited form of itself ---------------------------------
@@ -171,7 +171,7 @@ def compare_edited(docs: DataFrame, id: str = "doc_id", text: str = "text") -> D
 
     rows = in_order(docs, id, text)
     columns = "id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return rows.mapInArrow(walked, columns).withColumn("id", F.col("id").cast(docs.schema[id].dataType)).withColumnRenamed("id", id)
+    return rows.mapInArrow(giving_back(walked), columns).withColumn("id", F.col("id").cast(docs.schema[id].dataType)).withColumnRenamed("id", id)
 
 
 def _compared(rows: list[tuple]) -> pa.RecordBatch:
@@ -228,7 +228,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", sim
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(counts), pa.array(digests(values, counts).view(np.int64)), lists], names=["id", "n", "node", "keys"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    signed = stored(rows.mapInArrow(banded, f"id {kind}, n long, node long, keys array<long>"), "minhash-bands")
+    signed = stored(rows.mapInArrow(giving_back(banded), f"id {kind}, n long, node long, keys array<long>"), "minhash-bands")
     met = signed.filter("n > 0").select(F.explode("keys").alias("key"), "node").distinct()
     held = met.groupBy("key").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
     tiles = stored(met.join(held, "key"), "minhash-tiles")

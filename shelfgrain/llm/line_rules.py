@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .common import slices, small_batches, texts_of, words
+from .common import giving_back, slices, small_batches, texts_of, words
 
 MIN_WORDS = 50
 MAX_REPEATED = 50  # percent of the words
@@ -135,4 +135,4 @@ def clean_by_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", with
             yield pa.RecordBatch.from_arrays([batch.column("id"), *made][: len(names)], names=names)
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(judged, f"id {kind}, {columns}").withColumnRenamed("id", id)
+    return rows.mapInArrow(giving_back(judged), f"id {kind}, {columns}").withColumnRenamed("id", id)

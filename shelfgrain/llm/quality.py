@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, small_batches, stored, texts_of, words
+from .common import giving_back, slices, small_batches, stored, texts_of, words
 from .line_rules import _sums, repeated_words
 
 FOURIER = 256
@@ -92,7 +92,7 @@ def with_statistics(docs: DataFrame, id: str, text: str) -> DataFrame:
             packed = pa.FixedSizeListArray.from_arrays(pa.array(values.ravel()), len(STATISTICS)).cast(pa.list_(pa.float32()))
             yield pa.RecordBatch.from_arrays([batch.column("id"), packed], names=["id", "stats"])
 
-    return rows.mapInArrow(measured, f"id {rows.schema['id'].dataType.simpleString()}, stats array<float>")
+    return rows.mapInArrow(giving_back(measured), f"id {rows.schema['id'].dataType.simpleString()}, stats array<float>")
 
 
 def _matrix(batch: pa.RecordBatch) -> np.ndarray:
@@ -156,7 +156,7 @@ def fit(stats: DataFrame, labels: DataFrame, train: Column, id: str = "doc_id",
             at = np.clip((model.raw(_matrix(batch)) - lowest) / width, 0, BINS - 1).astype(np.int32)
             yield pa.RecordBatch.from_arrays([pa.array(at), batch.column("label")], names=["bin", "label"])
 
-    histogram = judge.select("stats", "label").mapInArrow(binned, "bin int, label double").groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("k")).orderBy("bin").collect()
+    histogram = judge.select("stats", "label").mapInArrow(giving_back(binned), "bin int, label double").groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("k")).orderBy("bin").collect()
     if histogram:
         model.steps = np.array([lowest + (r["bin"] + 0.5) * width for r in histogram])
         model.chances = isotonic(np.array([r["n"] for r in histogram]), np.array([r["k"] for r in histogram]))
@@ -186,7 +186,7 @@ def _solve(learn: DataFrame, model: Model) -> np.ndarray:
         squares, products, n = _added(table.to_pylist(), size)
         return pa.Table.from_batches([_sums_row(table["slot"][0].as_py(), squares, products, n)])
 
-    parts = learn.select("stats", "label").mapInArrow(partial, schema).groupBy("slot").applyInArrow(combined, schema).collect()
+    parts = learn.select("stats", "label").mapInArrow(giving_back(partial), schema).groupBy("slot").applyInArrow(combined, schema).collect()
     squares, products, n = _added([r.asDict() for r in parts], size)
     if not n:
         return np.zeros(size)
@@ -215,7 +215,7 @@ def score(stats: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(model.score(_matrix(batch)))], names=["id", "score"])
 
-    return stats.mapInArrow(scored, f"id {stats.schema['id'].dataType.simpleString()}, score double")
+    return stats.mapInArrow(giving_back(scored), f"id {stats.schema['id'].dataType.simpleString()}, score double")
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, train: Column, id: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
@@ -243,4 +243,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, train: Column, threshold: floa
         for batch in slices(batches, text):
             yield batch.filter(pa.array(model.score(statistics(texts_of(batch, text))) >= threshold))
 
-    return docs.mapInArrow(kept, docs.schema)
+    return docs.mapInArrow(giving_back(kept), docs.schema)

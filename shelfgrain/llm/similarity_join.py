@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, hashed, mixed, slices, small_batches, stored, texts_of, words
+from .common import fresh, giving_back, hashed, mixed, slices, small_batches, stored, texts_of, words
 
 SHINGLE_WORDS = 4
 THRESHOLD = Fraction(85, 100)
@@ -329,8 +329,8 @@ def _verify(pairs: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame
     """The pairs (a, b) that reach the threshold, stored: bitmaps first, then the shingles of what is left."""
     light = lambda s: sets.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("bitmap").alias(f"bitmap_{s}"))
     whole = lambda s: sets.select(F.col("node").alias(s), F.col("shingles").alias(f"set_{s}"))
-    possible = pairs.join(light("a"), "a").join(light("b"), "b").mapInArrow(_bounded(threshold), "a long, b long")
-    return stored(possible.join(whole("a"), "a").join(whole("b"), "b").mapInArrow(_verified(threshold), "a long, b long"), "join-links")
+    possible = pairs.join(light("a"), "a").join(light("b"), "b").mapInArrow(giving_back(_bounded(threshold)), "a long, b long")
+    return stored(possible.join(whole("a"), "a").join(whole("b"), "b").mapInArrow(giving_back(_verified(threshold)), "a long, b long"), "join-links")
 
 
 def classes(links: DataFrame) -> DataFrame:
@@ -364,7 +364,7 @@ def similar_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", t
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(1, -(-size // RANGE_BYTES))
-    signed = stored(rows.mapInArrow(_signed(width, threshold, ranges), f"id {kind}, n long, node long, range int, keys binary, held binary"), "join-keys")
+    signed = stored(rows.mapInArrow(giving_back(_signed(width, threshold, ranges)), f"id {kind}, n long, node long, range int, keys binary, held binary"), "join-keys")
     members = signed.filter(F.col("range").isNull()).select("id", "n", "node")
     found = resolve(rows, members, _meet(signed.filter(F.col("range").isNotNull())), threshold, width)
     return found.select(F.col("id").alias(id), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
@@ -380,7 +380,7 @@ def resolve(rows: DataFrame, members: DataFrame, tiles: DataFrame, threshold: Fr
     nodes = members.filter(F.col("id").isNotNull() & (F.col("n") > 0)).groupBy("node").agg(F.min("id").alias("id"))
     wanted = stored(tiles.select("node").distinct().join(nodes, "node").select("id", "node"), "join-wanted")
     wanted_side = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
-    sets = stored(rows.join(wanted_side, "id").select("node", "text").mapInArrow(_with_sets(width), "node long, n long, bitmap binary, shingles binary"), "join-sets")
+    sets = stored(rows.join(wanted_side, "id").select("node", "text").mapInArrow(giving_back(_with_sets(width)), "node long, n long, bitmap binary, shingles binary"), "join-sets")
 
     star = tiles.filter(F.col("node") != F.col("centre")).select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
     named = classes(_verify(star, sets, threshold))
@@ -461,4 +461,4 @@ def _residual(tiles: DataFrame, named: DataFrame, sets: DataFrame, threshold: Fr
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # two nodes meet in many tiles, mostly around one centre: there their pair is found once, or once in each of few shares
     dealt = rows.repartition(parts, "centre", F.pmod("key", F.lit(SHARES)), "p", "q").sortWithinPartitions("centre", "key", "p", "q")
-    return dealt.mapInArrow(_paired(threshold), "a long, b long").distinct()
+    return dealt.mapInArrow(giving_back(_paired(threshold)), "a long, b long").distinct()
