@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, fingerprints, kd_shards, line_dedup, line_rules, mixing, ngram_lm, quality, similarity_join, toxicity
+from . import (
+    byte_bpe, fingerprints, kd_shards, lexical_search, line_dedup, line_rules, mixing, ngram_lm, periodic_runs, quality, similarity_join,
+    token_files, toxicity,
+)
 from .common import LOWER, UPPER, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -193,3 +196,71 @@ def op1_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = remainder(F.col("doc_id"), 7) == 2
     scores = ngram_lm.score_texts(documents(spark, sf_dir), ~held_out)
     return scores.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+TERMS_SQL = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+
+@query("op11_lexical_search", f"""
+    WITH docs AS (SELECT doc_id, {TERMS_SQL} AS t FROM documents),
+    items AS (SELECT DISTINCT item_id, unnest({TERMS_SQL}) AS term FROM benchmark),
+    totals AS (SELECT count(*) FILTER (len(t) > 0) AS n_docs, CAST(sum(len(t)) AS BIGINT) AS n_terms FROM docs),
+    tf AS (
+      SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(t) AS n, unnest(t) AS term FROM docs)
+      WHERE term IN (SELECT term FROM items) GROUP BY doc_id, n, term
+    ),
+    weights AS (
+      SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, totals GROUP BY term, n_docs
+    ),
+    parts AS (
+      SELECT item_id, doc_id, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms))) AS part
+      FROM tf JOIN weights USING (term) JOIN items USING (term), totals
+    ),
+    scores AS (SELECT item_id, doc_id, CAST(sum(part) AS BIGINT) AS score FROM parts GROUP BY item_id, doc_id HAVING sum(part) > 0)
+    SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores) WHERE rank <= {lexical_search.TOP}
+""")
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+WORD = r"[^\x20\x09-\x0D]+"
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id and text; in each tenth text, by crc32 of the id, the words from one place on repeat some of them."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    w = F.regexp_extract_all(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD), F.lit(0))
+    placed = docs.select("doc_id", "text", h.alias("h"), F.floor(h / 10).alias("g"), F.when(h % 10 == 0, w).alias("w"))
+    n = F.size("w").cast("bigint")
+    a = F.col("g") % n
+    placed = placed.withColumn("a", F.when(n > 0, a)).withColumn("p", 1 + F.expr("(size(w) - a) div (3 + g % 8)"))
+    left = (n - F.col("a")).cast("int")
+    part = F.slice("w", (F.col("a") + 1).cast("int"), F.col("p").cast("int"))
+    again = F.slice(F.flatten(F.array_repeat(part, F.ceil(left / F.col("p")).cast("int"))), F.lit(1), left)
+    changed = F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a").cast("int")), again), " ")
+    return placed.select("doc_id", F.coalesce(F.when(F.col("a").isNotNull(), changed), "text").alias("text"))
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(with_planted_runs(documents(spark, sf_dir)))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise(F.lit(""))
+    best = found.withColumn("best", periodic_runs.strongest())
+    return best.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), F.col("best.start").alias("start"), F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"), F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+@query("op13_token_files")
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        description = file.read()
+    path = token_files.token_file_path(spark)
+    token_files.write_tokens(documents(spark, sf_dir), description, path)
+    return token_files.read_tokens(spark, path, digest=True)
