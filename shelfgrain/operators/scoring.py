@@ -96,9 +96,6 @@ def fit_text_model(labelled: DataFrame, content: str, label: str, path: str, fea
     return PipelineModel.load(path)
 
 
-TOKEN_SALTS = 16
-
-
 def text_tokens(content: Column) -> Column:
     """Distinct lower-cased tokens between blanks."""
     return F.array_distinct(F.filter(F.split(F.lower(F.coalesce(content, F.lit(""))), r"\s+"), lambda t: t != ""))
@@ -118,18 +115,20 @@ def fit_token_odds(labelled: DataFrame, content: str, label: str) -> DataFrame:
     return counts.select("token", odds.alias("odds"))
 
 
-def score_by_tokens(df: DataFrame, uid: str, content: str, odds: DataFrame, out: str = "prob") -> DataFrame:
-    """(uid, prob): logistic of the mean of the known tokens' log-odds, 0.5 without any.
+def score_by_tokens(df: DataFrame, content: str, odds: DataFrame, out: str = "prob") -> DataFrame:
+    """df with the logistic of the mean of its text's known tokens' log-odds, 0.5 without any.
 
-    A token that most texts hold would make one hot key; the odds are repeated for
-    `TOKEN_SALTS` salts and every text's rows go by the salt of its id.
+    A score belongs to a text: texts are known by a digest, equal ones are worked out once,
+    and every row takes the score of its own text, whatever ids it shares or lacks. A null
+    text has no tokens. A token that most texts hold is a hot key of the larger side, which
+    adaptive execution splits; the odds hold each token once.
     """
-    salt = F.pmod(F.xxhash64(uid), F.lit(TOKEN_SALTS)).cast("int")
-    tokens = df.select(F.col(uid), salt.alias("_salt"), F.explode(text_tokens(F.col(content))).alias("token"))
-    spread = odds.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(TOKEN_SALTS - 1))))
-    known = tokens.join(spread, ["token", "_salt"]).groupBy(uid).agg(F.avg("odds").alias("_mean"))
-    joined = df.select(uid).join(known, uid, "left")
-    return joined.select(uid, F.when(F.col("_mean").isNull(), 0.5).otherwise(1 / (1 + F.exp(-F.col("_mean")))).alias(out))
+    marked = df.withColumn("_digest", F.md5(F.coalesce(F.col(content), F.lit(""))))
+    texts = marked.select("_digest", text_tokens(F.col(content)).alias("_tokens")).dropDuplicates(["_digest"])
+    tokens = texts.select("_digest", F.explode("_tokens").alias("token"))
+    means = tokens.join(odds, "token").groupBy("_digest").agg((1 / (1 + F.exp(-F.avg("odds")))).alias("_mean"))
+    joined = marked.join(means, "_digest", "left")
+    return joined.select(*df.columns, F.coalesce("_mean", F.lit(0.5)).alias(out))
 
 
 def score_with_model(df: DataFrame, model: PipelineModel, out: str = "prob") -> DataFrame:

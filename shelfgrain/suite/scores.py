@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import scoring, shaping
+from ..operators import scoring, shaping, text_model
 from ..plans.collecting import fact_reviews
 from ..plans.scoring import ScoreConfig, score_frame, score_reviews
 from ..session import scratch_dir
@@ -95,10 +95,73 @@ def score_trained(spark: SparkSession, folder: str) -> DataFrame:
     labels = v.table(spark, folder, "labels").select("doc_id", "quality")
     reviews = v.reviews(spark, folder).select("doc_id", "review_uid", "content")
     odds = scoring.fit_token_odds(reviews.join(labels, "doc_id"), "content", "quality")
-    scored = scoring.score_by_tokens(reviews, "review_uid", "content", odds)
+    scored = scoring.score_by_tokens(reviews, "content", odds)
     return scoring.with_pred_label(scored).select("review_uid", F.round("prob", 6).alias("prob"), "pred_label")
 
 
+
+
+def _words(content: str) -> str:
+    return f"regexp_extract_all(lower(coalesce({content}, '')), '{text_model.WORDS}')"
+
+
+_WHOLE, _START, _INNER, _LIMIT = 8, 4, 3, 64
+
+
+@query("wordpiece_tokens", f"""
+WITH RECURSIVE {v.REVIEWS},
+known AS (SELECT DISTINCT unnest({_words('text')}) AS w FROM benchmark),
+pieces AS (
+  SELECT substr(w, 1, CAST(n AS INTEGER)) AS piece FROM known, range(1, {_START + 1}) AS r(n) WHERE n <= length(w) UNION
+  SELECT w FROM known WHERE length(w) <= {_WHOLE} UNION
+  SELECT '##' || substr(w, CAST(i AS INTEGER), CAST(n AS INTEGER)) FROM (SELECT w, unnest(range(2, length(w) + 1)) AS i FROM known), range(1, {_INNER + 1}) AS r(n)
+  WHERE i + n - 1 <= length(w)),
+vocabulary AS (SELECT piece, row_number() OVER (ORDER BY piece) + 3 AS id FROM pieces),
+texts AS (SELECT review_uid, {_words('content')} AS words FROM v_reviews),
+cut AS (
+  SELECT w, CAST(1 AS BIGINT) AS pos, CAST([] AS BIGINT[]) AS ids FROM (SELECT DISTINCT unnest(words) AS w FROM texts) WHERE length(w) <= {text_model.LONGEST_WORD}
+  UNION ALL
+  SELECT w, pos + max(n), list_append(ids, arg_max(id, n)) FROM (
+    SELECT cut.w, cut.pos, cut.ids, n, v.id FROM cut, range(1, {_WHOLE + 1}) AS r(n)
+    JOIN vocabulary v ON v.piece = CASE WHEN cut.pos > 1 THEN '##' ELSE '' END || substr(cut.w, CAST(cut.pos AS INTEGER), CAST(n AS INTEGER))
+    WHERE cut.pos + n - 1 <= length(cut.w)) GROUP BY w, pos, ids),
+done AS (SELECT w, ids FROM cut WHERE pos > length(w)),
+placed AS (SELECT review_uid, i, words[i] AS w FROM (SELECT review_uid, words, unnest(range(1, len(words) + 1)) AS i FROM texts)),
+sequences AS (
+  SELECT review_uid, flatten(list(coalesce(ids, CAST([1] AS BIGINT[])) ORDER BY i)) AS ids FROM placed LEFT JOIN done USING (w) GROUP BY review_uid),
+every AS (SELECT review_uid, coalesce(ids, CAST([] AS BIGINT[])) AS ids FROM texts LEFT JOIN sequences USING (review_uid))
+SELECT review_uid, CAST(len(ids) AS BIGINT) AS n_pieces, CAST(len(list_filter(ids, lambda x: x = 1)) AS BIGINT) AS n_unknown,
+       len(ids) > {_LIMIT - 2} AS truncated, md5(array_to_string(list_concat(list_concat(CAST([2] AS BIGINT[]), ids[1:{_LIMIT - 2}]), CAST([3] AS BIGINT[])), ',')) AS input_md5
+FROM every
+""")
+def wordpiece_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    """Word pieces of all reviews over a vocabulary of the parts of other words, cut to a limit as a model's input is."""
+    vocabulary = text_model.piece_vocabulary(v.table(spark, folder, "benchmark"), "text", _WHOLE, _START, _INNER)
+    reviews = v.reviews(spark, folder).select("review_uid", "content")
+    cut = text_model.with_pieces(reviews, "content", vocabulary, _LIMIT)
+    joined = F.array_join(F.transform("input_ids", lambda x: x.cast("string")), ",")
+    return cut.select("review_uid", "n_pieces", "n_unknown", "truncated", F.md5(joined).alias("input_md5"))
+
+
+def trained_encoder(spark: SparkSession, folder: str) -> str:
+    """A small encoder whose head learns from labelled reviews; returns the file of its weights."""
+    vocabulary = text_model.piece_vocabulary(v.table(spark, folder, "benchmark"), "text", _WHOLE, _START, _INNER)
+    start, trained = (f"{scratch_dir(spark, name)}.npz" for name in ("encoder-start", "encoder"))
+    text_model.save_weights(spark, text_model.seeded_weights(vocabulary), start)
+    labels = v.table(spark, folder, "labels").select("doc_id", "quality")
+    text_model.fit_head(v.reviews(spark, folder).select("doc_id", "content").join(labels, "doc_id"), "content", "quality", start, trained)
+    return trained
+
+
+@query("score_encoder")
+def score_encoder(spark: SparkSession, folder: str) -> DataFrame:
+    """Reviews through the encoder that `trained_encoder` saves: pieces, truncation, forward pass, softmax."""
+    name = text_model.send_weights(spark, trained_encoder(spark, folder))
+    reviews = _labelled(spark, folder).select("review_uid", "content", "star", "true_label")
+    scored = scoring.with_pred_label(text_model.score_with_encoder(reviews, "content", name))
+    return scoring.with_correct(scored).select("review_uid", F.round("prob", 4).alias("prob"), "pred_label", "is_correct")
+
+
 def lexicon(df: DataFrame, cfg: ScoreConfig | None = None) -> DataFrame:
     return df.withColumn("prob", scoring.lexicon_prob(F.col("content"), POSITIVE, NEGATIVE))
 
