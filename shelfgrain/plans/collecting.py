@@ -34,9 +34,12 @@ def card_products(pages: DataFrame, scraped_at: str, variant: str = "service", u
     return rows.withColumns(stamps)
 
 
-def listing_products(pages: DataFrame, scraped_at: str, base: str = "") -> DataFrame:
-    """Listing pages (category, page, html, n_items if counted) to product rows, first seen per product."""
-    counted = _until_empty(pages, "category")
+def listing_products(pages: DataFrame, scraped_at: str, base: str = "", categories: int | None = None) -> DataFrame:
+    """Listing pages (category, page, html, n_items if counted) to product rows, first seen per product.
+
+    `categories` is a proven bound on the number of categories, if there is one; then pages stay where they are.
+    """
+    counted = _until_empty(pages, "category", categories)
     rows = markup.extract_products(counted, base=base).withColumn("scraped_at", F.lit(scraped_at))
     return sampling.dedup_first(rows, "product_id", [F.col("page"), F.col("position")])
 
@@ -62,8 +65,8 @@ def span_reviews(pages: DataFrame, scraped_at: str, category: str | None = None)
     return sampling.dedup_first(rows, "review_id", [F.col("page"), F.col("position")])
 
 
-def _until_empty(pages: DataFrame, job: str) -> DataFrame:
-    return paging.take_until_empty(pages, job, "page").drop("n_items") if "n_items" in pages.columns else pages
+def _until_empty(pages: DataFrame, job: str, jobs: int | None = None) -> DataFrame:
+    return paging.take_until_empty(pages, job, "page", jobs=jobs).drop("n_items") if "n_items" in pages.columns else pages
 
 
 PAYLOAD_KEYS: list[tuple[str, str | None]] = [("no", None), ("content", None), ("grade", None), ("createDate", None)]
@@ -78,10 +81,10 @@ def fact_reviews(payload_pages: DataFrame, span_pages: DataFrame, list_pages: Da
 def dim_products(
     ranking_pages: DataFrame, card_pages: DataFrame, list_pages: DataFrame, scraped_at: str, size: int, base: str = "", categories: int | None = None
 ) -> DataFrame:
-    """Products of the three shops, from their pages to the one conformed table."""
+    """Products of the three shops, from their pages to the one conformed table. `categories` bounds those of each shop."""
     a = ranking_products(ranking_pages, scraped_at, size, categories=categories)
     b = card_products(card_pages, scraped_at)
-    return shaping.conform_products(a, b, listing_products(list_pages, scraped_at, base))
+    return shaping.conform_products(a, b, listing_products(list_pages, scraped_at, base, categories))
 
 
 def land(rows: DataFrame, root: str, source: str, kind: str, category: Column, day: Column, fmt: str = "csv") -> None:

@@ -333,15 +333,20 @@ c AS (
          CAST(CASE WHEN p_partkey % 6 = 0 THEN NULL WHEN p_partkey % 7 = 0 THEN 999 ELSE p_partkey * 9 END AS BIGINT),
          'list ' || CAST(floor(p_partkey / 24) AS INTEGER) % 4,
          CASE WHEN p_partkey % 4 = 0 THEN 'https://other.example' ELSE '{BASE}' END || '/goods/detail?goodsNo=A' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') || '&t=1'
-  FROM part WHERE CAST(floor(p_partkey / 24) AS INTEGER) < 50)
+  FROM part)
 SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM c
 """)
 def products_job(spark: SparkSession, folder: str) -> DataFrame:
     """From the pages of all shops to landed files of the conformed table, and back."""
     root = scratch_dir(spark, "products")
     page = F.col("page")
-    # every listing page was collected twice, and each category goes on behind its first empty page
-    lists = v.listing_pages(spark, folder).withColumn("n_items", F.when(page < 50, 24).otherwise(0)).withColumn("category", F.concat(F.lit("list "), page % 4))
+    # every listing page was collected twice; behind its last page a category has an empty one, and goes on with other products
+    full = v.listing_pages(spark, folder).withColumn("n_items", F.lit(24)).withColumn("category", F.concat(F.lit("list "), page % 4))
+    last = F.broadcast(full.groupBy("category").agg(F.max("page").alias("last")))  # four rows
+    first = full.filter(page < 4).join(last, "category")
+    empty = first.withColumns({"page": (F.col("last") + 4).cast("int"), "n_items": F.lit(0), "html": F.lit("<html><body><ul></ul></body></html>")})
+    behind = first.withColumns({"page": (F.col("last") + 8).cast("int"), "html": F.replace("html", F.lit("goodsNo=A"), F.lit("goodsNo=Z"))})
+    lists = full.unionByName(empty.drop("last")).unionByName(behind.drop("last"))
     rows = collecting.dim_products(
         v.ranking_payloads(spark, folder), v.card_payloads(spark, folder), lists.unionByName(lists), v.SCRAPED_AT, v.RANKING_SPAN, BASE, v.CATEGORIES
     ).withColumnRenamed("source", "shop")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from shelfgrain.operators import ordering, paging, sampling, shaping
+from shelfgrain.plans import collecting
 from shelfgrain.plans.scoring import ScoreConfig, score_frame
 from shelfgrain.sources import tables
 from shelfgrain.suite.registry import ORACLES, QUERIES
@@ -144,11 +145,25 @@ def test_lookup_is_not_forced_to_broadcast(spark):
     assert "strategy=broadcast" not in optimized(shaping.lookup(facts, dim, "code", "c", "name", "out", F.lit("?")))
 
 
-def test_every_sql_has_its_query_and_only_the_model_has_none():
+def test_every_sql_has_its_query_and_only_the_models_have_none():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(QUERIES) - set(ORACLES) == {"score_ml"}
+    assert set(QUERIES) - set(ORACLES) == {"score_ml", "score_encoder"}
 
 
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns == ["review_uid", "star", "true_label", "prob", "pred_label", "is_correct"] and df.count() > 0
+
+
+def test_listing_pages_are_not_moved(spark, tmp_path):
+    """With a bound on the categories only the extracted products go through an exchange."""
+    spark.range(40).select((F.col("id") % 4).cast("string").alias("category"), F.col("id").cast("int").alias("page"), (F.col("id") % 9).alias("n_items"), F.lit("<ul></ul>").alias("html")).write.parquet(str(tmp_path / "pages"))
+    pages = spark.read.parquet(str(tmp_path / "pages"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        bound, free = (plan(collecting.listing_products(pages, "2025-07-02", "", n)) for n in (4, None))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moves = lambda text: [line for line in text.splitlines() if "Exchange hashpartitioning(category" in line]
+    assert len(moves(bound)) < len(moves(free))
+    assert "SortMergeJoin" not in bound and "SortMergeJoin" in free
