@@ -93,7 +93,7 @@ def _bag_rows(id: pa.Array, n: pa.Array, bag: pa.Array, term=(), held=()) -> pa.
 
 
 def _scored(sent, top: int, kind: pa.DataType):
-    """mapInArrow over classes (bag, m, ids): for each item the best classes of a task, (item, score, ids)."""
+    """mapInArrow over classes (bag, m, ids): for each item the best documents of a task, (item, score, id)."""
 
     def best(scores: np.ndarray, item: np.ndarray, first: np.ndarray, ids: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
         order = np.lexsort((first, -scores, item))
@@ -142,7 +142,11 @@ def _scored(sent, top: int, kind: pa.DataType):
                     _ordinal(np.concatenate([held[2], first[row]])), held[3] + ids,
                 )
                 held = (held[0], held[1], np.array([x[0] for x in held[3]] + [None], object)[:-1], held[3])
-        yield pa.RecordBatch.from_arrays([pa.array(held[1]), pa.array(held[0]), pa.array(held[3], pa.list_(kind))], names=["item", "score", "ids"])
+        # classes give their members in the order of the ranking: no more than `top` for an item
+        sizes = [len(x) for x in held[3]]
+        members = np.array([x for own in held[3] for x in own] + [None], object)[:-1]
+        scores, item, _, ids = best(np.repeat(held[0], sizes), np.repeat(held[1], sizes), _ordinal(members), list(members))
+        yield pa.RecordBatch.from_arrays([pa.array(item, pa.int64()), pa.array(scores, pa.int64()), pa.array(ids, kind)], names=["item", "score", "id"])
 
     return score
 
@@ -229,8 +233,8 @@ def _search_block(docs: DataFrame, asked: list, id: str, text: str, top: int) ->
     from pyspark.sql.pandas.types import to_arrow_type
 
     function = giving_back(_scored(index, top, to_arrow_type(rows.schema["id"].dataType)))
-    best = classes.select("bag", "m", "ids").mapInArrow(function, f"item bigint, score bigint, ids array<{kind}>")
-    best = stored(best, "search-best").select("item", "score", F.explode("ids").alias("id"))
+    best = classes.select("bag", "m", "ids").mapInArrow(function, f"item bigint, score bigint, id {kind}")
+    best = stored(best, "search-best")
     ranked = top_per_key(best, ["item"], [F.col("score").desc(), F.col("id").asc_nulls_last()], top, rank="rank")
     # at most ITEM_BYTES of items, so a small table
     names = spark.createDataFrame([(k, r["item_id"]) for k, r in enumerate(asked)], f"item bigint, item_id {_kind_of(asked)}")
