@@ -42,7 +42,7 @@ BLOCK_TOKENS = 1 << 20
 MAX_LANES = 1024
 CHECK_STEPS = 256
 # pieces that a task remembers, in bytes; more than that and it starts afresh
-PIECE_BYTES, ENTRY_BYTES = 96 << 20, 160
+PIECE_BYTES, ENTRY_BYTES = 64 << 20, 160
 STATE_LOW, WORD = 31, 32
 MAGIC = b"RNSB"
 HEADER = "<4sBBHIQI"  # magic, version, bits of the table, checkpoints, lanes, ids, crc32 of the ids
