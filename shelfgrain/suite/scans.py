@@ -10,7 +10,7 @@ from ..operators import paging, payloads, sampling, scoring, shaping
 from ..schemas import PRODUCT_DOCUMENT
 from ..session import scratch_dir
 from ..sources import landing, tables
-from ..streaming.landing import drain, stream_landing
+from ..streaming.landing import LandedFiles, drain
 from . import views as v
 from .registry import query
 
@@ -203,8 +203,7 @@ def landing_stream(spark: SparkSession, folder: str) -> DataFrame:
     )
     for number in range(3):
         rows.filter(F.col("part") == number).drop("part").write.mode("append").parquet(root)
-        stream = stream_landing(spark, root, rows.drop("part").schema, ["review_uid"])
-        drain(stream, out, state, ["review_uid"], [F.col("scraped_at"), F.col("digest")])
+        drain(spark, LandedFiles(root, rows.drop("part").schema, ["review_uid"]), out, state, [F.col("scraped_at"), F.col("digest")])
     return spark.read.parquet(out).select("review_uid", "digest")
 
 

@@ -11,7 +11,7 @@ from shelfgrain import schemas, session
 from shelfgrain.operators import paging, shaping
 from shelfgrain.plans.scoring import ScoreConfig, score_reviews
 from shelfgrain.sources import landing, tables
-from shelfgrain.streaming.landing import drain, stream_landing
+from shelfgrain.streaming.landing import LandedFiles, drain
 from shelfgrain.suite import scans
 from shelfgrain.suite.scores import lexicon
 
@@ -112,7 +112,7 @@ def test_stream_picks_up_new_files_once(spark, folder):
 
     def land(ids, at=dt.datetime(2025, 7, 2)):
         spark.createDataFrame([(i, at) for i in ids], schema).write.mode("append").parquet(f"{folder}/in")
-        drain(stream_landing(spark, f"{folder}/in", schema, ["id"]), out, state, ["id"], ["scraped_at"])
+        drain(spark, LandedFiles(f"{folder}/in", schema, ["id"]), out, state, ["scraped_at"])
         return rows(spark.read.parquet(out).select("id"))
 
     assert land(["a", "b", "a", "", None]) == [("a",), ("b",)]
@@ -127,10 +127,39 @@ def test_a_batch_that_runs_again_replaces_itself(spark, folder):
     out, state = f"{folder}/out", f"{folder}/state"
     spark.createDataFrame([("a", 1), ("a", 0), ("b", 2)], schema).write.parquet(f"{folder}/in")
     for attempt in range(2):  # a fresh checkpoint numbers its batches from 0 again, as a repeated batch does
-        drain(stream_landing(spark, f"{folder}/in", schema, ["id"]), out, f"{state}{attempt}", ["id"], [F.col("n")])
+        drain(spark, LandedFiles(f"{folder}/in", schema, ["id"]), out, f"{state}{attempt}", [F.col("n")])
         assert rows(spark.read.parquet(out).select("id", "n")) == [("a", 0), ("b", 2)]
 
 
+def test_work_of_a_batch_does_not_grow_with_history(spark, folder):
+    """Twenty landings of 60 rows, half of them seen before: each batch reads its own rows and touches its own keys."""
+    schema = T.StructType().add("id", "long").add("n", "integer")
+    out, state = f"{folder}/out", f"{folder}/state"
+    landed = LandedFiles(f"{folder}/in", schema, ["id"])
+    read, touched = [], []
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    for k in range(20):
+        spark.createDataFrame([(30 * k + i, k) for i in range(60)], schema).coalesce(2).write.mode("append").parquet(f"{folder}/in")
+        for batch in drain(spark, landed, out, state, ["n"]):
+            if batch["numInputRows"]:
+                read.append(batch["numInputRows"])
+                touched.append(batch["stateOperators"][0]["numRowsUpdated"])
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert read == [60] * 20 and max(touched) <= 60
+    # the batch that first had a key keeps it
+    assert rows(spark.read.parquet(out).select("id", "n")) == [(i, max(0, i // 30 - 1)) for i in range(630)]
+
+
+def test_first_row_of_a_batch_may_be_in_any_of_its_files(spark, folder):
+    schema = T.StructType().add("id", "string").add("n", "integer").add("note", "string")
+    for n in (5, 2, 9):
+        spark.createDataFrame([("a", n, f"from {n}"), (f"own {n}", n, None), ("", n, "no key")], schema).coalesce(1).write.mode("append").csv(f"{folder}/in", header=True)
+    landed = LandedFiles(f"{folder}/in", schema, ["id"], fmt="csv")
+    drain(spark, landed, f"{folder}/out", f"{folder}/state", ["n"])
+    got = rows(spark.read.parquet(f"{folder}/out").select("id", "n", "note"))
+    assert got == [("a", 2, "from 2"), ("own 2", 2, None), ("own 5", 5, None), ("own 9", 9, None)]
+
+
 def fact_table(spark, folder):
     data = [("1", "the the", 5), ("2", "sch", 1), ("3", "the", 1), ("4", "x", 3), ("5", "", 5), ("6", None, 5), ("7", "y", 0), ("8", "z", None)]
     spark.createDataFrame(data, schemas.FACT_REVIEWS).write.parquet(folder)
