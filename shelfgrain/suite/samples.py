@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import sampling, shaping
+from ..sources.bucketed import CoPartitioned, write_co_partitioned
 from . import views as v
 from .registry import query
 
@@ -107,3 +108,33 @@ SELECT p.product_id, p.name, r.review_uid, r.star FROM v_products p LEFT JOIN v_
 def product_reviews_join(spark: SparkSession, folder: str) -> DataFrame:
     products = v.products(spark, folder).select("product_id", "name")
     return sampling.reviews_of(products, v.reviews(spark, folder).select("product_id", "review_uid", "star"))
+
+
+_HOT_SQL = f"""{v.REVIEWS}, {v.PRODUCTS_SQL},
+hot AS (SELECT CASE WHEN doc_id % 3 = 0 THEN '1' ELSE product_id END AS product_id, review_uid, star FROM v_reviews)"""
+
+
+def _co_partitioned(spark: SparkSession, folder: str) -> CoPartitioned:
+    """Products and reviews in the same buckets; a third of the reviews are of one product."""
+    hot = F.when(F.col("doc_id") % 3 == 0, "1").otherwise(F.col("product_id"))
+    reviews = v.reviews(spark, folder).select(hot.alias("product_id"), "review_uid", "star")
+    return write_co_partitioned(reviews, v.products(spark, folder).select("product_id", "name"), "product_id", "review_uid", buckets=16)
+
+
+@query("co_partitioned_join", f"""
+WITH {_HOT_SQL}
+SELECT p.product_id, p.name, r.review_uid, r.star FROM v_products p LEFT JOIN hot r ON p.product_id = r.product_id
+""")
+def co_partitioned_join(spark: SparkSession, folder: str) -> DataFrame:
+    return _co_partitioned(spark, folder).join(spark).select("product_id", "name", "review_uid", "star")
+
+
+@query("co_partitioned_counts", f"""
+WITH {_HOT_SQL}
+SELECT product_id, count(*) AS n_reviews, CAST(sum(star) AS BIGINT) AS stars, max(star) AS best FROM hot GROUP BY product_id
+""")
+def co_partitioned_counts(spark: SparkSession, folder: str) -> DataFrame:
+    final = {"n_reviews": F.sum("n_reviews"), "stars": F.sum("stars"), "best": F.max("best")}
+    return _co_partitioned(spark, folder).per_key(
+        spark, F.count(F.lit(1)).alias("n_reviews"), F.sum("star").cast("bigint").alias("stars"), F.max("star").alias("best"), final=final
+    )
