@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import json
-import re
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,58 +65,6 @@ _NODE = pa.struct(
 )
 
 
-_JSON_TOKEN = re.compile(r'\s*(?:([{}\[\],:])|("(?:[^"\\]|\\.)*"|[^\s{}\[\],:"]+))', re.S)
-
-
-def _loads_deep(text):
-    """json.loads without recursion, for text nested deeper than that can go."""
-    top = []
-    stack, keys = [top], [None]
-    key, wanted, at = None, "value", 0
-    end = len(text.rstrip())
-    while at < end:
-        token = _JSON_TOKEN.match(text, at)
-        if not token:
-            raise ValueError("broken JSON")
-        at = token.end()
-        mark, scalar = token[1], token[2]
-        inside = stack[-1]
-        if mark in ("}", "]"):
-            closes = isinstance(inside, dict) if mark == "}" else isinstance(inside, list) and len(stack) > 1
-            if not closes or wanted not in ("next", "first"):
-                raise ValueError("broken JSON")
-            stack.pop()
-            key, wanted = keys.pop(), "next"
-        elif mark == ",":
-            if wanted != "next" or len(stack) == 1:
-                raise ValueError("broken JSON")
-            wanted = "key" if isinstance(inside, dict) else "value"
-        elif mark == ":":
-            if wanted != "colon":
-                raise ValueError("broken JSON")
-            wanted = "value"
-        elif isinstance(inside, dict) and wanted in ("first", "key"):
-            if not scalar or scalar[0] != '"':
-                raise ValueError("broken JSON")
-            key, wanted = json.loads(scalar), "colon"
-        elif wanted in ("value", "first"):
-            value = {} if mark == "{" else [] if mark == "[" else json.loads(scalar)
-            if isinstance(inside, dict):
-                inside[key] = value
-            else:
-                inside.append(value)
-            wanted = "next"
-            if mark:
-                stack.append(value)
-                keys.append(key)
-                wanted = "first"
-        else:
-            raise ValueError("broken JSON")
-    if len(stack) != 1 or len(top) != 1:
-        raise ValueError("broken JSON")
-    return top[0]
-
-
 def _walk(root):
     """Nodes in document order, from a stack, so that depth does not matter."""
     out, open_values = [], [(root, "$")]
@@ -144,21 +91,64 @@ def _id_text(value):
         return None
 
 
-def _nodes_of(text):
+def _tree(text):
+    """The nodes of a text; none if it is broken, or nested deeper than the interpreter reads (thousands of levels)."""
     try:
-        try:
-            root = json.loads(text)
-        except RecursionError:
-            root = _loads_deep(text)
-    except (TypeError, ValueError):
+        return _walk(json.loads(text))
+    except (TypeError, ValueError, RecursionError):
         return None
-    return [dict(zip(("path", "kind", "items", "type", "id"), node)) for node in _walk(root)]
 
 
-@F.arrow_udf(NODE_TYPE)
-def json_nodes(texts: pa.Array) -> pa.Array:
-    """Every node of a JSON tree of any depth, in document order (Arrow batches).
+def _nodes_of(text):
+    nodes = _tree(text)
+    return None if nodes is None else [dict(zip(("path", "kind", "items", "type", "id"), node)) for node in nodes]
+
+
+def typed_ids(payload: Column, node_type: str) -> Column:
+    """Distinct ids of the objects of one type, in document order; only they leave Python.
 
-    Spark's own JSON paths address known depths only, hence the one Python walk.
+    A walk of the text, because VARIANT keeps the keys of an object sorted, not in the order
+    of the document, and reads no more than 1,000 levels.
     """
+
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def walked(texts: pa.Array) -> pa.Array:
+        found = []
+        for text in texts.to_pylist():
+            nodes = _tree(text)
+            found.append(None if nodes is None else list(dict.fromkeys(n[4] for n in nodes if n[3] == node_type and n[4] is not None)))
+        return pa.array(found, pa.list_(pa.string()))
+
+    return walked(payload)
+
+
+_KIND = """CASE WHEN fields IS NOT NULL THEN 'object' WHEN items IS NOT NULL THEN 'array'
+  ELSE CASE schema_of_variant(v) WHEN 'STRING' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'VOID' THEN 'null' ELSE 'number' END END"""
+
+
+def every_node(df: DataFrame, payload: str) -> DataFrame:
+    """(path, kind, items) of all nodes of JSON texts, one level in each step of a recursive query, as VARIANT.
+
+    Texts that are broken, or nested beyond VARIANT's 1,000 levels, have no nodes. The step
+    stops when nothing is left to explode; `session.SETTINGS` lift Spark's limits on it.
+    """
+    roots = df.select(parsed(F.col(payload)).alias("v")).filter("v IS NOT NULL")
+    opened = "try_variant_get(v, '$', 'map<string,variant>') AS fields, try_variant_get(v, '$', 'array<variant>') AS items"
+    return df.sparkSession.sql(
+        f"""WITH RECURSIVE node(path, v, fields, items) AS (
+          SELECT '$' AS path, v, {opened} FROM {{roots}}
+          UNION ALL
+          SELECT path, v, {opened} FROM (
+            SELECT child.path, child.v FROM (
+              SELECT explode(CASE WHEN fields IS NOT NULL THEN transform(map_entries(fields), f -> named_struct('path', path || '.' || f.key, 'v', f.value))
+                ELSE transform(items, x -> named_struct('path', path || '[]', 'v', x)) END) AS child
+              FROM node WHERE fields IS NOT NULL OR items IS NOT NULL)))
+        SELECT path, {_KIND} AS kind, coalesce(size(fields), size(items)) AS items FROM node""",
+        roots=roots,
+    )
+
+
+@F.arrow_udf(NODE_TYPE)
+def json_nodes(texts: pa.Array) -> pa.Array:
+    """Every node of a JSON tree, in document order and of depths that VARIANT does not read (Arrow batches)."""
     return pa.array([_nodes_of(t) for t in texts.to_pylist()], type=pa.list_(_NODE))

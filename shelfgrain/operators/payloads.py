@@ -100,8 +100,7 @@ def require(df: DataFrame, cols: list[str]) -> DataFrame:
 def find_nodes(df: DataFrame, payload: str, node_type: str = fv.PRODUCT_NODE) -> DataFrame:
     """Ids of the nodes of one type at any depth; per payload distinct, in document order."""
     kept = [c for c in df.columns if c != payload]
-    found = F.filter(nv.json_nodes(F.col(payload)), lambda n: (n["type"] == node_type) & n["id"].isNotNull())
-    ids = F.array_distinct(F.transform(found, lambda n: n["id"]))
+    ids = nv.typed_ids(F.col(payload), node_type)
     return df.select(*kept, F.posexplode(ids).alias("position", "node_id")).withColumn("position", F.col("position") + 1)
 
 
@@ -308,8 +307,7 @@ def union_all(dfs: list[DataFrame]) -> DataFrame:
 
 def json_profile(df: DataFrame, payload: str) -> DataFrame:
     """Per path and kind: how often it occurs, and the shortest and longest list or object."""
-    node = df.select(F.explode(nv.json_nodes(F.col(payload))).alias("n")).select("n.*")
-    return node.groupBy("path", "kind").agg(
+    return nv.every_node(df, payload).groupBy("path", "kind").agg(
         F.count(F.lit(1)).alias("n_nodes"),
         F.min("items").cast("bigint").alias("min_items"),
         F.max("items").cast("bigint").alias("max_items"),

@@ -20,6 +20,9 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # keep the map-side row limit for per-key samples larger than the default 1000
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
+    # a recursive query over nested values ends when nothing is left, however many nodes and levels there are
+    "spark.sql.cteRecursionLevelLimit": "-1",
+    "spark.sql.cteRecursionRowLimit": "-1",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }

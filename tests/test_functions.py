@@ -150,3 +150,21 @@ def test_json_nodes_walks_any_depth_and_survives_broken_text(spark):
     deep = '{"a":' * 30 + '{"type":"T","id":9}' + "}" * 30
     ids = F.transform(F.filter(nv.json_nodes(F.col("v")), lambda n: n["type"] == "T"), lambda n: n["id"])
     assert values(spark, ids, deep, "{broken", None) == [["9"], None, None]
+
+
+def test_every_node_is_found_without_python(spark):
+    texts = ['{"b":[{"q":1.5},{"r":[true,null]}],"a":"x"}', "{broken", None, "[]", "7", '{"a":' * 300 + "1" + "}" * 300, '{"a":' * 1200 + "1" + "}" * 1200]
+    nodes = nv.every_node(spark.createDataFrame([(t,) for t in texts], "v string"), "v")
+    assert "Python" not in nodes._jdf.queryExecution().optimizedPlan().toString()
+    got = sorted(map(tuple, nodes.filter(F.length("path") < 20).collect()), key=str)
+    deep = [("$" + ".a" * k, "object", 1) for k in range(10)]
+    assert got == sorted([
+        ("$", "object", 2), ("$.b", "array", 2), ("$.b[]", "object", 1), ("$.b[]", "object", 1), ("$.b[].q", "number", None), ("$.b[].r", "array", 2),
+        ("$.b[].r[]", "boolean", None), ("$.b[].r[]", "null", None), ("$.a", "string", None), ("$", "array", 0), ("$", "number", None), *deep], key=str)
+    assert nodes.count() == 9 + 2 + 301
+
+
+def test_ids_of_deep_payloads(spark):
+    ids = nv.typed_ids(F.col("v"), "T")
+    deep = '{"z":' * 3000 + '{"type":"T","id":9}' + "}" * 3000
+    assert values(spark, ids, deep, '[{"type":"T","id":"b"},{"type":"U","id":1},{"type":"T","id":"a"},{"type":"T","id":"b"},{"type":"T"}]', "{broken", None) == [["9"], ["b", "a"], None, None]
