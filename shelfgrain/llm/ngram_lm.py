@@ -12,26 +12,35 @@ ranges of their hashes, as a few binary rows; the task that owns a range adds th
 its part of the filter and answers each block of documents with the counts of its words. A
 block then meets its answers in one task and is scored there. So no word or bigram is a row
 of its own, hot ones arrive added up, and blocks and ranges grow in number, not in size.
+Blocks are ranges of ids, so that neighbours share their words, of `BLOCK_BYTES` on average;
+one that turns out to hold more than twice that is dealt over several tasks, each of which
+gets its answers.
 The filter is sent to the tasks in segments of at most `MAX_FILTER_BYTES`; each segment is a
-pass over the texts that scores the bigrams it holds.
+pass over the texts that scores the bigrams it holds. Only one segment is sent at a time:
+where there are several, a pass is stored before the next segment leaves.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import give_back, hashed, id_borders, mixed, range_of, slices, small_batches, stored, texts_of, words
+from .common import give_back, giving_back, hashed, id_borders, mixed, range_of, slices, small_batches, stored, texts_of, words
 
 BLOCK_BYTES = 8 << 20
 SLICE_BYTES = 2 << 20
+# borders between ranges of ids that every task knows; more blocks than that are even parts of a range
+MAX_BORDERS = 4096
 MAX_FILTER_BYTES = 256 << 20
 BITS_PER_EVENT = 10
 PROBES = 6
@@ -39,7 +48,11 @@ LEVEL_BASE = 1.25
 PRIOR = 1000.0
 # words hold no line break, so this stands for the end of a text and for what is before its first word
 END = b"\n"
-WORDS, BIGRAMS, TOTALS = 0, 1, 2
+WORDS, BIGRAMS, TOTALS, SIZES = 0, 1, 2, 3
+# blocks to be dealt whose numbers may be sent to all tasks
+BROADCAST_BLOCKS = 100_000
+# words of up to this many bytes are hashed all at once
+TABLE_BYTES = 32
 SCHEMA = "kind int, range int, block int, keys binary, counts binary, n long, v long"
 
 
@@ -51,11 +64,17 @@ def levels(base: float = LEVEL_BASE, largest: int = 1 << 40) -> np.ndarray:
     return np.array(out, np.int64)
 
 
-def bit_places(rest: np.ndarray, level: np.ndarray | int, probe: int, size: np.ndarray | int) -> np.ndarray:
-    """Place, below `size`, of one probe for the event (key, level)."""
+def steps_of(rest: np.ndarray, level: np.ndarray | int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the probes for the event (key, level) begin, and how far apart they are."""
     with np.errstate(over="ignore"):
         x = mixed(rest ^ (np.uint64(level) if np.isscalar(level) else level.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15))
-        place = (x + np.uint64(probe) * ((x >> np.uint64(32)) | np.uint64(1))) & np.uint64(0xFFFFFFFF)
+    return x, (x >> np.uint64(32)) | np.uint64(1)
+
+
+def bit_places(begin: np.ndarray, step: np.ndarray, probe: int, size: np.ndarray | int) -> np.ndarray:
+    """Place, below `size`, of one probe."""
+    with np.errstate(over="ignore"):
+        place = (begin + np.uint64(probe) * step) & np.uint64(0xFFFFFFFF)
     return ((place * np.asarray(size, np.uint64)) >> np.uint64(32)).astype(np.int64)
 
 
@@ -67,8 +86,9 @@ def filter_page(rest: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, int]:
     bits = np.zeros(size, np.uint8)
     owner = np.repeat(np.arange(len(rest)), top)
     level = np.arange(events) - np.repeat(np.cumsum(top) - top, top) + 1
+    x, step = steps_of(rest[owner], level)
     for probe in range(PROBES):
-        bits[bit_places(rest[owner], level, probe, size)] = 1
+        bits[bit_places(x, step, probe, size)] = 1
     return np.packbits(bits, bitorder="little"), events
 
 
@@ -81,6 +101,9 @@ class Filter:
     sizes: np.ndarray  # bits of each page
     bits: np.ndarray
 
+    def __post_init__(self) -> None:
+        self.begins = np.cumsum(self.sizes) - self.sizes
+
     def holds(self, keys: np.ndarray) -> np.ndarray:
         at = range_numbers(keys, self.ranges)
         return (at >= self.first) & (at < self.first + len(self.sizes))
@@ -88,14 +111,16 @@ class Filter:
     def counts(self, keys: np.ndarray) -> np.ndarray:
         """Counts from below for keys that this filter holds."""
         page = range_numbers(keys, self.ranges) - self.first
-        begin = (np.cumsum(self.sizes) - self.sizes)[page]
-        size, rest = self.sizes[page], keys & np.uint64(0xFFFFFFFF)
+        begin, size, rest = self.begins[page], self.sizes[page].astype(np.uint64), keys & np.uint64(0xFFFFFFFF)
         out = np.zeros(len(keys), np.int64)
         active = np.arange(len(keys))
         for level, count in enumerate(levels(), 1):
+            x, step = steps_of(rest, level)
             for probe in range(PROBES):
-                place = begin[active] + bit_places(rest[active], level, probe, size[active])
-                active = active[(self.bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1]
+                place = begin + bit_places(x, step, probe, size)
+                there = (self.bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+                if not there.all():
+                    active, begin, size, rest, x, step = (values[there] for values in (active, begin, size, rest, x, step))
             out[active] = count
             if not len(active):
                 break
@@ -124,9 +149,30 @@ class Tokens:
             return mixed(self.hashes[self.before] * np.uint64(0xD6E8FEB86659FD93) + self.hashes[self.code])
 
 
+def word_hashes(parts: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each word: the sum of random numbers for its bytes and their places, scrambled.
+
+    Words longer than `TABLE_BYTES` go one by one.
+    """
+    parts = parts.cast(pa.binary())
+    offsets = np.frombuffer(parts.buffers()[1], np.int32)[parts.offset : parts.offset + len(parts) + 1].astype(np.int64)
+    data = np.frombuffer(parts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    offsets -= offsets[0]
+    sizes = np.diff(offsets)
+    place = np.arange(len(data)) - np.repeat(offsets[:-1], sizes)
+    with np.errstate(over="ignore"):
+        number = mixed(np.arange(1, 256 * TABLE_BYTES + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(number[np.minimum(place, TABLE_BYTES - 1) * 256 + data])])
+        out = mixed(sums[offsets[1:]] - sums[offsets[:-1]] + sizes.astype(np.uint64) * np.uint64(0xE7037ED1A0B428DB))
+    long = np.flatnonzero(sizes > TABLE_BYTES)
+    if len(long):
+        out[long] = hashed(parts.take(pa.array(long)))
+    return out
+
+
 def tokens_of(texts: pa.Array) -> Tokens:
     parts, code, counts = words(texts, lower=True)
-    hashes = mixed(hashed(pa.concat_arrays([parts.cast(pa.binary()), pa.array([END], pa.binary())])))
+    hashes = word_hashes(pa.concat_arrays([parts.cast(pa.binary()), pa.array([END], pa.binary())]))
     full = np.full(len(code) + len(counts), len(parts), np.int64)
     ends = np.cumsum(counts + 1) - 1
     inside = np.ones(len(full), bool)
@@ -156,8 +202,11 @@ def _counted(ranges: int):
     """mapInArrow: packed words of each block, with their counts in training texts, and packed bigrams of training texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes: Counter = Counter()
         for batch in slices(batches, "text", SLICE_BYTES):
             t = tokens_of(texts_of(batch, "text"))
+            for number, size in zip(batch.column("block").to_pylist(), pc.binary_length(texts_of(batch, "text")).to_pylist()):
+                sizes[number] += size
             train = batch.column("train").to_numpy(zero_copy_only=False).astype(bool)[t.owner]
             block = batch.column("block").to_numpy()
             out = []
@@ -168,7 +217,7 @@ def _counted(ranges: int):
                 out += _by_range(WORDS, int(number), t.hashes[used], seen[used], ranges)
             pairs, times = np.unique(t.bigrams()[train], return_counts=True)
             yield _rows(out + _by_range(BIGRAMS, None, pairs, times, ranges))
-            give_back()
+        yield _rows([(SIZES, number % ranges, number, None, None, size, None) for number, size in sizes.items()])
 
     return count
 
@@ -176,6 +225,9 @@ def _counted(ranges: int):
 def _merged(table: pa.Table) -> pa.Table:
     """One range of words or bigrams: totals answered to each block, or a page of the filter."""
     kind, number = table["kind"][0].as_py(), table["range"][0].as_py()
+    if kind == SIZES:
+        total = table.group_by("block").aggregate([("n", "sum")])
+        return pa.Table.from_batches([_rows([(SIZES, number, b, None, None, n, None) for b, n in zip(total["block"].to_pylist(), total["n_sum"].to_pylist())])])
     raw = table["keys"].to_pylist()
     width = np.uint64 if kind == WORDS else np.uint32
     keys = np.frombuffer(b"".join(raw), width)
@@ -230,7 +282,6 @@ def _scored(sent, n: int, v: int, first: bool, kind: pa.DataType):
             else:
                 columns += [pa.array(np.zeros(rows, np.int64)), pa.array(np.zeros(rows, np.int64)), pa.array(np.zeros(rows))]
             out.append(pa.RecordBatch.from_arrays([*columns, batch.column("row")], names=NAMES))
-            give_back()
         return pa.Table.from_batches(out, schema=pa.schema(list(zip(NAMES, [kind, pa.bool_(), pa.float64(), pa.int64(), pa.int64(), pa.float64(), pa.int64()]))))
 
     return score
@@ -247,39 +298,77 @@ def score_texts(docs: DataFrame, train: Column, id: str = "doc_id", text: str =
     of log10 probabilities: add-one word probabilities, and the bigram model's.
 
     A null text is empty: its only token is the end. Repeated rows are texts like others
-    and count each time; null ids are scored like others, in blocks chosen by their text.
-    Other columns are not carried along, so their names cannot clash. Without training
-    rows every probability is 1. An empty table gives no rows.
+    and count each time; null ids are scored like others, in blocks chosen by their text,
+    and so are ids that are not whole numbers, by their hash. Many rows that share an id are
+    dealt over several tasks. Other columns are not carried along, so their names cannot
+    clash. Without training rows every probability is 1. An empty table gives no rows.
     """
     small_batches(docs)
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(id).alias("id"), body.alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
-    size, known = rows.agg(F.sum(F.octet_length("text")), F.count("id")).first()
+    size, known, low, high = rows.agg(F.sum(F.octet_length("text")), F.count("id"), F.min("id"), F.max("id")).first()
     blocks = max(1, -(-(size or 0) // block_bytes))
-    borders = id_borders(rows.select(F.col("id").cast("bigint").alias("id")), "id", blocks) if known else []
-    spread = F.pmod(F.xxhash64("text"), F.lit(blocks)).cast("int")
-    rows = rows.withColumn("block", F.when(F.col("id").isNull(), spread).otherwise(range_of(F.col("id").cast("bigint"), borders)).cast("int"))
+    rows = rows.withColumn("block", _block_of(rows, blocks, known, low, high).cast("int"))
 
-    counted = rows.select("text", "train", "block").mapInArrow(_counted(blocks), SCHEMA)
+    counted = rows.select("text", "train", "block").mapInArrow(giving_back(_counted(blocks)), SCHEMA)
     merged = stored(counted.groupBy("kind", "range").applyInArrow(_merged, SCHEMA), "lm-counts")
     totals = merged.filter(F.col("kind") == TOTALS).agg(F.sum("n"), F.sum("v")).first()
     n, v = int(totals[0] or 0), int(totals[1] or 0)
 
     kind = docs.schema[id].dataType.simpleString()
     schema = f"id {kind}, train boolean, score double, n_tokens long, n_known long, base_score double, row long"
-    answers = merged.filter(F.col("kind") == WORDS).select("block", "keys", "counts").groupBy("block")
-    passes = []
+    answers = merged.filter(F.col("kind") == WORDS).select("block", "keys", "counts")
     rows = rows.withColumn("row", F.xxhash64("text"))
-    for i, model in enumerate(_segments(merged, blocks, max_filter_bytes)):
+    rows, answers = _dealt(rows, answers, merged, block_bytes)
+    passes = []
+    sent = None
+    for i, (model, alone) in enumerate(_segments(merged, blocks, max_filter_bytes)):
+        if sent is not None:
+            sent.destroy()
         # plain arrays: workers unpickle a broadcast without this package
         sent = docs.sparkSession.sparkContext.broadcast((model.ranges, model.first, model.sizes, model.bits))
         function = _scored(sent, n, v, i == 0, to_arrow_type(docs.schema[id].dataType))
-        passes.append(rows.groupBy("block").cogroup(answers).applyInArrow(function, schema))
+        scored = rows.groupBy("block", "share").cogroup(answers.groupBy("block", "share")).applyInArrow(function, schema)
+        passes.append(scored if alone else stored(scored, "lm-pass"))
     return _added(passes).select(
         F.col("id").alias(id), F.col("train").alias("trained"), "n_tokens", "n_known", F.lit(n).cast("bigint").alias("train_tokens"), "base_score", "score"
     )
 
 
+def _block_of(rows: DataFrame, blocks: int, known: int, low, high) -> Column:
+    """Blocks as ranges of ids of about equal counts; by hash for rows that have no whole number as id."""
+    if not known or not isinstance(rows.schema["id"].dataType, T.IntegralType):
+        return F.pmod(F.xxhash64("id", "text"), F.lit(blocks))
+    id = F.col("id").cast("bigint")
+    borders = id_borders(rows.select(id.alias("id")), "id", min(blocks, MAX_BORDERS))
+    inside = -(-blocks // (len(borders) + 1))
+    found = range_of(id, borders)
+    if inside > 1 and blocks > MAX_BORDERS:
+        # even parts of each range of ids
+        edges = [low, *borders, high + 1]
+        begin = F.element_at(F.array(*[F.lit(int(e)) for e in edges[:-1]]), found + 1)
+        width = F.element_at(F.array(*[F.lit(max(1, int(b) - int(a))) for a, b in zip(edges, edges[1:])]), found + 1)
+        found = found * inside + F.floor((id - begin) / width * inside)
+    return F.when(F.col("id").isNull(), F.pmod(F.xxhash64("text"), F.lit(blocks))).otherwise(found)
+
+
+def _dealt(rows: DataFrame, answers: DataFrame, merged: DataFrame, block_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """Rows and answers with a share: 0, or for blocks of more than 2 x `block_bytes` one of several shares of about half of that.
+
+    Rows go to a share at random; every share has the answers to all words of its block, so
+    it makes no difference to a score. Texts do not move for it.
+    """
+    large = merged.filter((F.col("kind") == SIZES) & (F.col("n") > 2 * block_bytes)).select("block", F.ceil(F.col("n") / block_bytes).alias("shares"))
+    n_large = large.count()
+    if not n_large:
+        return rows.withColumn("share", F.lit(0)), answers.withColumn("share", F.lit(0))
+    side = F.broadcast(large) if n_large <= BROADCAST_BLOCKS else large
+    shares = F.coalesce("shares", F.lit(1)).cast("int")
+    share = F.pmod(F.xxhash64("row", F.monotonically_increasing_id()), shares).cast("int")
+    spread = answers.join(side, "block", "left").withColumn("share", F.explode(F.sequence(F.lit(0), shares - 1))).drop("shares")
+    return rows.join(side, "block", "left").withColumn("share", share).drop("shares"), spread
+
+
 def _added(passes: list[DataFrame]) -> DataFrame:
     """The first pass with the scores of the others added; rows that share id and text share their score."""
     first, *others = passes
@@ -291,12 +380,12 @@ def _added(passes: list[DataFrame]) -> DataFrame:
     return first.join(rest, same).withColumn("score", F.col("score") + F.col("part"))
 
 
-def _segments(merged: DataFrame, ranges: int, limit: int) -> Iterator[Filter]:
-    """The filter in neighbouring ranges of at most `limit` bytes, a single range at least; one empty filter if there is nothing."""
+def _segments(merged: DataFrame, ranges: int, limit: int) -> Iterator[tuple[Filter, bool]]:
+    """The filter in neighbouring ranges of at most `limit` bytes, a single range at least, and whether that is all of it; one empty filter if there is nothing."""
     pages = merged.filter(F.col("kind") == BIGRAMS)
     sizes = {r["range"]: r["bytes"] for r in pages.select("range", F.octet_length("keys").alias("bytes")).collect()}
     if not sizes:
-        yield Filter(ranges, 0, np.full(ranges, 64, np.int64), np.zeros(8 * ranges, np.uint8))
+        yield Filter(ranges, 0, np.full(ranges, 64, np.int64), np.zeros(8 * ranges, np.uint8)), True
         return
     first = 0
     while first < ranges:
@@ -311,5 +400,5 @@ def _segments(merged: DataFrame, ranges: int, limit: int) -> Iterator[Filter]:
         for r in part.toLocalIterator():
             at = begin[r["range"] - first]
             bits[at : at + len(r["keys"])] = np.frombuffer(r["keys"], np.uint8)
-        yield Filter(ranges, first, lengths * 8, bits)
+        yield Filter(ranges, first, lengths * 8, bits), first == 0 and last == ranges
         first = last
