@@ -146,7 +146,7 @@ def with_path_fields(df: DataFrame, names: list[str] | None = None) -> DataFrame
 # ------------------------------------------------------------- manifests and audits
 
 
-def manifest(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+def manifest(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
     """Landed files with size, time and path fields. The content column is never read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:

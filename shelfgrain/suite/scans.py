@@ -10,6 +10,7 @@ from ..operators import paging, payloads, sampling, scoring, shaping
 from ..schemas import PRODUCT_DOCUMENT
 from ..session import scratch_dir
 from ..sources import landing, tables
+from ..sources.landing_log import LandingLog
 from ..streaming.landing import LandedFiles, drain
 from . import views as v
 from .registry import query
@@ -155,6 +156,23 @@ def landed_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return landing.not_yet_landed(todo, landing.manifest(spark, root, "*.csv"), "category")
 
 
+@query("landing_log", f"""
+WITH {v.PRODUCTS_SQL}, landed AS (SELECT DISTINCT {_CATEGORY} AS category FROM v_products WHERE p_partkey % 5 <> 4),
+todo AS (SELECT DISTINCT {_CATEGORY} AS category FROM v_products UNION SELECT DISTINCT brand FROM v_products)
+SELECT category FROM todo WHERE NOT EXISTS (SELECT 1 FROM landed WHERE landed.category IS NOT DISTINCT FROM todo.category)
+""")
+def landing_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Two landings on different days; what is still to do comes from their log, without listing a folder."""
+    log = LandingLog(scratch_dir(spark, "logged"))
+    products = v.products(spark, folder)
+    rows = products.select("product_id", "name", "price", "category_code", "brand", "p_partkey")
+    for day in range(2):
+        part = rows.filter((F.col("p_partkey") % 5 != 4) & (F.col("p_partkey") % 2 == day))
+        log.land(part, "shop", "products", _category(), F.lit(f"2025-07-0{day + 1}").cast("date"))
+    todo = products.select(F.explode(F.array(_category(), F.col("brand"))).alias("category")).distinct()
+    return landing.not_yet_landed(todo, log.entries(spark), "category")
+
+
 @query("load_audit", f"""
 WITH {v.PRODUCTS_SQL}
 SELECT {_CATEGORY} AS category, count(*) AS records, 'product_id,name,price,category_code' AS columns,

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import numbers
-from ..operators import scoring, shaping, summaries
+from ..operators import scoring, shaping, sketches, summaries
+from ..session import scratch_dir
+from ..sources.tables import write_partitioned
 from . import views as v
 from .registry import query
 
@@ -66,6 +68,44 @@ def catalog_totals(spark: SparkSession, folder: str) -> DataFrame:
     return summaries.catalog_totals(v.products(spark, folder))
 
 
+@query("catalog_totals_approximate", """
+SELECT count(*) AS n_orders, TRUE AS customers_in_bound FROM orders
+""")
+def catalog_totals_approximate(spark: SparkSession, folder: str) -> DataFrame:
+    """The estimate of distinct values next to the exact number, on the orders of all customers."""
+    orders = v.table(spark, folder, "orders").select("o_custkey")
+    guess = summaries.catalog_totals(orders, "o_custkey", approximate=True)
+    exact = summaries.catalog_totals(orders, "o_custkey").select(F.col("n_brands").alias("exact"))
+    near = F.abs(F.col("n_brands") - F.col("exact")) <= 0.15 * F.col("exact")  # three deviations of 5 %
+    return guess.join(exact, F.lit(True)).select(F.col("n_products").alias("n_orders"), near.alias("customers_in_bound"))
+
+
+@query("daily_sketches", f"""
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n_orders, min(o_totalprice) AS lowest, max(o_totalprice) AS highest,
+       TRUE AS quartiles_in_bound, TRUE AS customers_in_bound
+FROM orders GROUP BY 1
+""")
+def daily_sketches(spark: SparkSession, folder: str) -> DataFrame:
+    """Sketches of every day's orders, kept by date and merged over years; estimates held against exact ranks and counts."""
+    orders = v.table(spark, folder, "orders").select(F.col("o_orderdate").cast("date").alias("day"), "o_totalprice", "o_custkey")
+    target = scratch_dir(spark, "order-sketches")
+    months = sketches.daily(orders, ["day"], F.col("o_totalprice"), F.col("o_custkey")).withColumn("month", F.date_format("day", "yyyy-MM"))
+    write_partitioned(months, target, ["month"])
+    year = F.year("day").alias("year")
+    found = sketches.figures(sketches.merged(spark.read.parquet(target).withColumn("year", year), ["year"]))
+    # one row for each year
+    checked = orders.withColumn("year", year).join(F.broadcast(found.select("year", "quantiles")), "year")
+    ranks = [F.avg((F.col("o_totalprice") <= F.col("quantiles")[i]).cast("int")).alias(f"r{i}") for i in range(3)]
+    exact = checked.groupBy("year").agg(F.count_distinct("o_custkey").alias("customers"), *ranks)
+    # at most one row has the price of a quantile, so its rank moves by one row
+    slack = F.lit(sketches.RANK_ERROR) + 1 / F.col("n_rows")
+    inside = [F.abs(F.col(f"r{i}") - q) <= slack for i, q in enumerate((0.25, 0.5, 0.75))]
+    near = F.abs(F.col("n_brands") - F.col("customers")) <= sketches.COUNT_ERROR * F.col("customers")
+    return found.join(exact, "year").select(
+        "year", F.col("n_rows").alias("n_orders"), "lowest", "highest", (inside[0] & inside[1] & inside[2]).alias("quartiles_in_bound"), near.alias("customers_in_bound")
+    )
+
+
 @query("brand_avg_price", f"""
 WITH {v.PRODUCTS_SQL}
 SELECT brand, round(avg(price), 6) AS avg_price FROM v_products GROUP BY brand

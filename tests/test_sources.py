@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from shelfgrain import schemas, session
 from shelfgrain.operators import paging, shaping
 from shelfgrain.plans.scoring import ScoreConfig, score_reviews
-from shelfgrain.sources import landing, tables
+from shelfgrain.sources import landing, landing_log, tables
 from shelfgrain.streaming.landing import LandedFiles, drain
 from shelfgrain.suite import scans
 from shelfgrain.suite.scores import lexicon
@@ -106,6 +106,36 @@ def test_batches_replace_themselves(spark, folder):
     assert rows(spark.read.parquet(folder).groupBy("batch").count()) == [(0, 10), (1, 10), (2, 5)]
 
 
+def test_log_knows_what_landed_without_listing(spark, folder, monkeypatch):
+    log = landing_log.LandingLog(folder)
+    day = F.lit("2025-07-02").cast("date")
+    rows_of = lambda *names: spark.createDataFrame([(n, 1) for n in names], "cat string, n int")
+    assert log.entries(spark).collect() == []
+    assert log.land(rows_of("a", "b/c & d"), "shop x", "products", F.col("cat"), day) == 2
+    assert log.land(rows_of("a", None), "shop x", "products", F.col("cat"), day) == 2
+    assert log.land(rows_of("e").limit(0), "shop x", "products", F.col("cat"), day) == 0
+    monkeypatch.setattr(landing, "manifest", lambda *a, **k: pytest.fail("a folder was listed"))
+    todo = spark.createDataFrame([("a",), ("b/c & d",), ("new",), (None,)], "category string")
+    assert rows(landing.not_yet_landed(todo, log.entries(spark), "category")) == [("new",)]
+
+
+def test_log_is_repaired_and_compacted(spark, folder, monkeypatch):
+    monkeypatch.setattr(landing_log, "COMPACT_FILES", 3)
+    log = landing_log.LandingLog(folder)
+    day = F.lit("2025-07-02").cast("date")
+    for k in range(5):
+        log.land(spark.createDataFrame([(f"c{k}",)], "cat string"), "shop", "products", F.col("cat"), day)
+    assert log._generations(spark)[-1][0] > 0 and len(log._generations(spark)) == 1
+    # a lost entry: a landing that wrote files and no log; and a file that has gone
+    lost = spark.createDataFrame([("lost",)], "cat string")
+    landing.write_landing(landing.with_landing_cols(lost, "shop", "products", F.col("cat"), day), folder)
+    gone = log.entries(spark).filter("category = 'c1'").first()["file_path"]
+    session.discard(spark, gone)
+    assert log.repair(spark) == (1, 1)
+    assert sorted(r["category"] for r in log.entries(spark).collect()) == ["c0", "c2", "c3", "c4", "lost"]
+    assert log.repair(spark) == (0, 0)
+
+
 def test_stream_picks_up_new_files_once(spark, folder):
     schema = T.StructType().add("id", "string").add("scraped_at", "timestamp")
     out, state = f"{folder}/out", f"{folder}/state"
