@@ -12,8 +12,9 @@ from ..functions import text
 from ..operators import ordering, paging
 from ..session import scratch_dir
 from ..sources import landing
+from ..streaming.pages import drain_pages, kept_pages
 from . import views as v
-from .registry import query
+from .registry import ORACLES, query
 
 FRONTIER_SORTS = ["POPULARITY", "RECENT"]
 
@@ -68,6 +69,17 @@ def take_until_streak(spark: SparkSession, folder: str) -> DataFrame:
     return paging.take_until_streak(v.crawl_pages(spark, folder), "job", "page", dense=True).select("job", "page", "n_items")
 
 
+@query("stream_until_streak", ORACLES["take_until_streak"])
+def stream_until_streak(spark: SparkSession, folder: str) -> DataFrame:
+    """The same while pages arrive in three parts, in no order."""
+    root, out, state = (scratch_dir(spark, n) for n in ("page-arrivals", "pages-kept", "page-state"))
+    pages = v.crawl_pages(spark, folder).select("job", "page", "n_items")
+    for part in range(3):
+        pages.filter(F.pmod(F.xxhash64("job", "page"), F.lit(3)) == part).write.mode("append").parquet(root)
+        drain_pages(kept_pages(spark.readStream.schema(pages.schema).parquet(root)), out, state)
+    return spark.read.parquet(out).select("job", "page", F.col("n_items").cast("int").alias("n_items"))
+
+
 @query("cap_per_key", f"""
 WITH {v.REVIEWS}
 SELECT product_id, review_uid, helpful FROM v_reviews
