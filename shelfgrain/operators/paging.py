@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -82,6 +85,40 @@ def estimate_total(probes: DataFrame, key: str, page: str, n_items: str = "n_ite
     )
 
 
+def gallop(jobs: DataFrame, key: str, answer: Callable[[DataFrame], DataFrame], size: int = fv.PAGE_SIZE) -> DataFrame:
+    """Last valid page of each job and the total it implies, by doubling and halving; n_requests is what it took.
+
+    `answer` takes a frontier (key, page) and gives (key, page, n_items) for the pages that
+    exist; a page without an answer is empty. Valid pages of a job are the first ones. A
+    round asks one page of each open job: twice the last good one until one is empty, then
+    the middle of what is left; so a job of p pages takes about 2 log2(p) requests. Rounds
+    are stored, and there are as many as the longest job takes.
+    """
+    spark = jobs.sparkSession
+    state = jobs.select(key).distinct().select(key, F.lit(0).cast("bigint").alias("good"), F.lit(None).cast("bigint").alias("empty"), F.lit(0).cast("bigint").alias("n_requests"))
+    done: list[DataFrame] = []
+    while True:
+        place = scratch_dir(spark, "gallop")
+        state.write.parquet(place)
+        state = spark.read.schema(state.schema).parquet(place)
+        is_open = F.col("empty").isNull() | (F.col("empty") - F.col("good") > 1)
+        done.append(state.filter(~is_open))
+        state = state.filter(is_open)
+        if not state.limit(1).count():
+            break
+        middle = F.expr("(good + empty) div 2")
+        asked = state.withColumn("page", F.when(F.col("empty").isNull(), F.greatest(F.lit(1), F.col("good") * 2)).otherwise(middle))
+        found = answer(asked.select(key, "page")).filter(F.col("n_items") > 0).select(key, "page").distinct().withColumn("_there", F.lit(True))
+        seen = asked.join(found, [key, "page"], "left")
+        there = F.col("_there").isNotNull()
+        state = seen.select(
+            key, F.when(there, F.col("page")).otherwise(F.col("good")).alias("good"), F.when(there, F.col("empty")).otherwise(F.col("page")).alias("empty"),
+            (F.col("n_requests") + 1).alias("n_requests"),
+        )
+    last = F.greatest(F.col("good"), F.lit(1))
+    return reduce(DataFrame.unionByName, done).select(key, last.alias("last_valid_page"), (last * size).alias("estimated_total"), "n_requests")
+
+
 def sort_option_summary(df: DataFrame, sort: str, page: str, n_items: str = "n_items", has_more: str = "has_more", size: int = fv.PAGE_SIZE) -> DataFrame:
     """Per sort option: items, more-flag, highest page with items, estimate.
 

@@ -1,5 +1,6 @@
 """Operators on hand-made tables, against plain Python where there is a rule to restate."""
 
+import math
 import os
 import random
 
@@ -371,3 +372,18 @@ def test_a_scorer_is_made_once_per_process(spark, tmp_path):
     assert {(r["one"], r["other"]) for r in both.collect()} == {(1.0, 2.0)}
     made = [name.rsplit("-", 1)[0] for name in os.listdir(folder)]
     assert len(made) == len(set(made))
+
+
+def test_gallop_finds_the_last_page(spark):
+    lengths = {"none": 0, "one": 1, "two": 2, "long": 37, "longer": 64}
+    pages = spark.createDataFrame([(j, p, 20) for j, n in lengths.items() for p in range(1, n + 1)] + [("none", 1, 0)], "job string, page long, n_items int")
+    asked = []
+
+    def answer(frontier):
+        asked.append(frontier.count())
+        return pages.join(frontier, ["job", "page"])
+
+    got = {r["job"]: (r["last_valid_page"], r["estimated_total"], r["n_requests"]) for r in paging.gallop(pages, "job", answer, size=20).collect()}
+    assert {j: x[0] for j, x in got.items()} == {j: max(n, 1) for j, n in lengths.items()}
+    assert got["long"][1] == 740 and all(x[2] <= 2 * math.ceil(math.log2(max(lengths[j], 1) + 1)) + 1 for j, x in got.items())
+    assert sum(asked) == sum(x[2] for x in got.values())
