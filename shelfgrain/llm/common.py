@@ -11,10 +11,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_dir
+from ..session import discard, scratch_dir
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLANKS = " \t\n\x0b\f\r"
@@ -43,11 +43,32 @@ def remainder(id_col: Column, mod: int) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % mod
 
 
+FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """From now on Spark removes the shuffles of a query when it ends, not when the driver next collects garbage.
+
+    An action that is run again on the same DataFrame makes them anew.
+    """
+    spark.conf.set(FILE_CLEANUP, True)
+
+
 def stored(df: DataFrame, name: str, **options) -> DataFrame:
-    """Write the rows to the shared scratch folder and read them back: lineage ends here."""
-    path = scratch_dir(df.sparkSession, name)
+    """Write the rows to the shared scratch folder and read them back: lineage ends here, and the shuffles of the write go."""
+    spark = df.sparkSession
+    free_shuffles(spark)
+    path = scratch_dir(spark, name)
     df.write.options(**options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def done_with(*tables: DataFrame) -> None:
+    """Remove what `stored` wrote for these tables; nothing that is still to run may read them."""
+    for table in tables:
+        discard(table.sparkSession, table.stored_at)
 
 
 def small_batches(df: DataFrame) -> None:
@@ -105,12 +126,16 @@ def hashed(values: pa.Array) -> np.ndarray:
     return np.fromiter((digest(v) for v in values.cast(pa.binary()).to_pylist()), np.uint64, len(values))
 
 
-def give_back() -> None:
-    """Return freed memory of this process to the system; arrays of a few MB otherwise stay with its allocators."""
+def give_back(cycles: bool = True) -> None:
+    """Return freed memory of this process to the system; arrays of a few MB otherwise stay with its allocators.
+
+    With `cycles` also what earlier tasks of this process left in cycles, such as their broadcasts.
+    """
     import ctypes
     import gc
 
-    gc.collect()  # also what earlier tasks of this process left in cycles, such as their broadcasts
+    if cycles:
+        gc.collect()
     pa.default_memory_pool().release_unused()
     libc = ctypes.CDLL(None)
     if hasattr(libc, "malloc_trim"):

@@ -217,6 +217,7 @@ def _counted(ranges: int):
                 out += _by_range(WORDS, int(number), t.hashes[used], seen[used], ranges)
             pairs, times = np.unique(t.bigrams()[train], return_counts=True)
             yield _rows(out + _by_range(BIGRAMS, None, pairs, times, ranges))
+            give_back(cycles=False)
         yield _rows([(SIZES, number % ranges, number, None, None, size, None) for number, size in sizes.items()])
 
     return count
@@ -282,6 +283,7 @@ def _scored(sent, n: int, v: int, first: bool, kind: pa.DataType):
             else:
                 columns += [pa.array(np.zeros(rows, np.int64)), pa.array(np.zeros(rows, np.int64)), pa.array(np.zeros(rows))]
             out.append(pa.RecordBatch.from_arrays([*columns, batch.column("row")], names=NAMES))
+            give_back(cycles=False)
         return pa.Table.from_batches(out, schema=pa.schema(list(zip(NAMES, [kind, pa.bool_(), pa.float64(), pa.int64(), pa.int64(), pa.float64(), pa.int64()]))))
 
     return score

@@ -20,10 +20,10 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, giving_back, hashed, mixed, slices, small_batches, stored, texts_of, words
+from .common import done_with, fresh, giving_back, hashed, mixed, slices, small_batches, stored, texts_of, words
 
 SHINGLE_WORDS = 4
 THRESHOLD = Fraction(85, 100)
@@ -33,7 +33,8 @@ RANGE_BYTES = 32 << 20
 RANGE_KEYS = 4_000_000
 # nodes of a tile that are compared in one task; larger tiles are cut in blocks
 BLOCK_NODES = 1024
-BUFFER_ROWS = 50_000
+# rows, and bytes of their bitmaps, that wait for their tile to end
+BUFFER_ROWS, BUFFER_BYTES = 50_000, 48 << 20
 # tasks over which the tiles around one centre are dealt
 SHARES = 8
 # up to so many rows of two numbers a side may be sent to all tasks
@@ -304,7 +305,7 @@ def _paired(threshold: Fraction):
         held: list[pa.Table] = []
         for batch in batches:
             held.append(pa.Table.from_batches([batch]))
-            if sum(t.num_rows for t in held) < BUFFER_ROWS:
+            if sum(t.num_rows for t in held) < BUFFER_ROWS and sum(t["bitmap"].nbytes for t in held) < BUFFER_BYTES:
                 continue
             table = pa.concat_tables(held)
             changes = _changes(table)
@@ -343,12 +344,13 @@ def classes(links: DataFrame) -> DataFrame:
     state = stored(both.groupBy(F.col("from").alias("node")).agg(F.least(F.min("to"), F.col("from")).alias("class")), "join-classes")
     while True:
         near = both.join(state.select(F.col("node").alias("to"), "class"), "to").groupBy(F.col("from").alias("node")).agg(F.min("class").alias("near"))
-        closer = state.join(near, "node").select("node", F.col("class").alias("old"), F.least("class", "near").alias("class"))
+        closer = state.select("node", "class").join(near, "node").select("node", F.col("class").alias("old"), F.least("class", "near").alias("class"))
         step = closer.join(closer.select(F.col("node").alias("class"), F.col("class").alias("next")), "class").select("node", "old", F.least("class", "next").alias("class"))
-        done = stored(step, "join-classes")
-        if not done.filter("class <> old").limit(1).count():
-            return done.select("node", "class")
-        state = done.select("node", "class")
+        before, state = state, stored(step, "join-classes")
+        done_with(before)
+        if not state.filter("class <> old").limit(1).count():
+            done_with(both)
+            return state.select("node", "class")
 
 
 def similar_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", threshold: Fraction = THRESHOLD, width: int = SHINGLE_WORDS) -> DataFrame:
@@ -365,8 +367,11 @@ def similar_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", t
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(1, -(-size // RANGE_BYTES))
     signed = stored(rows.mapInArrow(giving_back(_signed(width, threshold, ranges)), f"id {kind}, n long, node long, range int, keys binary, held binary"), "join-keys")
-    members = signed.filter(F.col("range").isNull()).select("id", "n", "node")
-    found = resolve(rows, members, _meet(signed.filter(F.col("range").isNotNull())), threshold, width)
+    # the keys are most of it, and are done with once they have met
+    members = stored(signed.filter(F.col("range").isNull()).select("id", "n", "node"), "join-members")
+    tiles = _meet(signed.filter(F.col("range").isNotNull()))
+    done_with(signed)
+    found = resolve(rows, members, tiles, threshold, width)
     return found.select(F.col("id").alias(id), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
@@ -376,7 +381,8 @@ def resolve(rows: DataFrame, members: DataFrame, tiles: DataFrame, threshold: Fr
     `rows` are the (id, text) that the members stand for. Nodes that meet in no tile are
     not compared; those that do link exactly if they reach the threshold.
     """
-    tiles = _centred(tiles)
+    met, tiles = tiles, _centred(tiles)
+    done_with(met)
     nodes = members.filter(F.col("id").isNotNull() & (F.col("n") > 0)).groupBy("node").agg(F.min("id").alias("id"))
     wanted = stored(tiles.select("node").distinct().join(nodes, "node").select("id", "node"), "join-wanted")
     wanted_side = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
@@ -384,7 +390,11 @@ def resolve(rows: DataFrame, members: DataFrame, tiles: DataFrame, threshold: Fr
 
     star = tiles.filter(F.col("node") != F.col("centre")).select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
     named = classes(_verify(star, sets, threshold))
-    more = _verify(_residual(tiles, named, sets, threshold), sets, threshold)
+    # stored, so that the bitmaps of all tiles are gone from disk before shingles move
+    left = stored(_residual(tiles, named, sets, threshold), "join-pairs")
+    done_with(tiles)
+    more = _verify(left, sets, threshold)
+    done_with(left, wanted, sets)
     if more.limit(1).count():
         of = lambda s: named.select(F.col("node").alias(s), F.col("class").alias(f"class_{s}"))
         merged = more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("class_a", "a").alias("a"), F.coalesce("class_b", "b").alias("b"))
@@ -402,32 +412,43 @@ def resolve(rows: DataFrame, members: DataFrame, tiles: DataFrame, threshold: Fr
 
 
 def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", threshold: Fraction = THRESHOLD, width: int = SHINGLE_WORDS) -> DataFrame:
-    """The input rows, with all their columns, without those whose class has a smaller id.
+    """The input rows, with all their columns, without those whose class has an earlier row.
 
-    Of rows that share an id one stays, and none if any of them is a copy of a smaller id;
-    rows with a null id all stay, as do texts without words. An empty table gives an empty
-    table.
+    A row is known by its id and a hash of its text, and stands in that order in its class:
+    so rows that share an id are told apart, and a text that is nobody's copy stays whatever
+    its id. Of rows that repeat both id and text one stays. Rows with a null id all stay, as
+    do texts without words. An empty table gives an empty table.
     """
-    gone, rank = fresh(docs, "join_gone", "join_rank")
-    found = similar_documents(docs.select(F.col(id).alias("id"), F.col(text).alias("text")), "id", "text", threshold, width)
-    copies = found.filter(F.col("id").isNotNull() & (F.col("component_id") < F.col("id"))).select(F.col("id").alias(gone)).distinct()
-    first = F.row_number().over(Window.partitionBy(id).orderBy(F.xxhash64(text)))
-    known = docs.filter(F.col(id).isNotNull()).join(copies, F.col(id) == F.col(gone), "left_anti").withColumn(rank, first).filter(F.col(rank) == 1).drop(rank)
-    return known.unionByName(docs.filter(F.col(id).isNull()))
+    first_id, mark, times = fresh(docs, "join_id", "join_mark", "join_times")
+    hashed_text = F.xxhash64(text)
+    key = F.when(F.col(id).isNotNull(), F.struct(F.col(id).alias("id"), hashed_text.alias("mark")))
+    found = similar_documents(docs.select(key.alias("key"), F.col(text).alias("text")), "key", "text", threshold, width)
+    gone = found.filter("key IS NOT NULL AND component_id < key").select(F.col("key.id").alias(first_id), F.col("key.mark").alias(mark)).distinct()
+    # texts move only if the copies are too many to be sent to all tasks
+    kept = docs.join(gone, (F.col(id) == F.col(first_id)) & (hashed_text == F.col(mark)), "left_anti")
+
+    keys = docs.filter(F.col(id).isNotNull()).groupBy(F.col(id).alias(first_id), hashed_text.alias(mark)).agg(F.count(F.lit(1)).alias(times))
+    repeated = stored(keys.filter(F.col(times) > 1).drop(times), "join-repeated")
+    if not repeated.limit(1).count():
+        return kept
+    same = (F.col(id) == F.col(first_id)) & (hashed_text == F.col(mark))
+    # rows that are there once are not touched; the others are combined before they move
+    several = kept.withColumn(times, hashed_text).join(repeated, same, "left_semi").dropDuplicates([id, times]).drop(times)
+    return kept.join(repeated, same, "left_anti").unionByName(several)
 
 
 def _meet(packed: DataFrame) -> DataFrame:
     """Tiles of several nodes as rows (key, node, held), stored.
 
-    Ranges of keys are even unless many nodes share a key; then a range is cut at random
+    Ranges of keys are even unless many nodes share a key; then a range is cut by a hash
     into groups of bounded size, each of which counts its own.
     """
     schema = "key long, node long, held long"
-    sizes = packed.groupBy("range").agg(F.sum("n").alias("all")).filter(F.col("all") > RANGE_KEYS).orderBy(F.col("all").desc()).limit(BROADCAST_ROWS).collect()
-    if not sizes:
+    large = packed.groupBy("range").agg(F.sum("n").alias("all")).filter(F.col("all") > RANGE_KEYS).select("range", F.ceil(F.col("all") / RANGE_KEYS).alias("salts"))
+    if not large.limit(1).count():
         return stored(packed.groupBy("range").applyInArrow(_tiles(False), schema), "join-tiles")
-    large = packed.sparkSession.createDataFrame([(r["range"], -(-r["all"] // RANGE_KEYS)) for r in sizes], "range int, salts long")
-    salted = packed.join(F.broadcast(large), "range", "left").withColumn("salt", F.floor(F.rand(1) * F.coalesce("salts", F.lit(1))))
+    # by a hash of the row, so that a task that runs again deals alike
+    salted = packed.join(large, "range", "left").withColumn("salt", F.pmod(F.xxhash64("keys", "held"), F.coalesce("salts", F.lit(1))))
     met = stored(salted.filter(F.col("salts").isNull()).groupBy("range").applyInArrow(_tiles(False), schema).unionByName(
         salted.filter(F.col("salts").isNotNull()).groupBy("range", "salt").applyInArrow(_tiles(True), schema)), "join-met")
     several = met.groupBy("key").agg(F.count(F.lit(1)).alias("nodes")).filter("nodes > 1").select("key")
