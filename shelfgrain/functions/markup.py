@@ -144,16 +144,28 @@ class _Nodes:
         nodes = pa.StructArray.from_arrays(
             [pa.array(c, type=f.type) for c, f in zip(columns, _NODE)], fields=list(_NODE)
         )
-        return pa.ListArray.from_arrays(pa.array(self.offsets, type=pa.int32()), nodes, mask=pa.array(self.missing))
+        return pa.ListArray.from_arrays(pa.array(self.offsets, type=pa.int32()), nodes, mask=pa.array(self.missing, pa.bool_()))
 
 
-@F.arrow_udf(NODE_TYPE)
-def html_nodes(pages: pa.Array) -> pa.Array:
-    """Nodes of each page, in Arrow batches."""
-    found = _Nodes()
+# nodes that are held as Python objects at a time, about 1 KB each; a page is never cut
+MOST_NODES = 20_000
+
+
+def nodes_of_pages(pages: pa.Array, most: int = MOST_NODES) -> pa.Array:
+    """Nodes of each page; they become Arrow arrays as soon as `most` of them are there."""
+    done, found = [], _Nodes()
     for page in pages:
         found.add_page(page.as_py())
-    return found.to_arrow()
+        if len(found.pos) >= most:
+            done.append(found.to_arrow())
+            found = _Nodes()
+    return pa.concat_arrays([*done, found.to_arrow()])
+
+
+@F.arrow_udf(NODE_TYPE)
+def html_nodes(pages: pa.Array) -> pa.Array:
+    """Nodes of each page, in Arrow batches; `session.SETTINGS` bound the bytes of a batch."""
+    return nodes_of_pages(pages)
 
 
 Match = Callable[[Column], Column]

@@ -24,6 +24,8 @@ SETTINGS = {
     "spark.sql.cteRecursionLevelLimit": "-1",
     "spark.sql.cteRecursionRowLimit": "-1",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # rows go to Python by bytes, not by the count alone: pages and texts are of any length
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 

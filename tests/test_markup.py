@@ -1,5 +1,6 @@
 """HTML reading and selection on hand-made pages."""
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -146,3 +147,24 @@ def test_quotes_out_of_place():
 
 def test_many_quoted_attributes_without_an_end_are_read_in_time():
     assert read('<b a="1" ' * 20_000).text[0].startswith("<b")
+
+
+def test_nodes_are_held_in_small_parts(monkeypatch):
+    """A batch of pages is not a batch of Python objects; its nodes are the same however they are cut."""
+    html = ["<p class='a b'>x<br>y</p>" * 50, None, "", "z", "<ul><li>1<li>2</ul>"] * 20
+    held, to_arrow = [], mk._Nodes.to_arrow
+    monkeypatch.setattr(mk._Nodes, "to_arrow", lambda nodes: held.append(len(nodes.pos)) or to_arrow(nodes))
+    whole = mk.nodes_of_pages(pa.array(html), most=10**9)
+    assert len(held) == 1
+    cut = mk.nodes_of_pages(pa.array(html), most=300)
+    assert cut.equals(whole) and max(held[1:]) < 300 + 50 * 4
+    assert mk.nodes_of_pages(pa.array([], pa.string())).to_pylist() == []
+
+
+def test_rows_go_to_python_by_bytes(spark):
+    @F.arrow_udf("long")
+    def batch_bytes(texts: pa.Array) -> pa.Array:
+        return pa.array([texts.nbytes] * len(texts), pa.int64())
+
+    rows = spark.range(0, 2000, 1, 1).select(F.repeat(F.lit("x"), 10_000).alias("text"))
+    assert rows.select(batch_bytes("text").alias("n")).agg(F.max("n")).first()[0] < 5 << 20
