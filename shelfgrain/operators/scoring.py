@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import sys
 import types
@@ -40,7 +41,8 @@ def score_text(df: DataFrame, col: str, make_scorer: Callable[[], Scorer], key:
 
     `make_scorer` runs on the workers, once per process, `key` and recipe, so a model
     travels as the recipe to load it, and two recipes are two scorers even under one key.
-    The batch size is spark.sql.execution.arrow.maxRecordsPerBatch.
+    The batch size is spark.sql.execution.arrow.maxRecordsPerBatch, and its maxBytesPerBatch.
+    A scorer may leave its texts in cycles, as pandas' `.str` does; they go before the next batch.
     """
     own_key = f"{key}-{hashlib.sha256(cloudpickle.dumps(make_scorer)).hexdigest()}"
 
@@ -49,6 +51,7 @@ def score_text(df: DataFrame, col: str, make_scorer: Callable[[], Scorer], key:
         scorer = _loaded(own_key, make_scorer)
         for batch in batches:
             yield scorer(batch).astype("float64")
+            gc.collect(1)  # cycles are few and young, but each holds a whole batch
 
     return df.withColumn(out, scored(F.col(col)))
 

@@ -387,3 +387,27 @@ def test_gallop_finds_the_last_page(spark):
     assert {j: x[0] for j, x in got.items()} == {j: max(n, 1) for j, n in lengths.items()}
     assert got["long"][1] == 740 and all(x[2] <= 2 * math.ceil(math.log2(max(lengths[j], 1) + 1)) + 1 for j, x in got.items())
     assert sum(asked) == sum(x[2] for x in got.values())
+
+
+def test_what_a_scorer_leaves_in_cycles_goes_before_the_next_batch(spark):
+    def make():
+        import weakref
+
+        class Held:
+            def __init__(self):
+                self.itself = self
+
+        alive = weakref.WeakSet()
+
+        def scorer(texts):
+            alive.add(Held())
+            return texts.str.len() * 0 + len(alive)
+
+        return scorer
+
+    df = spark.range(0, 400, 1, 1).select(F.col("id").cast("string").alias("t"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20")
+    try:
+        assert scoring.score_text(df, "t", make, "cycles").agg(F.max("prob")).first()[0] <= 2
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
