@@ -167,3 +167,15 @@ def test_listing_pages_are_not_moved(spark, tmp_path):
     # the stop rows are sent to the pages; without a bound both sides are put in order by category
     assert "SortMergeJoin" not in bound.split("Window")[-1] and "BroadcastHashJoin" in bound
     assert "SortMergeJoin" in free
+
+
+def test_spread_rows_make_more_tasks_not_larger_ones(spark, tmp_path):
+    """`npartitions` is where spreading begins: a table of many times the advisory size is not left to three tasks."""
+    spark.range(0, 20_000, 1, 8).select(F.col("id").cast("string").alias("review_uid"), F.sha2(F.col("id").cast("string"), 512).alias("content"), F.lit(5).alias("star")).write.parquet(str(tmp_path / "t"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        frame = score_frame(tables.read_table(spark, str(tmp_path / "t")), ScoreConfig(test_limit=0, sample_mode="none", npartitions=3), lexicon)
+        sizes = [r["n"] for r in frame.groupBy(F.spark_partition_id()).agg(F.count("content").alias("n"), F.max("content")).collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert sum(sizes) == 20_000 and len(sizes) > 12 and max(sizes) < 4_000
