@@ -104,6 +104,25 @@ def _nodes_of(text):
     return None if nodes is None else [dict(zip(("path", "kind", "items", "type", "id"), node)) for node in nodes]
 
 
+def _ids_of(text: str, node_type: str) -> list[str] | None:
+    """Distinct ids of one type in document order; of a text's nodes only open values and found ids are held."""
+    try:
+        found, open_values = {}, [json.loads(text)]
+    except (TypeError, ValueError, RecursionError):
+        return None
+    while open_values:
+        value = open_values.pop()
+        if isinstance(value, dict):
+            node_id = value.get("id")
+            if value.get("type") == node_type and node_id is not None:
+                found[_id_text(node_id)] = None
+            open_values.extend(v for v in reversed(value.values()) if isinstance(v, (dict, list)))
+        elif isinstance(value, list):
+            open_values.extend(v for v in reversed(value) if isinstance(v, (dict, list)))
+    found.pop(None, None)
+    return list(found)
+
+
 def typed_ids(payload: Column, node_type: str) -> Column:
     """Distinct ids of the objects of one type, in document order; only they leave Python.
 
@@ -113,11 +132,7 @@ def typed_ids(payload: Column, node_type: str) -> Column:
 
     @F.arrow_udf(T.ArrayType(T.StringType()))
     def walked(texts: pa.Array) -> pa.Array:
-        found = []
-        for text in texts.to_pylist():
-            nodes = _tree(text)
-            found.append(None if nodes is None else list(dict.fromkeys(n[4] for n in nodes if n[3] == node_type and n[4] is not None)))
-        return pa.array(found, pa.list_(pa.string()))
+        return pa.array([_ids_of(text.as_py(), node_type) for text in texts], pa.list_(pa.string()))
 
     return walked(payload)
 

@@ -168,3 +168,20 @@ def test_ids_of_deep_payloads(spark):
     ids = nv.typed_ids(F.col("v"), "T")
     deep = '{"z":' * 3000 + '{"type":"T","id":9}' + "}" * 3000
     assert values(spark, ids, deep, '[{"type":"T","id":"b"},{"type":"U","id":1},{"type":"T","id":"a"},{"type":"T","id":"b"},{"type":"T"}]', "{broken", None) == [["9"], ["b", "a"], None, None]
+
+
+def test_ids_of_one_type_are_found_without_keeping_all_nodes():
+    import json
+    import tracemalloc
+
+    text = json.dumps({"rows": [{"n": [1, 2, 3]}] * 20_000 + [{"type": "T", "id": 7}, {"type": "T", "id": 7}, {"type": "T", "id": None}]})
+    tracemalloc.start()
+    try:
+        json.loads(text)
+        tree = tracemalloc.get_traced_memory()[1]
+        tracemalloc.reset_peak()
+        assert nv._ids_of(text, "T") == ["7"]
+        assert tracemalloc.get_traced_memory()[1] < 1.5 * tree
+        assert nv._ids_of("[1", "T") is None and nv._ids_of(None, "T") is None
+    finally:
+        tracemalloc.stop()
