@@ -137,28 +137,32 @@ def typed_ids(payload: Column, node_type: str) -> Column:
     return walked(payload)
 
 
-_KIND = """CASE WHEN fields IS NOT NULL THEN 'object' WHEN items IS NOT NULL THEN 'array'
-  ELSE CASE schema_of_variant(v) WHEN 'STRING' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'VOID' THEN 'null' ELSE 'number' END END"""
+_OBJECT, _LIST = "try_variant_get(v, '$', 'map<string,variant>')", "try_variant_get(v, '$', 'array<variant>')"
+# the kind of a value, how many items it has, and itself where there is more below it: texts end here
+_SEEN = f"""CASE WHEN {_OBJECT} IS NOT NULL THEN 'object' WHEN {_LIST} IS NOT NULL THEN 'array'
+    ELSE CASE schema_of_variant(v) WHEN 'STRING' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'VOID' THEN 'null' ELSE 'number' END END AS kind,
+  coalesce(size({_OBJECT}), size({_LIST})) AS items,
+  CASE WHEN size({_OBJECT}) > 0 OR size({_LIST}) > 0 THEN v END AS v"""
 
 
 def every_node(df: DataFrame, payload: str) -> DataFrame:
     """(path, kind, items) of all nodes of JSON texts, one level in each step of a recursive query, as VARIANT.
 
-    Texts that are broken, or nested beyond VARIANT's 1,000 levels, have no nodes. The step
-    stops when nothing is left to explode; `session.SETTINGS` lift Spark's limits on it.
+    A step hands on each value once, and only those that have something below them. Texts that
+    are broken, or nested beyond VARIANT's 1,000 levels, have no nodes. The step stops when
+    nothing is left to explode; `session.SETTINGS` lift Spark's limits on it.
     """
     roots = df.select(parsed(F.col(payload)).alias("v")).filter("v IS NOT NULL")
-    opened = "try_variant_get(v, '$', 'map<string,variant>') AS fields, try_variant_get(v, '$', 'array<variant>') AS items"
     return df.sparkSession.sql(
-        f"""WITH RECURSIVE node(path, v, fields, items) AS (
-          SELECT '$' AS path, v, {opened} FROM {{roots}}
+        f"""WITH RECURSIVE node(path, kind, items, v) AS (
+          SELECT '$' AS path, {_SEEN} FROM {{roots}}
           UNION ALL
-          SELECT path, v, {opened} FROM (
+          SELECT path, {_SEEN} FROM (
             SELECT child.path, child.v FROM (
-              SELECT explode(CASE WHEN fields IS NOT NULL THEN transform(map_entries(fields), f -> named_struct('path', path || '.' || f.key, 'v', f.value))
-                ELSE transform(items, x -> named_struct('path', path || '[]', 'v', x)) END) AS child
-              FROM node WHERE fields IS NOT NULL OR items IS NOT NULL)))
-        SELECT path, {_KIND} AS kind, coalesce(size(fields), size(items)) AS items FROM node""",
+              SELECT explode(CASE WHEN kind = 'object' THEN transform(map_entries({_OBJECT}), f -> named_struct('path', path || '.' || f.key, 'v', f.value))
+                ELSE transform({_LIST}, x -> named_struct('path', path || '[]', 'v', x)) END) AS child
+              FROM node WHERE v IS NOT NULL)))
+        SELECT path, kind, items FROM node""",
         roots=roots,
     )
 

@@ -1,5 +1,8 @@
 """Edge cases of the column functions, on hand-made values."""
 
+import re
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -170,6 +173,17 @@ def test_ids_of_deep_payloads(spark):
     assert values(spark, ids, deep, '[{"type":"T","id":"b"},{"type":"U","id":1},{"type":"T","id":"a"},{"type":"T","id":"b"},{"type":"T"}]', "{broken", None) == [["9"], ["b", "a"], None, None]
 
 
+def test_a_level_of_nodes_hands_on_each_value_once(spark):
+    """Values end where nothing is below them; a list or object is not handed on opened as well."""
+    texts = ['{"a":{"b":[1,{"c":"x"},[],{}]},"d":null}', "[]", "7", "{"]
+    nodes = nv.every_node(spark.createDataFrame([(t,) for t in texts], "t string"), "t")
+    assert Counter((r["path"], r["kind"], r["items"]) for r in nodes.collect()) == Counter([
+        ("$", "object", 2), ("$.a", "object", 1), ("$.a.b", "array", 4), ("$.a.b[]", "number", None), ("$.a.b[]", "object", 1),
+        ("$.a.b[].c", "string", None), ("$.a.b[]", "array", 0), ("$.a.b[]", "object", 0), ("$.d", "null", None), ("$", "array", 0), ("$", "number", None)])
+    handed = re.findall(r"UnionLoopRef \d+, \[([^]]*)\]", nodes._jdf.queryExecution().optimizedPlan().toString())
+    assert handed and all([c.split("#")[0].strip() for c in h.split(",")] == ["path", "kind", "items", "v"] for h in handed)
+
+
 def test_ids_of_one_type_are_found_without_keeping_all_nodes():
     import json
     import tracemalloc
