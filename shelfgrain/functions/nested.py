@@ -137,30 +137,42 @@ def typed_ids(payload: Column, node_type: str) -> Column:
     return walked(payload)
 
 
-_OBJECT, _LIST = "try_variant_get(v, '$', 'map<string,variant>')", "try_variant_get(v, '$', 'array<variant>')"
-# the kind of a value, how many items it has, and itself where there is more below it: texts end here
-_SEEN = f"""CASE WHEN {_OBJECT} IS NOT NULL THEN 'object' WHEN {_LIST} IS NOT NULL THEN 'array'
-    ELSE CASE schema_of_variant(v) WHEN 'STRING' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'VOID' THEN 'null' ELSE 'number' END END AS kind,
-  coalesce(size({_OBJECT}), size({_LIST})) AS items,
-  CASE WHEN size({_OBJECT}) > 0 OR size({_LIST}) > 0 THEN v END AS v"""
+_OBJECT, _LIST = "try_variant_get({v}, '$', 'map<string,variant>')", "try_variant_get({v}, '$', 'array<variant>')"
+
+
+def _seen(more: str) -> str:
+    """The kind of a value v, how many items it has, and itself where `more` holds and something is below it."""
+    fields, items = _OBJECT.format(v="v"), _LIST.format(v="v")
+    return f"""CASE WHEN {fields} IS NOT NULL THEN 'object' WHEN {items} IS NOT NULL THEN 'array'
+        ELSE CASE schema_of_variant(v) WHEN 'STRING' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'VOID' THEN 'null' ELSE 'number' END END AS kind,
+      coalesce(size({fields}), size({items})) AS items,
+      CASE WHEN {more} AND (size({fields}) > 0 OR size({items}) > 0) THEN v END AS v"""
+
+
+def _below(path: str, v: str, opened: str) -> str:
+    """The values right below a value, with their paths; none below a plain one."""
+    fields, items = _OBJECT.format(v=v), _LIST.format(v=v)
+    child = lambda at, value: f"named_struct('path', {path} || {at}, 'v', {value}, 'opened', {opened})"
+    return f"""coalesce(transform(map_entries({fields}), f -> {child("'.' || f.key", "f.value")}), transform({items}, x -> {child("'[]'", "x")}),
+      CAST(array() AS ARRAY<STRUCT<path: STRING, v: VARIANT, opened: BOOLEAN>>))"""
 
 
 def every_node(df: DataFrame, payload: str) -> DataFrame:
-    """(path, kind, items) of all nodes of JSON texts, one level in each step of a recursive query, as VARIANT.
+    """(path, kind, items) of all nodes of JSON texts, two levels in each step of a recursive query, as VARIANT.
 
-    A step hands on each value once, and only those that have something below them. Texts that
-    are broken, or nested beyond VARIANT's 1,000 levels, have no nodes. The step stops when
-    nothing is left to explode; `session.SETTINGS` lift Spark's limits on it.
+    Every step puts what it hands on through an exchange: of two levels the lower one only, each
+    value once, and only those that have something below them. Texts that are broken, or nested
+    beyond VARIANT's 1,000 levels, have no nodes. The step stops when nothing is left to explode;
+    `session.SETTINGS` lift Spark's limits on it.
     """
     roots = df.select(parsed(F.col(payload)).alias("v")).filter("v IS NOT NULL")
     return df.sparkSession.sql(
         f"""WITH RECURSIVE node(path, kind, items, v) AS (
-          SELECT '$' AS path, {_SEEN} FROM {{roots}}
+          SELECT '$' AS path, {_seen('true')} FROM {{roots}}
           UNION ALL
-          SELECT path, {_SEEN} FROM (
-            SELECT child.path, child.v FROM (
-              SELECT explode(CASE WHEN kind = 'object' THEN transform(map_entries({_OBJECT}), f -> named_struct('path', path || '.' || f.key, 'v', f.value))
-                ELSE transform({_LIST}, x -> named_struct('path', path || '[]', 'v', x)) END) AS child
+          SELECT path, {_seen('NOT opened')} FROM (
+            SELECT n.path, n.v, n.opened FROM (
+              SELECT explode(flatten(transform({_below('path', 'v', 'true')}, c -> concat(array(c), {_below('c.path', 'c.v', 'false')})))) AS n
               FROM node WHERE v IS NOT NULL)))
         SELECT path, kind, items FROM node""",
         roots=roots,
