@@ -211,6 +211,27 @@ def test_memory_of_pieces_is_bounded(description):
     assert len(small._number) < len(large._number)
 
 
+def test_pieces_of_several_slices_are_encoded_once(description):
+    """Pieces are found for a group of slices and stay known at a few bytes each; alone, joined and as a group they give the same ids."""
+    slices = [pa.array([f"w{i}x é漢 don't" for i in range(k, k + 4000)], pa.string()) for k in (0, 2000, 100_000)]
+    slices[1:1] = [pa.array([], pa.string()), pa.array(["", ""], pa.string())]
+    encoder, alone, unjoined = (token_files.PieceEncoder(description, room=2 << 20) for _ in range(3))
+    assert encoder._between
+    unjoined._between = None
+    asked = []
+    found = encoder._learn
+    encoder._learn = lambda pieces: asked.append(len(pieces) - len(encoder._number)) or found(pieces)
+    group = [(ids.tolist(), counts.tolist()) for ids, counts in encoder.encode_group(slices)]
+    again = [(ids.tolist(), counts.tolist()) for ids, counts in encoder.encode_group(slices[::-1])]
+    assert again[::-1] == group and asked[0] == len(encoder._number) > 6_000 and asked[1] == 0
+    whole = Tokenizer.from_str(description)
+    for texts, (ids, counts) in zip(slices, group):
+        assert ids == [t for x in texts.to_pylist() for t in [*whole.encode(x, add_special_tokens=False).ids, token_files.END_ID]] and len(counts) == len(texts)
+        for other in (alone, unjoined):
+            own = other.encode(texts)
+            assert own[0].tolist() == ids and own[1].tolist() == counts
+
+
 @pytest.mark.parametrize("n", [0, 1, 63, 65, 5000, 200_000])
 @pytest.mark.parametrize("kinds", [1, 3, 5000])
 def test_blocks_round_trip(n, kinds):
