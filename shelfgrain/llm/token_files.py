@@ -373,7 +373,7 @@ class PieceEncoder:
             ids.append(own)
             known += len(own)
         self._begin, self._ids = np.concatenate(begin), np.concatenate(ids)
-        self._left -= ENTRY_BYTES * len(new) + pc.sum(pc.binary_length(new)).as_py()
+        self._left -= ENTRY_BYTES * len(new) + pc.sum(pc.binary_length(new)).as_py() + sum(own.nbytes for own in ids[1:])
 
     def _model_ids(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces behind each other, and how many each has, by the library's model."""
