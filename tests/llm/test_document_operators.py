@@ -442,6 +442,20 @@ def test_a_hot_value_and_hot_copies_are_cut(spark):
     assert len(size) == 24 and max(abs(s - mean) for s in size.values()) < 0.03 * mean
 
 
+def test_shards_of_many_gigabytes(spark):
+    """Rows of 2^34 bytes each fall where they fall with 2^5 bytes each: every figure of a cut is only scaled."""
+    docs = spark.range(1000).select(
+        F.col("id").alias("doc_id"), F.lpad(F.col("id").cast("string"), 24, "0").alias("text"),
+        F.concat(F.lit("s"), F.col("id") % 7).alias("source"), F.concat(F.lit("l"), F.col("id") % 3).alias("lang"),
+    )
+    light = {r["doc_id"]: r for r in kd_shards.kd_shards(docs, row_bytes=8).collect()}
+    heavy = {r["doc_id"]: r for r in kd_shards.kd_shards(docs, row_bytes=(1 << 34) - 24).collect()}
+    assert {r["size"] for r in light.values()} == {1 << 5} and {r["size"] for r in heavy.values()} == {1 << 34}
+    assert len(light) == 1000 and {i: (r["shard"], r["slot"]) for i, r in heavy.items()} == {i: (r["shard"], r["slot"]) for i, r in light.items()}
+    counts = Counter(r["shard"] for r in heavy.values())
+    assert sorted(counts) == list(range(24)) and all(40 <= n <= 43 for n in counts.values())
+
+
 # --- pipeline -------------------------------------------------------------------------
 
 
